@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import unix_newlines
+from ..operators import lookml
 from ..operators.publish import publish_skills
 from ..operators.store import Catalog, last_write_wins
+from ..runtime import staged
+from ..sources.lookml import parse_lookml
 from ..sources.scan import relative_path
+from ..specs import ALL_TABLES
 
 
 def document_stream(
@@ -34,21 +40,39 @@ def document_stream(
     )
 
 
-def refresh_skills_stream(
-    docs: DataFrame, catalog: Catalog, provider: str, checkpoint: str
+def refresh_stream(
+    docs: DataFrame, publish: Callable[[DataFrame], object], checkpoint: str
 ) -> StreamingQuery:
-    """Publish every skill that arrived since the last run, then stop.
+    """Hand every document that arrived since the last run to ``publish``, then stop.
 
-    Each micro-batch is an upsert by key, so a batch that is replayed after a
-    failure gives the same tables.
+    ``publish`` must be an upsert by key, so that a batch replayed after a failure
+    gives the same tables.
     """
 
-    def publish(batch: DataFrame, _: int) -> None:
-        publish_skills(catalog, last_write_wins(batch, ["file_path"], "modified").drop("modified"), provider)
+    def each(batch: DataFrame, _: int) -> None:
+        publish(last_write_wins(batch, ["file_path"], "modified").drop("modified"))
 
     return (
-        docs.writeStream.foreachBatch(publish)
+        docs.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def refresh_skills_stream(
+    docs: DataFrame, catalog: Catalog, provider: str, checkpoint: str
+) -> StreamingQuery:
+    return refresh_stream(docs, lambda batch: publish_skills(catalog, batch, provider), checkpoint)
+
+
+def refresh_lookml_stream(docs: DataFrame, catalog: Catalog, checkpoint: str) -> StreamingQuery:
+    """Upsert the blocks of new LookML files; names are unique in a well-formed project."""
+
+    def publish(batch: DataFrame) -> None:
+        blocks = staged(parse_lookml(batch), "lookml")
+        for name, rows in lookml.family(blocks).items():
+            spec = ALL_TABLES[name]
+            catalog.upsert(spec, rows.dropDuplicates(list(spec.keys)))
+
+    return refresh_stream(docs, publish, checkpoint)
