@@ -95,9 +95,9 @@ def node_rows(frame: DataFrame, document: Column, depth: int) -> DataFrame:
             lambda v, i: child(i.cast("string"), F.lit("[]"), v),
         )
         own = F.array(F.struct("path", "parent", "shape", "value", "level"))
-        newest = F.col("level") == level
-        below = F.when(newest, F.coalesce(members, elements))
-        nodes = nodes.select("file_path", F.inline(F.when(below.isNull(), own).otherwise(F.concat(own, below))))
+        none = F.slice(own, 1, 0)
+        below = F.when(F.col("level") == level, F.coalesce(members, elements, none)).otherwise(none)
+        nodes = nodes.select("file_path", F.inline(F.concat(own, below)))
     return nodes
 
 

@@ -10,7 +10,7 @@ from ..sources.yamldoc import parse_yaml
 
 # A fence is a line that is only ``---``; the first one must be the first line.
 _OPENED = r"\A[^\S\n]*---[^\S\n]*(?:\n|\z)"
-_CLOSED = r"(?s)\A[^\S\n]*---[^\S\n]*\n(.*?)(?<=\n)[^\S\n]*---[^\S\n]*(?:\n|\z)"
+_FENCE = r"(?md)^[^\S\n]*---[^\S\n]*(?:\n|\z)"
 
 
 def _key():
@@ -29,8 +29,10 @@ def declarations(docs: DataFrame) -> DataFrame:
     """
     opened = docs.filter(F.col("content").rlike(_OPENED)).select(
         "file_path",
-        F.when(F.col("content").rlike(_CLOSED), F.regexp_extract("content", _CLOSED, 1)).alias("content"),
-    )
+        # Before, between and after the first two fences; the text is scanned no further.
+        F.try_element_at(F.split("content", _FENCE, 3), F.lit(2)).alias("front"),
+        (F.size(F.split("content", _FENCE, 3)) == 3).alias("closed"),
+    ).select("file_path", F.when(F.col("closed"), F.col("front")).alias("content"))
     parsed = parse_yaml(opened).select(
         _key().alias("skill_key"),
         F.col("content").isNull().alias("unclosed"),

@@ -1,15 +1,18 @@
 """Keyed maintenance of catalog tables kept as parquet folders.
 
-A change writes a complete new folder and then publishes it by creating one small
-numbered marker. Readers follow the highest marker, so they see the old rows or
-the new rows and never a half-written table. The marker is created without
-overwrite: of two writers that started from the same version one fails.
+Rows lie in hash buckets of the key. A change reads and rewrites only the buckets
+its keys fall into, into new folders, and is published by creating one small
+numbered marker that lists the folders of every bucket. Readers follow the highest
+marker, so they see the old rows or the new rows and never a half-written table.
+The marker is created without overwrite: of two writers that started from the same
+version one fails.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -67,6 +70,9 @@ def change_counts(target: DataFrame, source: DataFrame, spec: TableSpec) -> Data
 # --- published tables ---
 
 
+Layout = dict[str, list[str]]
+
+
 class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -78,19 +84,25 @@ class Catalog:
     def _files(self):
         return self._path().getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
+    def _names(self, *parts: str) -> list[str]:
+        folder, files = self._path(*parts), self._files()
+        return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+
     def _markers(self, spec: TableSpec) -> list[int]:
-        folder = self._path(spec.name, "_published")
-        files = self._files()
-        if not files.exists(folder):
-            return []
-        return sorted(int(s.getPath().getName()) for s in files.listStatus(folder))
+        return sorted(int(n) for n in self._names(spec.name, "_published") if n.isdigit())
 
-    def _folder(self, spec: TableSpec, version: int) -> str:
+    def _layout(self, spec: TableSpec, version: int) -> Layout:
+        """Folders per non-empty bucket."""
+        if not version:
+            return {}
         stream = self._files().open(self._path(spec.name, "_published", f"{version:012d}"))
         try:
-            return f"{self.root}/{spec.name}/{stream.readUTF()}"
+            stored = json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
+        if stored["buckets"] != spec.buckets:
+            raise ValueError(f"table {spec.name} has {stored['buckets']} buckets, not {spec.buckets}")
+        return stored["parts"]
 
     def version(self, spec: TableSpec) -> int:
         return max(self._markers(spec), default=0)
@@ -98,31 +110,54 @@ class Catalog:
     def exists(self, spec: TableSpec) -> bool:
         return self.version(spec) > 0
 
+    def _rows(self, spec: TableSpec, layout: Layout) -> DataFrame:
+        base = f"{self.root}/{spec.name}"
+        paths = [f"{base}/write={w}/part={p}" for p, writes in layout.items() for w in writes]
+        if not paths:
+            return self.spark.createDataFrame([], spec.schema)
+        frame = self.spark.read.schema(spec.schema).option("basePath", base).parquet(*paths)
+        return frame.select(*spec.columns)
+
     def read(self, spec: TableSpec, version: int | None = None) -> DataFrame:
         version = version or self.version(spec)
         if not version:
             raise LookupError(f"table {spec.name} does not exist")
-        frame = self.spark.read.schema(spec.schema).parquet(self._folder(spec, version))
-        return frame.select(*spec.columns)
-
-    def _write(self, spec: TableSpec, rows: DataFrame) -> tuple[TableSpec, int, str]:
-        base = self.version(spec)
-        name = f"rows-{uuid.uuid4().hex}"
-        writer = spec.conform(rows).write
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(f"{self.root}/{spec.name}/{name}")
-        return spec, base + 1, name
-
-    def _publish(self, *written: tuple[TableSpec, int, str]) -> None:
+        return self._rows(spec, self._layout(spec, version))
+
+    def _write(self, spec: TableSpec, rows: DataFrame) -> Layout:
+        """New folders for these rows; nothing refers to them yet."""
+        name = uuid.uuid4().hex[:16]
+        placed = spec.conform(rows).withColumn("part", spec.bucket)
+        if spec.buckets > 1:
+            # One file set per bucket; a bucket that is far too big is split by size.
+            placed = placed.hint("rebalance", F.col("part"))
+        placed.write.partitionBy("part").parquet(f"{self.root}/{spec.name}/write={name}")
+        found = [n for n in self._names(spec.name, f"write={name}") if n.startswith("part=")]
+        return {n.removeprefix("part="): [name] for n in found}
+
+    def _publish(self, *changes: tuple[TableSpec, int, Layout]) -> None:
+        """Make the given layouts current; each must follow the version it started from."""
         files = self._files()
-        for spec, version, name in written:
-            stream = files.create(self._path(spec.name, "_published", f"{version:012d}"), False)
-            stream.writeUTF(name)
+        for spec, base, layout in changes:
+            stream = files.create(self._path(spec.name, "_published", f"{base + 1:012d}"), False)
+            stream.write(bytearray(json.dumps({"buckets": spec.buckets, "parts": layout}).encode()))
             stream.close()
 
-    def _empty(self, spec: TableSpec) -> DataFrame:
-        return self.spark.createDataFrame([], spec.schema)
+    def _rewritten(
+        self,
+        spec: TableSpec,
+        touched: DataFrame | None,
+        change: Callable[[DataFrame], DataFrame],
+    ) -> tuple[TableSpec, int, Layout]:
+        """``change`` applied to the buckets of ``touched`` (all buckets when None)."""
+        base = self.version(spec)
+        layout = self._layout(spec, base)
+        if touched is None or spec.buckets == 1:
+            return spec, base, self._write(spec, change(self._rows(spec, layout)))
+        parts = {str(r["part"]) for r in touched.select(spec.bucket.alias("part")).distinct().collect()}
+        old = self._rows(spec, {p: w for p, w in layout.items() if p in parts})
+        kept = {p: w for p, w in layout.items() if p not in parts}
+        return spec, base, {**kept, **self._write(spec, change(old))}
 
     def _single(self, spec: TableSpec, rows: DataFrame, sequence: str | None) -> DataFrame:
         """The change set, written once and with one row per key."""
@@ -138,23 +173,24 @@ class Catalog:
 
     def ensure(self, spec: TableSpec) -> None:
         if not self.exists(spec):
-            self.replace(spec)
+            self._publish((spec, 0, {}))
 
     def replace(self, spec: TableSpec, rows: DataFrame | None = None) -> None:
-        self._publish(self._write(spec, self._empty(spec) if rows is None else rows))
+        """New content; without ``rows`` the table becomes empty."""
+        base = self.version(spec)
+        self._publish((spec, base, {} if rows is None else self._write(spec, rows)))
 
     def insert(self, spec: TableSpec, rows: DataFrame) -> None:
-        """Append to the current version; keys are not checked."""
-        self.ensure(spec)
-        writer = spec.conform(rows).write.mode("append")
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(self._folder(spec, self.version(spec)))
+        """Append; keys are not checked and existing rows are not read."""
+        base = self.version(spec)
+        layout = self._layout(spec, base)
+        for part, writes in self._write(spec, rows).items():
+            layout[part] = [*layout.get(part, []), *writes]
+        self._publish((spec, base, layout))
 
     def upsert(self, spec: TableSpec, rows: DataFrame, sequence: str | None = None) -> None:
         changes = self._single(spec, rows, sequence)
-        self.ensure(spec)
-        self._publish(self._write(spec, merged(self.read(spec), changes, spec.keys)))
+        self._publish(self._rewritten(spec, changes, lambda old: merged(old, changes, spec.keys)))
 
     def delete(self, spec: TableSpec, key_columns: Sequence[str], rows: DataFrame) -> None:
         if not key_columns:
@@ -162,27 +198,27 @@ class Catalog:
         doomed = staged(rows.select(*key_columns).distinct(), "doomed")
         if doomed.isEmpty():
             return
-        self.ensure(spec)
-        self._publish(self._write(spec, without_keys(self.read(spec), doomed, key_columns)))
+        known = doomed if set(spec.bucket_by) <= set(key_columns) else None
+        self._publish(self._rewritten(spec, known, lambda old: without_keys(old, doomed, key_columns)))
 
     def reconcile(self, spec: TableSpec, rows: DataFrame, sequence: str | None = None) -> DataFrame:
         """Make the table equal to ``rows``; returns the change counts."""
         changes = self._single(spec, rows, sequence)
-        self.ensure(spec)
-        before = self.version(spec)
-        self._publish(self._write(spec, changes))
-        return change_counts(self.read(spec, before), changes, spec)
+        base = self.version(spec)
+        before = self._rows(spec, self._layout(spec, base))
+        self._publish((spec, base, self._write(spec, changes)))
+        return change_counts(before, changes, spec)
 
     def publish_family(self, registry: DataFrame, tables: Mapping[str, DataFrame]) -> None:
         """Replace a family and upsert its registry rows.
 
         All data is written before anything is published; the registry comes last.
         """
-        written = [self._write(ALL_TABLES[name], rows) for name, rows in tables.items()]
         changes = self._single(ROOT, registry, None)
-        self.ensure(ROOT)
-        written.append(self._write(ROOT, merged(self.read(ROOT), changes, ROOT.keys)))
-        self._publish(*written)
+        family = [ALL_TABLES[name] for name in tables]
+        written = [(spec, self.version(spec), self._write(spec, tables[spec.name])) for spec in family]
+        roots = self._rewritten(ROOT, changes, lambda old: merged(old, changes, ROOT.keys))
+        self._publish(*written, roots)
 
     def publish_skills(
         self, provider: str, roots: DataFrame, uses: DataFrame, *, prune: bool = False
@@ -191,30 +227,32 @@ class Catalog:
 
         Skills that disappeared keep their registry row unless ``prune`` is set.
         """
-        self.ensure(ROOT)
-        self.ensure(SKILL_USE)
         changes = self._single(ROOT, roots, None)
-        kept = self.read(ROOT)
-        if prune:
-            kept = kept.filter(~((F.col("provider") == provider) & F.col("key").startswith("skill/")))
-        others = self.read(SKILL_USE).filter(F.col("provider") != provider)
         use_rows = SKILL_USE.conform(uses).dropDuplicates(list(SKILL_USE.keys))
+        gone = (F.col("provider") == provider) & F.col("key").startswith("skill/")
+
+        def new_roots(old: DataFrame) -> DataFrame:
+            return merged(old.filter(~gone) if prune else old, changes, ROOT.keys)
+
         self._publish(
-            self._write(SKILL_USE, others.unionByName(use_rows)),
-            self._write(ROOT, merged(kept, changes, ROOT.keys)),
+            self._rewritten(
+                SKILL_USE, None, lambda old: old.filter(F.col("provider") != provider).unionByName(use_rows)
+            ),
+            self._rewritten(ROOT, None if prune else changes, new_roots),
         )
 
     def publish_skill_batch(self, roots: DataFrame, uses: DataFrame) -> None:
         """Upsert some skills: content by key, and for exactly these skills new uses."""
-        self.ensure(ROOT)
-        self.ensure(SKILL_USE)
         changes = self._single(ROOT, roots, None)
         touched = changes.select("provider", F.col("key").alias("skill_key"))
-        kept = without_keys(self.read(SKILL_USE), touched, ("provider", "skill_key"))
         use_rows = SKILL_USE.conform(uses).dropDuplicates(list(SKILL_USE.keys))
         self._publish(
-            self._write(SKILL_USE, kept.unionByName(use_rows)),
-            self._write(ROOT, merged(self.read(ROOT), changes, ROOT.keys)),
+            self._rewritten(
+                SKILL_USE,
+                touched,
+                lambda old: without_keys(old, touched, ("provider", "skill_key")).unionByName(use_rows),
+            ),
+            self._rewritten(ROOT, changes, lambda old: merged(old, changes, ROOT.keys)),
         )
 
     def create_views(self, prefix: str = "") -> list[str]:
@@ -228,10 +266,16 @@ class Catalog:
 
     def expire(self, spec: TableSpec, keep: int = 2) -> int:
         """Remove all but the newest ``keep`` versions; returns how many went."""
-        old = self._markers(spec)[:-keep] if keep > 0 else []
+        markers = self._markers(spec)
+        old, kept = markers[:-keep], markers[-keep:]
+
+        def folders(versions: list[int]) -> set[str]:
+            return {w for v in versions for writes in self._layout(spec, v).values() for w in writes}
+
+        unused = folders(old) - folders(kept)
         files = self._files()
         for version in old:
-            folder = self._folder(spec, version)
             files.delete(self._path(spec.name, "_published", f"{version:012d}"), False)
-            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+        for name in unused:
+            files.delete(self._path(spec.name, f"write={name}"), True)
         return len(old)

@@ -36,6 +36,21 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out work ahead of costly per-row parsing when the input is small.
+
+    Bytes decide how many tasks a scan or a coalesced shuffle gets, and parsing
+    costs far more than reading. An input too small to give every core a full-size
+    task is redistributed, which is cheap because it is small. A big input already
+    has enough tasks and is left as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    task_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * task_bytes else df
+
+
 def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     return written(df, run_folder(df.sparkSession, label))
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BATCH_ROWS = 256
 
+# Ship our parse functions inside the task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
+
 
 def flat_map_documents(
     docs: DataFrame,

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.text import strip_comments
+from ..runtime import spread
 from .arrow import flat_map_documents
 
 BLOCKS = T.StructType(
@@ -101,5 +102,5 @@ def lookml_rows(path: str, text: str):
 
 def parse_lookml(docs: DataFrame) -> DataFrame:
     """``(file_path, kind, view_name, name, props, error)``; a broken file gives one error row."""
-    clean = docs.select("file_path", strip_comments(F.col("content")).alias("content"))
+    clean = spread(docs).select("file_path", strip_comments(F.col("content")).alias("content"))
     return flat_map_documents(clean, lookml_rows, BLOCKS)

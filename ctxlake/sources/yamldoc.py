@@ -11,6 +11,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..runtime import spread
 from .arrow import flat_map_documents
 
 _SCHEMA = T.StructType(
@@ -66,7 +67,7 @@ def parse_yaml(docs: DataFrame, *, tree: str | None = None, tag_dates: bool = Fa
         paths = list(_mapping_paths(doc.get(tree))) if tree and isinstance(doc, dict) else None
         yield (path, content, text, paths, None)
 
-    return flat_map_documents(docs, parse, _SCHEMA)
+    return flat_map_documents(spread(docs), parse, _SCHEMA)
 
 
 def mappings(parsed: DataFrame) -> DataFrame:

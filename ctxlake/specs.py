@@ -7,9 +7,9 @@ both live here; ``operators.checks`` turns them into violation DataFrames and
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _STRING = T.StringType()
 _TYPES = {
@@ -33,7 +33,8 @@ class TableSpec:
     name: str
     schema: T.StructType
     keys: tuple[str, ...]
-    partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 1
 
     @property
     def columns(self) -> list[str]:
@@ -47,12 +48,24 @@ class TableSpec:
     def value_columns(self) -> list[str]:
         return [c for c in self.columns if c not in self.keys]
 
+    def with_buckets(self, buckets: int) -> TableSpec:
+        """The same table spread over hash buckets of ``bucket_by``.
+
+        A change then rewrites only the buckets its keys fall into. Choose the number
+        once per table, so that a bucket holds a few files of full size.
+        """
+        return replace(self, buckets=buckets)
+
+    @property
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+
     def conform(self, df: DataFrame) -> DataFrame:
         """The table's columns by name, in order, in the declared types."""
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
 
-def _table(name: str, keys: str, columns: str, partition_by: str = "") -> TableSpec:
+def _table(name: str, keys: str, columns: str, bucket_by: str = "") -> TableSpec:
     """``columns`` is ``name[!][:type] ...``; ``!`` marks a required column."""
     fields = []
     for item in columns.split():
@@ -60,7 +73,7 @@ def _table(name: str, keys: str, columns: str, partition_by: str = "") -> TableS
         fields.append(
             T.StructField(label.rstrip("!"), _TYPES[kind or "text"], nullable=not label.endswith("!"))
         )
-    return TableSpec(name, T.StructType(fields), tuple(keys.split()), tuple(partition_by.split()))
+    return TableSpec(name, T.StructType(fields), tuple(keys.split()), tuple((bucket_by or keys).split()))
 
 
 _NOTE_TAIL = (
@@ -68,12 +81,12 @@ _NOTE_TAIL = (
     "confidence:double importance:double created_at:timestamp updated_at:timestamp"
 )
 
-ROOT = _table("root", "provider key", "provider! key! content!", partition_by="provider")
+ROOT = _table("root", "provider key", "provider! key! content!")
 SKILL_USE = _table(
     "skill_use",
     "provider skill_key use_kind object_ref",
     "provider! skill_key! use_kind! object_ref!",
-    partition_by="provider",
+    bucket_by="provider skill_key",
 )
 DBT_MODEL = _table(
     "dbt_model",

@@ -338,7 +338,7 @@ def time_dimensions(spark, sf):
 
 @query
 def metric_sources(spark, sf):
-    rows = d.osi_models(spark, sf)
+    rows = osi.model_rows(staged(parse_yaml(d.osi_documents(spark, sf)), "osi"))
     return metrics.metric_sources(osi.metrics(rows), osi.datasets(rows))
 
 
@@ -351,7 +351,7 @@ def dataset_model_docs(spark, sf):
         F.split_part("source", F.lit("."), F.lit(2)).alias("schema_part"),
         F.split_part("source", F.lit("."), F.lit(3)).alias("table_part"),
     )
-    nodes = d.manifest_nodes(spark, sf)
+    nodes = staged(d.manifest_nodes(spark, sf), "nodes")
     docs = search.attach_model_docs(sets, manifest.models(nodes), "schema_part", "table_part")
     keyed = docs.withColumn("wanted", F.lit("C_ACCTBAL"))
     return search.attach_column_docs(keyed, manifest.columns(nodes), "wanted").select(
@@ -653,6 +653,8 @@ ORDERS = TableSpec(
         ]
     ),
     ("o_orderkey",),
+    ("o_orderkey",),
+    buckets=4,
 )
 
 
@@ -820,14 +822,14 @@ def missing_values(spark, sf):
 @query
 def broken_references(spark, sf):
     """Edges to models that are not in the catalog (their nodes are tests)."""
-    nodes = d.manifest_nodes(spark, sf)
+    nodes = staged(d.manifest_nodes(spark, sf), "nodes")
     return checks.reference_violations(manifest.family(nodes))
 
 
 @query
 def family_key_violations(spark, sf):
     """Repeated keys over the note tables and the models' datasets."""
-    rows = notes.note_rows(d.parsed_notes(spark, sf))
+    rows = notes.note_rows(staged(d.parsed_notes(spark, sf), "notes"))
     tables = notes.family(rows)
     both = tables["notes_on_schemata"].unionByName(
         tables["notes_on_columns"].select(F.col("table_schema").alias("schema_name"), *[
@@ -839,5 +841,5 @@ def family_key_violations(spark, sf):
 
 @query
 def table_counts(spark, sf):
-    nodes = d.manifest_nodes(spark, sf)
+    nodes = staged(d.manifest_nodes(spark, sf), "nodes")
     return checks.row_counts(manifest.family(nodes))
