@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import specs
+from ..runtime import staged
 
 OBJECT_KEYS = {
     "notes_on_schemata": ("schema_name",),
@@ -41,6 +42,8 @@ def context(notes: DataFrame, keys: Sequence[str], *, page_notes: int = PAGE_NOT
         F.col("notes_on_highest_importance").alias("_highest"),
         F.ceil(F.col("notes_on_count") / page_notes).alias("_pages"),
     )
+    # Written, so that the join sees how small it is and need not shuffle the notes.
+    big = staged(big, "big-objects")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     hashed = F.conv(F.left(F.md5("note_id"), F.lit(8)), 16, 10).cast("long")
     paged = notes.join(big, same, "left").select(

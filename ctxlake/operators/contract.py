@@ -63,6 +63,7 @@ def rules(contract: dict[str, Kind], top: str) -> list[tuple]:
 def node_rows(frame: DataFrame, document: Column, depth: int) -> DataFrame:
     """Every value of a document down to ``depth``: ``(file_path, path, parent, shape, value)``.
 
+    ``parent`` is the shape of the object a named value is a field of.
     Each level passes earlier nodes on and adds the children of the newest ones, so
     the whole walk is one chain of generators over one read of the documents.
     """
@@ -77,10 +78,10 @@ def node_rows(frame: DataFrame, document: Column, depth: int) -> DataFrame:
     for level in range(depth):
         value = F.col("value")
 
-        def child(step: Column, name: Column, v: Column, at: int = level + 1) -> Column:
+        def child(step: Column, name: Column, v: Column, owner: Column, at: int = level + 1) -> Column:
             return F.struct(
                 F.concat("path", F.lit("/"), step).alias("path"),
-                F.col("shape").alias("parent"),
+                owner.alias("parent"),
                 F.concat("shape", F.lit("/"), name).alias("shape"),
                 v.alias("value"),
                 F.lit(at).alias("level"),
@@ -88,11 +89,11 @@ def node_rows(frame: DataFrame, document: Column, depth: int) -> DataFrame:
 
         members = F.transform(
             F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
-            lambda e: child(e["key"], e["key"], e["value"]),
+            lambda e: child(e["key"], e["key"], e["value"], F.col("shape")),
         )
         elements = F.transform(
             F.try_variant_get(value, "$", "array<variant>"),
-            lambda v, i: child(i.cast("string"), F.lit("[]"), v),
+            lambda v, i: child(i.cast("string"), F.lit("[]"), v, F.lit(None).cast("string")),
         )
         own = F.array(F.struct("path", "parent", "shape", "value", "level"))
         none = F.slice(own, 1, 0)

@@ -284,11 +284,13 @@ def _dataset(model: Model, name: str, read: Reader) -> DataFrame:
     return frame.select(*kept, *[F.expr(sql).alias(f) for f, sql in computed.items()]).alias(name)
 
 
-def star(model: Model, needed: Sequence[str], read: Reader) -> DataFrame:
+def star(
+    model: Model, needed: Sequence[str], read: Reader, base_rows: DataFrame | None = None
+) -> DataFrame:
     """Left joins from the base dataset along the relationships to every needed one."""
     base = base_dataset(model, needed)
     routes = _routes(model, base)
-    joined = _dataset(model, base, read)
+    joined = _dataset(model, base, read) if base_rows is None else base_rows.alias(base)
     attached = {base}
     for target in needed:
         for source, to, from_columns, to_columns in routes[target]:
@@ -324,74 +326,140 @@ def evaluate(
     """
     formulas = {m: model.metrics[m] for m in metrics}
     needed = _datasets_in(model, *formulas.values(), *group_by, *([where] if where else []))
+    if not grain_safe:
+        early = _aggregated_before_join(model, formulas, needed, read, group_by, where)
+        if early is not None:
+            return early
     joined = star(model, needed, read)
     if where:
         joined = joined.filter(F.expr(where))
     if grain_safe:
         return _grain_safe(model, formulas, joined, base_dataset(model, needed), group_by)
-    aggregates = [F.expr(sql).alias(name) for name, sql in formulas.items()]
+    return _grouped(joined, group_by, [F.expr(sql).alias(name) for name, sql in formulas.items()])
+
+
+def _grouped(rows: DataFrame, group_by: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
     groups = _group_columns(group_by)
-    return joined.groupBy(*groups).agg(*aggregates) if groups else joined.agg(*aggregates)
+    return rows.groupBy(*groups).agg(*aggregates) if groups else rows.agg(*aggregates)
 
 
 def _closing(text: str, opened: int) -> int:
-    depth = 0
+    depth, quote = 0, ""
     for i in range(opened, len(text)):
-        depth += {"(": 1, ")": -1}.get(text[i], 0)
-        if depth == 0:
-            return i
+        if quote:
+            quote = "" if text[i] == quote else quote
+        elif text[i] in "'\"":
+            quote = text[i]
+        else:
+            depth += {"(": 1, ")": -1}.get(text[i], 0)
+            if depth == 0:
+                return i
     raise ValueError(f"unbalanced formula: {text}")
 
 
-def _grain_safe(model, formulas, joined, base, group_by) -> DataFrame:
-    """Each aggregate over a "one" side sees every row of that side once per group."""
-    terms: list[tuple[str, str]] = []
-    outer: dict[str, str] = {}
+def _aggregate_terms(formulas: Mapping[str, str]) -> tuple[list[tuple[str, str, str]], dict[str, list[str]]]:
+    """Aggregate calls as ``(alias, function, sql)``, and each formula as text pieces
+    with the aliases at odd positions."""
+    terms: list[tuple[str, str, str]] = []
+    pieces: dict[str, list[str]] = {}
     for name, sql in formulas.items():
-        text, at = "", 0
+        parts, at = [], 0
         while match := _AGGREGATE.search(sql, at):
-            end = _closing(sql, match.end() - 1)
-            terms.append((f"_t{len(terms)}", sql[match.start() : end + 1]))
-            text += sql[at : match.start()] + f"`{terms[-1][0]}`"
-            at = end + 1
-        outer[name] = text + sql[at:]
+            end = _closing(sql, match.end() - 1) + 1
+            terms.append((f"_t{len(terms)}", match.group(1).upper(), sql[match.start() : end]))
+            parts += [sql[at : match.start()], terms[-1][0]]
+            at = end
+        pieces[name] = [*parts, sql[at:]]
+    return terms, pieces
+
+
+# How partial results of an aggregate are combined.
+_MERGE = {"SUM": "SUM({0})", "COUNT": "COALESCE(SUM({0}), 0)", "MIN": "MIN({0})", "MAX": "MAX({0})"}
+
+
+def _aggregated_before_join(
+    model: Model,
+    formulas: Mapping[str, str],
+    needed: Sequence[str],
+    read: Reader,
+    group_by: Sequence[str],
+    where: str | None,
+) -> DataFrame | None:
+    """Aggregate the base dataset per foreign key first, then join and combine.
+
+    Possible when every aggregate is over base columns and can be combined, and
+    one relationship leads out of the base. Facts are then reduced before the
+    shuffle and a key that holds a large share of them is a single row in the join.
+    """
+    base = base_dataset(model, needed)
+    routes = _routes(model, base)
+    links = {routes[n][0] for n in needed if n != base}
+    terms, pieces = _aggregate_terms(formulas)
+    simple = all(
+        function in _MERGE
+        and not re.match(r"\w+\s*\(\s*DISTINCT\b", sql, re.I)
+        and set(_datasets_in(model, sql)) <= {base}
+        for _, function, sql in terms
+    )
+    outside = "".join(p for parts in pieces.values() for p in parts[::2])
+    filterable = where is None or set(_datasets_in(model, where)) <= {base}
+    if len(links) != 1 or not simple or not filterable or not terms or _datasets_in(model, outside):
+        return None
+    (_, _, foreign_key, _), = links
+    rows = _dataset(model, base, read)
+    if where:
+        rows = rows.filter(F.expr(where))
+    own = [g.split(".", 1)[1] for g in group_by if g.split(".", 1)[0] == base]
+    kept = [F.col(f"{base}.{c}").alias(c) for c in dict.fromkeys([*foreign_key, *own])]
+    partial = rows.groupBy(*kept).agg(*[F.expr(sql).alias(alias) for alias, _, sql in terms])
+    merge = {alias: _MERGE[function].format(f"`{alias}`") for alias, function, _ in terms}
+    finals = [
+        F.expr("".join(merge.get(p, p) if i % 2 else p for i, p in enumerate(parts))).alias(name)
+        for name, parts in pieces.items()
+    ]
+    return _grouped(star(model, needed, read, partial), group_by, finals)
+
+
+def _grain_safe(model, formulas, joined, base, group_by) -> DataFrame:
+    """Each aggregate over a "one" side sees every row of that side once per group."""
+    terms, pieces = _aggregate_terms(formulas)
+    outer = {n: "".join(f"`{p}`" if i % 2 else p for i, p in enumerate(parts)) for n, parts in pieces.items()}
     groups = [g.split(".", 1)[1] for g in group_by]
     parts: dict[str, list[tuple[str, str]]] = {}
-    for alias, sql in terms:
+    for alias, _, sql in terms:
         owners = _datasets_in(model, sql)
         owner = owners[0] if len(owners) == 1 and owners[0] != base else base
         parts.setdefault(owner, []).append((alias, sql))
 
     def total(owner: str, items: list[tuple[str, str]]) -> DataFrame:
-        rows = joined
-        if owner != base:
-            if not model.keys[owner]:
-                raise ValueError(f"dataset {owner} has no primary key")
-            used = sorted(
-                {m.group(2) for _, sql in items for m in _QUALIFIED.finditer(sql)} | set(model.keys[owner])
-            )
-            keep = [F.col(f"{owner}.{c}").alias(f"_c_{c}") for c in used]
-            rows = joined.select(*_group_columns(group_by), *keep).distinct()
-            items = [(a, _QUALIFIED.sub(lambda m: f"`_c_{m.group(2)}`", sql)) for a, sql in items]
-            columns = [F.col(g) for g in groups]
-        else:
-            columns = _group_columns(group_by)
-        aggregates = [F.expr(sql).alias(a) for a, sql in items]
-        return rows.groupBy(*columns).agg(*aggregates) if columns else rows.agg(*aggregates)
+        if owner == base:
+            return _grouped(joined, group_by, [F.expr(sql).alias(a) for a, sql in items])
+        if not model.keys[owner]:
+            raise ValueError(f"dataset {owner} has no primary key")
+        used = sorted({m.group(2) for _, sql in items for m in _QUALIFIED.finditer(sql)} | set(model.keys[owner]))
+        keep = [F.col(f"{owner}.{c}").alias(f"_c_{c}") for c in used]
+        # Rows of facts without a match are not rows of this side.
+        rows = joined.filter(F.col(f"{owner}.{model.keys[owner][0]}").isNotNull())
+        rows = rows.select(*_group_columns(group_by), *keep).distinct()
+        local = [
+            F.expr(_QUALIFIED.sub(lambda m: f"`_c_{m.group(2)}`", sql)).alias(a) for a, sql in items
+        ]
+        return rows.groupBy(*groups).agg(*local) if groups else rows.agg(*local)
 
     frames = [total(owner, items) for owner, items in parts.items()]
     result = frames[0]
     for frame in frames[1:]:
-        if groups:
-            renamed = frame.select(*[F.col(g).alias(f"_g_{g}") for g in groups], *[c for c in frame.columns if c not in groups])
-            condition = None
-            for g in groups:
-                pair = result[g].eqNullSafe(renamed[f"_g_{g}"])
-                condition = pair if condition is None else condition & pair
-            result = result.join(renamed, condition).drop(*[f"_g_{g}" for g in groups])
-        else:
-            for name in frame.columns:
+        values = [c for c in frame.columns if c not in groups]
+        if not groups:
+            for name in values:
                 result = result.withColumn(name, frame.select(name).scalar())
+            continue
+        other = frame.select(*[F.col(g).alias(f"_g_{g}") for g in groups], *values)
+        same = None
+        for g in groups:
+            pair = F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+            same = pair if same is None else same & pair
+        result = result.join(other, same, "left").drop(*[f"_g_{g}" for g in groups])
     return result.select(*groups, *[F.expr(text).alias(n) for n, text in outer.items()])
 
 
@@ -418,43 +486,54 @@ def time_field(model: Model, dataset: str) -> str:
     return f"{dataset}.{marked[0]}"
 
 
+_STEP = {
+    "year": "INTERVAL 1 YEAR",
+    "quarter": "INTERVAL 3 MONTH",
+    "month": "INTERVAL 1 MONTH",
+    "week": "INTERVAL 7 DAY",
+    "day": "INTERVAL 1 DAY",
+}
+
+
 def year_to_date(
     model: Model, metric: str, read: Reader, *, time: str, year: int, group_by: Sequence[str] = ()
 ) -> DataFrame:
     """A metric for ``year``; if the data has no such rows, for its latest year.
 
-    Adds ``year``, ``from_time`` and ``to_time``: the range actually used. The year is
-    found by a scalar subquery over the time column alone, and the main pass reads
-    only that year's rows.
+    Adds ``year``, ``from_time`` and ``to_time``: the range actually used.
     """
-    at = _dataset(model, time.split(".", 1)[0], read).select(F.year(F.col(time)).alias("y"))
-    chosen = at.agg(F.coalesce(F.max(F.when(F.col("y") == year, F.col("y"))), F.max("y"))).scalar()
-    return _in_period(model, metric, read, time, F.year(F.col(time)) == chosen, group_by, "year")
+    at = F.col(time)
+    asked = F.max(F.when(F.year(at) == year, F.date_trunc("year", at)))
+    start = F.coalesce(asked, F.date_trunc("year", F.max(at)))
+    return _in_period(model, metric, read, time, start, "year", group_by)
 
 
 def latest_period(
     model: Model, metric: str, read: Reader, *, time: str, grain: str = "month", group_by: Sequence[str] = ()
 ) -> DataFrame:
     """A metric for the latest period present in the time dimension."""
-    at = _dataset(model, time.split(".", 1)[0], read).select(F.date_trunc(grain, F.col(time)).alias("p"))
-    latest = at.agg(F.max("p")).scalar()
-    return _in_period(
-        model, metric, read, time, F.date_trunc(grain, F.col(time)) == latest, group_by, grain
-    )
-
-
-def _in_period(model, metric, read, time, condition, group_by, grain) -> DataFrame:
+    start = F.date_trunc(grain, F.max(F.col(time)))
+    return _in_period(model, metric, read, time, start, grain, group_by)
+
+
+def _in_period(model, metric, read, time, start, grain, group_by) -> DataFrame:
+    """The bounds are scalar subqueries over the time column alone. They are compared
+    with the bare column in its own type, so the main scan can skip by its statistics."""
+    dataset = _dataset(model, time.split(".", 1)[0], read)
+    kind = dataset.select(time).schema[0].dataType
+    bounds = dataset.agg(start.alias("start")).selectExpr("start", f"start + {_STEP[grain]} AS stop")
+    low = bounds.select(F.col("start").cast(kind)).scalar()
+    high = bounds.select(F.col("stop").cast(kind)).scalar()
     sql = model.metrics[metric]
     needed = _datasets_in(model, sql, time, *group_by)
-    rows = star(model, needed, read).filter(condition)
+    rows = star(model, needed, read).filter((F.col(time) >= low) & (F.col(time) < high))
     aggregates = [
         F.expr(sql).alias(metric),
         F.min(F.col(time)).alias("from_time"),
         F.max(F.col(time)).alias("to_time"),
     ]
-    groups = _group_columns(group_by)
-    result = rows.groupBy(*groups).agg(*aggregates) if groups else rows.agg(*aggregates)
-    return result.withColumn(grain, F.date_trunc(grain, "from_time") if grain != "year" else F.year("from_time"))
+    period = F.year("from_time") if grain == "year" else F.date_trunc(grain, "from_time")
+    return _grouped(rows, group_by, aggregates).withColumn(grain, period)
 
 
 def evaluate_measures(rows: DataFrame, measures: Mapping[str, str], group_by: Sequence[str] = ()) -> DataFrame:

@@ -556,7 +556,8 @@ def notes_repeated_ids(spark, sf):
 
 def _context(spark: SparkSession, sf: str, section: str) -> DataFrame:
     table = notes.SECTIONS[section].name
-    found = context.context(_section(spark, sf, section), context.OBJECT_KEYS[table])
+    rows = staged(_section(spark, sf, section), "notes")
+    found = context.context(rows, context.OBJECT_KEYS[table])
     return found.withColumns(
         {
             "note_ids": F.array_join(F.transform("notes_on_notes", lambda n: n["note_id"]), ","),
