@@ -67,6 +67,13 @@ def omni_measure_sources(measures: DataFrame, views: DataFrame, models: DataFram
 
 
 _REFERENCE = r"\$\{\s*([A-Za-z_][\w.]*)\s*\}"
+_LOCAL_REFERENCE = r"\$\{\s*([A-Za-z_]\w*)\s*\}"
+
+
+def _with_own_view(sql: Column, view: Column) -> Column:
+    """References qualified by view, so they mean the same wherever the text is inlined."""
+    plain = F.regexp_replace(plain_lookml_sql(sql), _REFERENCE, r"\${$1}")
+    return F.regexp_replace(plain, F.lit(_LOCAL_REFERENCE), F.concat(F.lit(r"\${"), view, F.lit(".$1}")))
 
 
 def expand_formulas(formulas: DataFrame, fields: DataFrame, *, max_rounds: int = 20) -> DataFrame:
@@ -80,11 +87,15 @@ def expand_formulas(formulas: DataFrame, fields: DataFrame, *, max_rounds: int =
     """
     lookup = staged(
         fields.select(
-            F.col("view_name").alias("_v"), F.col("name").alias("_f"), plain_lookml_sql(F.col("sql")).alias("_sql")
+            F.col("view_name").alias("_v"),
+            F.col("name").alias("_f"),
+            _with_own_view(F.col("sql"), F.col("view_name")).alias("_sql"),
         ).dropDuplicates(["_v", "_f"]),
         "fields",
     )
-    open_rows = formulas.select("view_name", "name", "sql", plain_lookml_sql(F.col("sql")).alias("resolved"))
+    open_rows = formulas.select(
+        "view_name", "name", "sql", _with_own_view(F.col("sql"), F.col("view_name")).alias("resolved")
+    )
     done: list[DataFrame] = []
     for _ in range(max_rounds):
         open_rows = staged(
@@ -99,9 +110,9 @@ def expand_formulas(formulas: DataFrame, fields: DataFrame, *, max_rounds: int =
         if pending.isEmpty():
             break
         refs = pending.select("view_name", "name", F.explode("refs").alias("ref"))
-        target = F.when(F.contains("ref", F.lit(".")), F.substring_index("ref", ".", 1)).otherwise(F.col("view_name"))
-        refs = refs.withColumn("_v", target).withColumn("_f", F.substring_index("ref", ".", -1))
-        plain = F.col("_sql").rlike(r"^[\w.]+$")
+        field_name = F.substring_index("ref", ".", -1)
+        refs = refs.withColumn("_f", field_name).withColumn("_v", F.regexp_replace("ref", r"\.[^.]*$", ""))
+        plain = F.col("_sql").rlike(r"^(?:[\w.]+|\$\{[\w.]+\})$")
         text = F.when(plain, F.col("_sql")).otherwise(F.concat(F.lit("("), "_sql", F.lit(")")))
         found = (
             refs.join(lookup, ["_v", "_f"], "left")
