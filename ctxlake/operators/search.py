@@ -68,11 +68,13 @@ def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool
 
     The dot between schema and name is always a fixed character, and ``_`` stands
     for exactly one, so the text around a dot of the reference, with the wildcard
-    positions blanked, must equal the pattern. First the few fixed characters next
-    to the dot tell which *shapes* (lengths and wildcard positions) can apply
-    there; then each reference emits its blanked text per shape, and that text is
-    an equi-join key. Hot names cost their true matches only. Patterns with ``%``
-    are joined on the part around the dot and checked with LIKE.
+    positions blanked, must equal the pattern. Three equi-joins narrow it down: the
+    few fixed characters next to the dot give the lengths that can apply there, the
+    last fixed characters at that length give the wildcard positions, and the text
+    blanked at these positions is the pattern itself. Many models sharing a prefix
+    therefore cost a reference one row per length, not one per model, and a hot name
+    costs its true matches. Patterns with ``%`` are joined on the part around the
+    dot and checked with LIKE.
     """
     patterns = models.filter("schema_name IS NOT NULL AND name IS NOT NULL").select(
         F.col("unique_id").alias("dbt_model_id"),
@@ -86,6 +88,7 @@ def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool
     after = F.col("_n") if literal else F.substring_index("_n", "%", 1)
     blank = r"(?s)." if literal else r"[^_]"
     near, near_left, near_right = _near_key(before, after, literal)
+    tail = F.right(after if literal else F.substring_index(after, "_", -1), F.lit(NEAR))
     piece = F.concat(before, F.lit("."), after)
     patterns = patterns.select(
         "*",
@@ -96,9 +99,14 @@ def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool
         near.alias("_near"),
         near_left.alias("_near_left"),
         near_right.alias("_near_right"),
+        tail.alias("_tail"),
+        F.length(tail).alias("_tail_size"),
         F.contains(F.concat("_s", F.lit("."), "_n"), F.lit("%")).alias("_percent"),
     )
-    shapes = patterns.select("_near", "_near_left", "_near_right", "_before", "_after", "_mask").distinct()
+    at_dot = ["_near", "_near_left", "_near_right"]
+    at_end = [*at_dot, "_before", "_after", "_tail_size"]
+    lengths = patterns.select(*at_end).distinct()
+    shapes = patterns.select(*at_end, "_tail", "_mask").distinct()
 
     refs = views.select(F.lower("sql_table_name").alias("_ref")).filter("_ref IS NOT NULL").distinct()
     size = F.length("_ref")
@@ -137,10 +145,13 @@ def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool
         "",
     )
     has_wildcard = F.lit(False) if literal else F.contains("_mask", F.lit("_"))
+    end = F.substr(F.col("_ref"), F.col("_dot") + F.col("_after") - F.col("_tail_size") + 1, F.col("_tail_size"))
     candidates = (
-        windows.join(shapes, ["_near", "_near_left", "_near_right"])
+        windows.join(lengths, at_dot)
         .filter(F.col("_dot") > F.col("_before"))
         .filter(F.col("_dot") + F.col("_after") <= size)
+        .withColumn("_tail", end)
+        .join(shapes, [*at_end, "_tail"])
         .select("_ref", "_mask", F.when(has_wildcard, blanked).otherwise(around).alias("_piece"))
         .distinct()
     )

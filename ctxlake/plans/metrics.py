@@ -93,16 +93,16 @@ def expand_formulas(formulas: DataFrame, fields: DataFrame, *, max_rounds: int =
         ).dropDuplicates(["_v", "_f"]),
         "fields",
     )
-    open_rows = formulas.select(
-        "view_name", "name", "sql", _with_own_view(F.col("sql"), F.col("view_name")).alias("resolved")
+    open_rows = staged(
+        formulas.select(
+            "view_name", "name", "sql", _with_own_view(F.col("sql"), F.col("view_name")).alias("resolved")
+        ),
+        "formulas",
     )
     done: list[DataFrame] = []
     for _ in range(max_rounds):
-        open_rows = staged(
-            open_rows.withColumn(
-                "refs", F.array_distinct(F.regexp_extract_all("resolved", F.lit(_REFERENCE), 1))
-            ),
-            "formulas",
+        open_rows = open_rows.withColumn(
+            "refs", F.array_distinct(F.regexp_extract_all("resolved", F.lit(_REFERENCE), 1))
         )
         finished = F.coalesce(F.size("refs"), F.lit(0)) <= 0
         done.append(open_rows.filter(finished).withColumn("status", F.lit("ok")).drop("refs"))
@@ -145,16 +145,24 @@ def expand_formulas(formulas: DataFrame, fields: DataFrame, *, max_rounds: int =
     return result
 
 
-# Declared aggregate kinds that have a Spark aggregate.
+# Declared aggregate kinds that have a Spark aggregate, with the text that opens the call.
 AGGREGATES = {
-    "count": "count",
-    "sum": "sum",
-    "average": "avg",
-    "avg": "avg",
-    "min": "min",
-    "max": "max",
-    "count_distinct": "count_distinct",
+    "count": "COUNT(",
+    "count_distinct": "COUNT(DISTINCT ",
+    "sum": "SUM(",
+    "average": "AVG(",
+    "avg": "AVG(",
+    "min": "MIN(",
+    "max": "MAX(",
 }
+_FILTER = r"""([A-Za-z_][\w.]*)\s*:\s*("[^"]*"|'[^']*')"""
+
+
+def _filter_clause(pair: Column) -> Column:
+    """``field: "a, b"`` → ``field IN ('a','b')``."""
+    name = F.substring_index(F.regexp_extract(pair, r"^([\w.]+)", 1), ".", -1)
+    values = F.replace(F.regexp_extract(pair, r"[\"'](.*)[\"']", 1), F.lit("'"), F.lit("''"))
+    return F.concat(name, F.lit(" IN ('"), F.regexp_replace(values, r"\s*,\s*", "','"), F.lit("')"))
 
 
 def measure_formula(kind: Column, sql: Column, filters: Column | None = None) -> Column:
@@ -164,32 +172,16 @@ def measure_formula(kind: Column, sql: Column, filters: Column | None = None) ->
     compared for equality, a comma list is any of its values.
     """
     kind = F.lower(kind)
+    opened = None
+    for name, text in AGGREGATES.items():
+        opened = F.when(kind == name, F.lit(text)) if opened is None else opened.when(kind == name, F.lit(text))
     value = F.when(kind == "count", F.coalesce(sql, F.lit("1"))).otherwise(sql)
     if filters is not None:
-        pairs = F.regexp_extract_all(filters, F.lit(r"([A-Za-z_][\w.]*)\s*:\s*(\"[^\"]*\"|'[^']*')"), 0)
-        clauses = F.transform(
-            pairs,
-            lambda p: F.concat(
-                F.substring_index(F.regexp_extract(p, r"^([\w.]+)", 1), ".", -1),
-                F.lit(" IN ('"),
-                F.regexp_replace(
-                    F.replace(F.regexp_extract(p, r"[\"'](.*)[\"']", 1), F.lit("'"), F.lit("''")),
-                    r"\s*,\s*",
-                    "','",
-                ),
-                F.lit("')"),
-            ),
-        )
-        condition = F.when(F.size(clauses) > 0, F.array_join(clauses, " AND "))
-        value = F.when(
-            condition.isNotNull(), F.concat(F.lit("CASE WHEN "), condition, F.lit(" THEN "), value, F.lit(" END"))
-        ).otherwise(value)
-    out = F.when(kind == "count", F.concat(F.lit("COUNT("), value, F.lit(")")))
-    out = out.when(kind == "count_distinct", F.concat(F.lit("COUNT(DISTINCT "), value, F.lit(")")))
-    for name, function in AGGREGATES.items():
-        if name not in ("count", "count_distinct"):
-            out = out.when(kind == name, F.concat(F.lit(function.upper() + "("), value, F.lit(")")))
-    return out
+        clauses = F.transform(F.regexp_extract_all(filters, F.lit(_FILTER), 0), _filter_clause)
+        condition = F.nullif(F.array_join(clauses, " AND "), F.lit(""))
+        guarded = F.concat(F.lit("CASE WHEN "), condition, F.lit(" THEN "), value, F.lit(" END"))
+        value = F.coalesce(guarded, value)
+    return F.concat(opened, value, F.lit(")"))
 
 
 def omni_measure_formula(aggregate_type: Column, sql: Column) -> Column:

@@ -179,6 +179,13 @@ ORACLE: dict[str, str] = {
       SELECT DISTINCT 'models/b' || (p_partkey // 50) || '.view.lkml' AS file_path FROM part
       WHERE (p_partkey // 50) % 3 = 0
     """,
+    "lookml_last_file_wins": """
+      SELECT 'part_' || p_partkey AS name,
+        CASE WHEN (p_partkey // 50) % 10 = 0 THEN 'Now for ' ELSE 'Use for ' END || p_type AS ai_context,
+        CASE WHEN (p_partkey // 50) % 10 = 0 THEN 'zz/' ELSE '' END || 'models/b' || (p_partkey // 50) || '.view.lkml'
+          AS file_path
+      FROM part
+    """,
     "lookml_formulas": """
       SELECT 'part_' || p_partkey AS view_name, 'total_price' AS name, 'ok' AS status,
         CASE WHEN p_partkey % 4 = 0 THEN '(p_retailprice * 2)' ELSE 'p_retailprice' END AS resolved,
@@ -533,6 +540,10 @@ ORACLE: dict[str, str] = {
     "semantic_pointers": """
       SELECT DISTINCT 'semantic_view/WH.S' || s_nationkey || '.' || s_name AS key FROM supplier
     """,
+    "semantic_pointers_sql": """
+      SELECT DISTINCT 'semantic_view/WH.S' || s_nationkey || '.' || s_name AS key, '# Semantic view' AS title
+      FROM supplier
+    """,
     "root_listing": """
       SELECT DISTINCT 'snowflake_semantic' AS provider, 'semantic_view/WH.S' || s_nationkey || '.' || s_name AS key
       FROM supplier

@@ -35,6 +35,10 @@ def _time(col: str) -> Column:
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
 
 
+def _utc(col: str) -> Column:
+    return F.date_format(F.to_utc_timestamp(col, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+
+
 def _nodes(spark: SparkSession, *ids: str) -> DataFrame:
     return spark.createDataFrame([(i,) for i in ids], "node_id string")
 
@@ -122,6 +126,18 @@ def lookml_files(spark, sf):
     return lookml.views(parse_lookml(text_documents(spark, folder, ".txt"))).drop("file_path")
 
 
+@query
+def lookml_last_file_wins(spark, sf):
+    """Views defined again in a later file: the later path counts."""
+    again = d.lookml_documents(spark, sf).select(
+        F.concat(F.lit("zz/"), "file_path").alias("file_path"),
+        F.replace("content", F.lit("Use for"), F.lit("Now for")).alias("content"),
+    )
+    both = parse_lookml(d.lookml_documents(spark, sf).unionByName(again.filter("file_path LIKE '%0.view.lkml'")))
+    newest = store.last_write_wins(lookml.views(both), LOOKML_VIEW.keys, "file_path")
+    return newest.select("name", "ai_context", "file_path")
+
+
 @query
 def lookml_formulas(spark, sf):
     """Measure SQL with field references, table references and conditionals resolved."""
@@ -515,8 +531,8 @@ def _flat_notes(rows: DataFrame) -> DataFrame:
         {
             "tags": _csv("tags"),
             "content": F.md5("content"),
-            "created_at": _time("created_at"),
-            "updated_at": _time("updated_at"),
+            "created_at": _utc("created_at"),
+            "updated_at": _utc("updated_at"),
         }
     )
 
@@ -776,6 +792,19 @@ def semantic_pointers(spark, sf):
     return registry.pointer_listing(catalog.read(ROOT)).select("key")
 
 
+@query
+def semantic_pointers_sql(spark, sf):
+    """The same listing as SQL over a view of the published registry."""
+    catalog = _catalog(spark)
+    pointers = registry.pointer_rows(registry.semantic_view_names(d.semantic_names(spark, sf)))
+    catalog.publish_family(pointers.unionByName(registry.root_entries(spark, registry.POINTER_PROVIDER)), {})
+    catalog.create_views("pointer_demo_")
+    return spark.sql(
+        "SELECT key, substring_index(content, '\n', 1) AS title FROM pointer_demo_root "
+        "WHERE provider = 'snowflake_semantic' AND key LIKE 'semantic_view/%' ORDER BY key"
+    )
+
+
 @query
 def root_listing(spark, sf):
     """The whole registry in order, with a provider gate on top."""
