@@ -369,12 +369,14 @@ semantic_model:
         description: Revenue per buying customer
         expression:
           dialects:
-            - {dialect: ANSI_SQL, expression: SUM(lineitem.net_price) / COUNT(DISTINCT customer.c_custkey)}
+            - dialect: ANSI_SQL
+              expression: CAST(SUM(lineitem.net_price) AS DOUBLE) / COUNT(DISTINCT customer.c_custkey)
       - name: revenue_to_balance
         description: Revenue over supplier balance
         expression:
           dialects:
-            - {dialect: ANSI_SQL, expression: "SUM(lineitem.net_price) / NULLIF(SUM(supplier.balance), 0)"}
+            - dialect: ANSI_SQL
+              expression: CAST(SUM(lineitem.net_price) AS DOUBLE) / NULLIF(SUM(supplier.balance), 0)
       - name: order_count
         expression: {dialects: [{dialect: ANSI_SQL, expression: COUNT(DISTINCT orders.o_orderkey)}]}
       - name: returned_share
