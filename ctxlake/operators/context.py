@@ -63,8 +63,13 @@ def context(notes: DataFrame, keys: Sequence[str], *, page_notes: int = PAGE_NOT
     )
 
 
-def context_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {f"{name}_context": context(tables[name], keys) for name, keys in OBJECT_KEYS.items() if name in tables}
+def create_context_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Temporary views ``notes_on_..._context``, one per note table given."""
+    names = []
+    for table, rows in tables.items():
+        context(rows, OBJECT_KEYS[table]).createOrReplaceTempView(f"{prefix}{table}_context")
+        names.append(f"{prefix}{table}_context")
+    return names
 
 
 def top_notes(notes: DataFrame, keys: Sequence[str], k: int) -> DataFrame:

@@ -9,9 +9,10 @@ measured size allows it, and a skewed fact key is split by adaptive execution.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -202,7 +203,6 @@ class Model:
     time_fields: Mapping[str, tuple[str, ...]]
     metrics: Mapping[str, str]
     relationships: Sequence[tuple[str, str, tuple[str, ...], tuple[str, ...]]]
-    dialect: str | None = field(default=None)
 
 
 def load_model(tables: Mapping[str, DataFrame], name: str, dialect: str | None = None) -> Model:
@@ -212,39 +212,46 @@ def load_model(tables: Mapping[str, DataFrame], name: str, dialect: str | None =
     apart by dataset name only.
     """
     mine = F.col("model_name") == name
-    sets = tables["osi_dataset"].filter(mine).select("name", "source", "primary_key").collect()
-    if not sets:
-        raise LookupError(f"no datasets for model {name}")
+    chosen = formula(F.col("expressions"), dialect).alias("sql")
     fields = tables["osi_field"]
-    fields = fields.filter(mine) if "model_name" in fields.columns else fields.filter(
-        F.col("dataset_name").isin(*[r["name"] for r in sets])
-    )
-    fields = fields.select(
-        "dataset_name", "name", "is_time_dimension", formula(F.col("expressions"), dialect).alias("sql")
-    ).collect()
-    metrics = tables["osi_metric"].filter(mine).select(
-        "name", formula(F.col("expressions"), dialect).alias("sql")
-    ).collect()
-    links = tables["osi_relationship"].filter(mine).select(
-        "from_dataset", "to_dataset", "from_columns", "to_columns"
-    ).collect()
+    own = mine
+    if "model_name" not in fields.columns:
+        names = tables["osi_dataset"].filter(mine).select(F.col("name").alias("dataset_name"))
+        fields, own = fields.join(names, "dataset_name", "left_semi"), F.lit(True)
+    parts = {
+        "dataset": tables["osi_dataset"].filter(mine).select("name", "source", "primary_key"),
+        "field": fields.filter(own).select("dataset_name", "name", "is_time_dimension", chosen),
+        "metric": tables["osi_metric"].filter(mine).select("name", chosen),
+        "link": tables["osi_relationship"].filter(mine).select(
+            "from_dataset", "to_dataset", "from_columns", "to_columns"
+        ),
+    }
+    # One job for all four: every row travels as JSON text under its kind.
+    rows = None
+    for kind, frame in parts.items():
+        part = frame.select(F.lit(kind).alias("kind"), F.to_json(F.struct("*")).alias("row"))
+        rows = part if rows is None else rows.unionByName(part)
+    found: dict[str, list[dict]] = {kind: [] for kind in parts}
+    for row in rows.collect():
+        found[row["kind"]].append(json.loads(row["row"]))
+    if not found["dataset"]:
+        raise LookupError(f"no datasets for model {name}")
+    sets = [r["name"] for r in found["dataset"]]
+    by_set: dict[str, list[dict]] = {s: [] for s in sets}
+    for f in found["field"]:
+        if f["dataset_name"] in by_set:
+            by_set[f["dataset_name"]].append(f)
     return Model(
         name=name,
-        sources={r["name"]: r["source"] for r in sets},
-        keys={r["name"]: tuple(r["primary_key"] or ()) for r in sets},
-        fields={
-            r["name"]: {f["name"]: f["sql"] for f in fields if f["dataset_name"] == r["name"] and f["sql"]}
-            for r in sets
-        },
-        time_fields={
-            r["name"]: tuple(f["name"] for f in fields if f["dataset_name"] == r["name"] and f["is_time_dimension"])
-            for r in sets
-        },
-        metrics={m["name"]: m["sql"] for m in metrics if m["sql"]},
+        sources={r["name"]: r["source"] for r in found["dataset"]},
+        keys={r["name"]: tuple(r.get("primary_key") or ()) for r in found["dataset"]},
+        fields={s: {f["name"]: f["sql"] for f in by_set[s] if f.get("sql")} for s in sets},
+        time_fields={s: tuple(f["name"] for f in by_set[s] if f["is_time_dimension"]) for s in sets},
+        metrics={m["name"]: m["sql"] for m in found["metric"] if m.get("sql")},
         relationships=[
-            (r["from_dataset"], r["to_dataset"], tuple(r["from_columns"]), tuple(r["to_columns"])) for r in links
+            (r["from_dataset"], r["to_dataset"], tuple(r["from_columns"]), tuple(r["to_columns"]))
+            for r in found["link"]
         ],
-        dialect=dialect,
     )
 
 

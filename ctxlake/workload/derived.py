@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import lookml, manifest, omni, osi
+from ..runtime import staged
 from ..sources.lookml import parse_lookml
 from ..sources.manifest import manifests_from_text
 from ..sources.yamldoc import parse_yaml
@@ -389,7 +390,7 @@ semantic_model:
 
 def shop_tables(spark: SparkSession) -> dict[str, DataFrame]:
     docs = spark.createDataFrame([("shop.osi.yaml", SHOP_MODEL)], "file_path string, content string")
-    rows = osi.model_rows(parse_yaml(docs))
+    rows = staged(osi.model_rows(parse_yaml(docs)), "shop")
     return {**osi.family(rows), "osi_field": osi.fields(rows, with_model=True)}
 
 

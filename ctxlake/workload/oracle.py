@@ -205,6 +205,17 @@ ORACLE: dict[str, str] = {
         strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') AS last_ship
       FROM lineitem GROUP BY l_linestatus
     """,
+    "lookml_measure_sources": """
+      SELECT 'part_' || p_partkey AS view_name, m.measure_name, 'shop.part_' || p_partkey AS sql_table_name,
+        'Use for ' || p_type AS view_context
+      FROM part, (VALUES ('total_price'), ('n')) AS m(measure_name)
+    """,
+    "omni_measure_sources": f"""
+      SELECT view_name, m.measure_name, 'shop' AS schema, 'PART_' || k AS table_name,
+        CAST(NULL AS VARCHAR) AS view_description, 'model.p' || k AS dbt_model_id,
+        CASE WHEN k % 3 = 0 THEN p_type END AS dbt_description
+      FROM ({_OMNI}), (VALUES ('count'), ('total_price')) AS m(measure_name)
+    """,
     "omni_view": f"""
       SELECT view_name, 'shop' AS schema, 'PART_' || k AS table_name, p_name AS label,
         CAST(NULL AS VARCHAR) AS description, lower(p_type) || '/part_' || k || '.view.yaml' AS file_path
@@ -461,6 +472,11 @@ ORACLE: dict[str, str] = {
         "lang AS table_schema, source AS table_name, 'text' AS column_name, "
         "CASE WHEN d % 50 = 0 THEN 's' ELSE 'c' END || d AS note_id",
     ),
+    "context_sql": f"""
+      WITH s AS (SELECT lang, count(*) AS c FROM ({_NOTES}) GROUP BY lang),
+      t AS (SELECT lang, max(importance) AS h, count(DISTINCT source) AS n FROM ({_NOTES}) GROUP BY lang)
+      SELECT s.lang AS schema_name, s.c AS schema_notes, t.h AS highest, t.n AS tables FROM s JOIN t USING (lang)
+    """,
     "top_notes": f"""
       SELECT * FROM (
         SELECT lang AS table_schema, source AS table_name, 't' || d AS note_id,

@@ -210,9 +210,29 @@ def measure_kinds(spark, sf):
     )
 
 
+@query
+def lookml_measure_sources(spark, sf):
+    """Measures with the table and caveats of their view."""
+    blocks = staged(d.lookml_blocks(spark, sf), "lookml")
+    return metrics.measure_sources(lookml.measures(blocks), lookml.views(blocks))
+
+
 # --- Omni ---
 
 
+@query
+def omni_measure_sources(spark, sf):
+    """Measures with the schema, table and model documentation of their view."""
+    docs = staged(d.omni_views(spark, sf), "omni")
+    models = d.table(spark, sf, "part").select(
+        F.format_string("model.p%d", "p_partkey").alias("unique_id"),
+        F.lit("SHOP").alias("schema_name"),
+        F.format_string("part_%d", "p_partkey").alias("name"),
+        F.when(F.col("p_partkey") % 3 == 0, F.col("p_type")).alias("description"),
+    )
+    return metrics.omni_measure_sources(omni.measures(docs), omni.views(docs), models)
+
+
 @query
 def omni_view(spark, sf):
     return omni.views(d.omni_views(spark, sf))
@@ -599,6 +619,22 @@ def context_columns(spark, sf):
     return _context(spark, sf, "column_notes")
 
 
+@query
+def context_sql(spark, sf):
+    """The context of schemas and tables read as SQL views."""
+    rows = staged(notes.note_rows(d.parsed_notes(spark, sf)), "notes")
+    tables = notes.family(rows)
+    picked = {n: tables[n] for n in ("notes_on_schemata", "notes_on_tables")}
+    context.create_context_views(picked, "demo_")
+    return spark.sql(
+        """SELECT s.schema_name, s.notes_on_count AS schema_notes, max(t.notes_on_highest_importance) AS highest,
+             count(DISTINCT t.table_name) AS tables
+           FROM demo_notes_on_schemata_context s
+           JOIN demo_notes_on_tables_context t ON t.table_schema = s.schema_name
+           GROUP BY s.schema_name, s.notes_on_count"""
+    )
+
+
 @query
 def top_notes(spark, sf):
     top = context.top_notes(_section(spark, sf, "table_notes"), ["table_schema", "table_name"], 3)

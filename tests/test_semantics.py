@@ -127,9 +127,9 @@ def test_skill_content_is_unchanged(docs):
 
 NOTES = """
 schema_notes:
-  - {note_id: s1, schema_name: sales, kind: policy, content: c, tags: [a], confidence: 0.9, importance: 1, created_at: 2026-06-01T12:00:00Z}
+  - {note_id: s1, schema_name: legal, kind: rule, content: c, tags: [a], confidence: 0.9, importance: 1, created_at: 2025-11-20T08:30:00Z}
 table_notes:
-  - {note_id: t1, table_schema: z, table_name: t, kind: grain, content: c, created_at: "2026-06-01 10:00:00", title: null}
+  - {note_id: t1, table_schema: z, table_name: t, kind: grain, content: c, created_at: "2025-11-21 10:00:00", title: null}
 """
 
 
@@ -139,8 +139,8 @@ def test_notes_rows(docs):
     found = notes.family(notes.note_rows(parsed))
     note = found["notes_on_schemata"].first()
     assert (note["confidence"], note["importance"], note["tags"]) == (0.9, 1.0, ["a"])
-    assert str(note["created_at"]) == "2026-06-01 12:00:00"
-    assert str(found["notes_on_tables"].first()["created_at"]) == "2026-06-01 10:00:00"
+    assert str(note["created_at"]) == "2025-11-20 08:30:00"
+    assert str(found["notes_on_tables"].first()["created_at"]) == "2025-11-21 10:00:00"
     assert found["notes_on_columns"].count() == 0
 
 
@@ -151,12 +151,12 @@ def test_notes_rows(docs):
         (("confidence: 0.9", "confidence: true"), "/schema_notes/0/confidence", "type"),
         (("tags: [a]", "tags: [1]"), "/schema_notes/0/tags/0", "type"),
         (("tags: [a]", "tags: ['']"), "/schema_notes/0/tags/0", "required"),
-        (("kind: policy", "kind: ''"), "/schema_notes/0/kind", "required"),
-        (("kind: policy, ", ""), "/schema_notes/0/kind", "required"),
-        (("schema_name: sales", "schema: sales"), "/schema_notes/0/schema", "unknown_field"),
+        (("kind: rule", "kind: ''"), "/schema_notes/0/kind", "required"),
+        (("kind: rule, ", ""), "/schema_notes/0/kind", "required"),
+        (("schema_name: legal", "schema: legal"), "/schema_notes/0/schema", "unknown_field"),
         (("title: null", "title: 2024-01-01"), "/table_notes/0/title", "type"),
-        (('"2026-06-01 10:00:00"', "soon"), "/table_notes/0/created_at", "timestamp"),
-        (('"2026-06-01 10:00:00"', "5"), "/table_notes/0/created_at", "type"),
+        (('"2025-11-21 10:00:00"', "soon"), "/table_notes/0/created_at", "timestamp"),
+        (('"2025-11-21 10:00:00"', "5"), "/table_notes/0/created_at", "type"),
         (("table_notes:\n  -", "table_notes:\n   "), "/table_notes", "type"),
         (("table_notes:", "other_notes:"), "/other_notes", "unknown_field"),
     ],

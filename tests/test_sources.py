@@ -148,8 +148,8 @@ def test_lookml_unterminated_block_rejects_the_file_only(docs):
     assert rows(lookml.rejects(blocks), "file_path") == [("bad.lkml",)]
 
 
-OMNI_VIEW = """# Reference this view as schema_a__orders
-schema: schema_a
+OMNI_VIEW = """# Reference this view as finance__orders
+schema: finance
 table_name: ORDERS
 label: 5
 dimensions:
@@ -160,7 +160,7 @@ measures:
   count: {aggregate_type: count}
 """
 TOPIC = """base_view: v_a
-label: Alpha
+label: Board
 joins:
   v_b: {}
   v_c:
@@ -180,7 +180,7 @@ def test_omni_view_names_and_fields(docs):
     }
     parsed = parse_yaml(docs(files))
     found = omni.view_documents(parsed)
-    assert rows(omni.views(found), "view_name") == [("dir__plain",), ("schema_a__orders",), ("top",)]
+    assert rows(omni.views(found), "view_name") == [("dir__plain",), ("finance__orders",), ("top",)]
     assert rows(omni.views(found).filter("label IS NOT NULL"), "label") == [("5",)]
     assert rows(omni.dimensions(found), "field_name", "primary_key") == [("id", True), ("late", False), ("odd", False)]
     assert rows(omni.measures(found), "measure_name", "aggregate_type") == [("count", "count")]
@@ -188,9 +188,9 @@ def test_omni_view_names_and_fields(docs):
 
 
 def test_omni_topic_joins(docs):
-    parsed = parse_yaml(docs({"Exec: FY27 (Q).topic.yaml": TOPIC, "b.topic.yaml": "joins: {}"}), tree="joins")
+    parsed = parse_yaml(docs({"Board: H2 (draft).topic.yaml": TOPIC, "b.topic.yaml": "joins: {}"}), tree="joins")
     found = omni.topic_documents(parsed)
-    assert rows(omni.topics(found), "topic_name", "base_view") == [("Exec: FY27 (Q)", "v_a"), ("b", "")]
+    assert rows(omni.topics(found), "topic_name", "base_view") == [("Board: H2 (draft)", "v_a"), ("b", "")]
     assert rows(omni.topic_joins(found), "from_view", "to_view") == [
         ("v_a", "v_b"),
         ("v_a", "v_c"),
