@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..runtime import run_folder, staged, write_counted
+from ..runtime import run_folder, scratch, write_counted
 
 
 def closure(
@@ -34,19 +34,19 @@ def closure(
     No side is forced to broadcast: a small frontier is broadcast by its measured
     size, a big one shuffles and adaptive execution splits a hub's edges.
     """
-    spark = edges.sparkSession
     group = list(group)
-    keys = [*group, "node_id"]
-    walk = staged(
-        edges.select(
-            *group, F.col(source).alias("from_node"), F.col(target).alias("node_id")
-        ).filter("from_node IS NOT NULL AND node_id IS NOT NULL"),
-        "edges",
-    )
-    folder = run_folder(spark, "reached")
-    node_schema = T.StructType(walk.select(*keys).schema.fields).add("depth", T.IntegerType())
+    walk = edges.select(
+        *group, F.col(source).alias("from_node"), F.col(target).alias("node_id")
+    ).filter("from_node IS NOT NULL AND node_id IS NOT NULL")
     frontier = start.select(*group, F.col("node_id").alias("from_node")).distinct()
+    with scratch(walk, "edges") as walk:
+        return _walked(walk, frontier, [*group, "node_id"], max_rounds)
 
+
+def _walked(walk: DataFrame, frontier: DataFrame, keys: list[str], max_rounds: int) -> DataFrame:
+    spark, group = walk.sparkSession, keys[:-1]
+    folder = run_folder(spark, "reached")
+    node_schema = T.StructType(walk.select(*keys).schema.fields).add("depth", T.IntegerType())
     for depth in range(1, max_rounds + 1):
         found = walk.join(frontier, [*group, "from_node"], "left_semi").select(*keys).distinct()
         if depth > 1:
@@ -94,14 +94,16 @@ def join_paths(relationships: DataFrame, *, max_rounds: int = 100) -> DataFrame:
     ``(model_name, from_dataset, to_dataset, hops, path)``; ``path`` lists relationship
     names. Of equally short paths the alphabetically first is kept.
     """
-    spark = relationships.sparkSession
-    keys = ["model_name", "from_dataset", "to_dataset"]
-    steps = staged(
-        relationships.select(
-            "model_name", "from_dataset", "to_dataset", F.col("name").alias("relationship")
-        ),
-        "relationships",
+    steps = relationships.select(
+        "model_name", "from_dataset", "to_dataset", F.col("name").alias("relationship")
     )
+    with scratch(steps, "relationships") as steps:
+        return _chained(steps, max_rounds)
+
+
+def _chained(steps: DataFrame, max_rounds: int) -> DataFrame:
+    spark = steps.sparkSession
+    keys = ["model_name", "from_dataset", "to_dataset"]
     folder = run_folder(spark, "paths")
 
     def shortest(frame: DataFrame) -> DataFrame:

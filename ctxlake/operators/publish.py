@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..runtime import staged
+from ..runtime import scratch, staged
 from ..specs import ALL_TABLES, ROOT
 from ..sources import lookml as lookml_source
 from ..sources.manifest import load_manifests
@@ -29,31 +29,29 @@ def refresh_manifests(catalog: Catalog, base: str) -> DataFrame:
 
 
 def refresh_lookml(catalog: Catalog, base: str) -> DataFrame:
-    blocks = staged(lookml_source.parse_lookml(text_documents(catalog.spark, base, ".lkml")), "lookml")
-    contract.require_none(lookml.rejects(blocks).selectExpr("file_path", "'/' AS path", "message"), "LookML")
-    return _publish(catalog, "lookml", lookml.family(blocks))
+    parsed = lookml_source.parse_lookml(text_documents(catalog.spark, base, ".lkml"))
+    with scratch(parsed, "lookml") as blocks:
+        contract.require_none(lookml.rejects(blocks).selectExpr("file_path", "'/' AS path", "message"), "LookML")
+        return _publish(catalog, "lookml", lookml.family(blocks))
 
 
 def refresh_omni(catalog: Catalog, base: str) -> DataFrame:
     """Unreadable files are left out, as are files that are not mappings."""
-    spark = catalog.spark
-    views = staged(
-        parse_yaml(text_documents(spark, base, omni.VIEW_SUFFIX, required=False)), "omni-views"
-    )
-    topics = staged(
-        parse_yaml(text_documents(spark, base, omni.TOPIC_SUFFIX, required=False), tree="joins"),
-        "omni-topics",
-    )
-    return _publish(catalog, "omni", omni.family(views, topics))
+    views = text_documents(catalog.spark, base, omni.VIEW_SUFFIX, required=False)
+    topics = text_documents(catalog.spark, base, omni.TOPIC_SUFFIX, required=False)
+    with (
+        scratch(parse_yaml(views), "omni-views") as parsed_views,
+        scratch(parse_yaml(topics, tree="joins"), "omni-topics") as parsed_topics,
+    ):
+        return _publish(catalog, "omni", omni.family(parsed_views, parsed_topics))
 
 
 def refresh_osi(catalog: Catalog, base: str) -> DataFrame:
     """One invalid document fails the run before anything is written."""
-    parsed = staged(
-        parse_yaml(text_documents(catalog.spark, base, ".osi.yaml", recursive=False)), "osi"
-    )
-    contract.require_none(contract.osi_violations(parsed), "OSI document")
-    return _publish(catalog, "osi", osi.family(osi.model_rows(parsed)))
+    docs = text_documents(catalog.spark, base, ".osi.yaml", recursive=False)
+    with scratch(parse_yaml(docs), "osi") as parsed:
+        contract.require_none(contract.osi_violations(parsed), "OSI document")
+        return _publish(catalog, "osi", osi.family(osi.model_rows(parsed)))
 
 
 def refresh_skills(catalog: Catalog, base: str, provider: str, *, prune: bool = False) -> DataFrame:
@@ -82,6 +80,7 @@ def publish_semantic_views(catalog: Catalog, names) -> int:
 
 
 def refresh_notes(catalog: Catalog, base: str, suffix: str = ".yml") -> DataFrame:
-    parsed = staged(parse_yaml(text_documents(catalog.spark, base, suffix), tag_dates=True), "notes")
-    contract.require_none(notes.violations(parsed), "notes")
-    return _publish(catalog, "notes_on", notes.family(notes.note_rows(parsed)))
+    docs = text_documents(catalog.spark, base, suffix)
+    with scratch(parse_yaml(docs, tag_dates=True), "notes") as parsed:
+        contract.require_none(notes.violations(parsed), "notes")
+        return _publish(catalog, "notes_on", notes.family(notes.note_rows(parsed)))

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..runtime import staged
+from ..runtime import scratch
 from ..specs import ALL_TABLES, ROOT, SKILL_USE, TableSpec
 
 
@@ -159,17 +160,17 @@ class Catalog:
         kept = {p: w for p, w in layout.items() if p not in parts}
         return spec, base, {**kept, **self._write(spec, change(old))}
 
-    def _single(self, spec: TableSpec, rows: DataFrame, sequence: str | None) -> DataFrame:
+    @contextmanager
+    def _changes(self, spec: TableSpec, rows: DataFrame, sequence: str | None = None) -> Iterator[DataFrame]:
         """The change set, written once and with one row per key."""
         if not spec.keys:
             raise ValueError(f"table {spec.name} has no key")
         if sequence is not None:
-            return staged(spec.conform(last_write_wins(rows, spec.keys, sequence)), "changes")
-        changes = staged(spec.conform(rows), "changes")
-        repeated = changes.groupBy(*spec.keys).count().filter("count > 1")
-        if not repeated.isEmpty():
-            raise ValueError(f"repeated keys for {spec.name}; give a sequence column")
-        return changes
+            rows = last_write_wins(rows, spec.keys, sequence)
+        with scratch(spec.conform(rows), "changes") as changes:
+            if sequence is None and not changes.groupBy(*spec.keys).count().filter("count > 1").isEmpty():
+                raise ValueError(f"repeated keys for {spec.name}; give a sequence column")
+            yield changes
 
     def ensure(self, spec: TableSpec) -> None:
         if not self.exists(spec):
@@ -189,36 +190,37 @@ class Catalog:
         self._publish((spec, base, layout))
 
     def upsert(self, spec: TableSpec, rows: DataFrame, sequence: str | None = None) -> None:
-        changes = self._single(spec, rows, sequence)
-        self._publish(self._rewritten(spec, changes, lambda old: merged(old, changes, spec.keys)))
+        with self._changes(spec, rows, sequence) as changes:
+            self._publish(self._rewritten(spec, changes, lambda old: merged(old, changes, spec.keys)))
 
     def delete(self, spec: TableSpec, key_columns: Sequence[str], rows: DataFrame) -> None:
         if not key_columns:
             raise ValueError("no key columns given")
-        doomed = staged(rows.select(*key_columns).distinct(), "doomed")
-        if doomed.isEmpty():
-            return
-        known = doomed if set(spec.bucket_by) <= set(key_columns) else None
-        self._publish(self._rewritten(spec, known, lambda old: without_keys(old, doomed, key_columns)))
+        with scratch(rows.select(*key_columns).distinct(), "doomed") as doomed:
+            if doomed.isEmpty():
+                return
+            known = doomed if set(spec.bucket_by) <= set(key_columns) else None
+            self._publish(self._rewritten(spec, known, lambda old: without_keys(old, doomed, key_columns)))
 
     def reconcile(self, spec: TableSpec, rows: DataFrame, sequence: str | None = None) -> DataFrame:
         """Make the table equal to ``rows``; returns the change counts."""
-        changes = self._single(spec, rows, sequence)
         base = self.version(spec)
         before = self._rows(spec, self._layout(spec, base))
-        self._publish((spec, base, self._write(spec, changes)))
-        return change_counts(before, changes, spec)
+        with self._changes(spec, rows, sequence) as changes:
+            layout = self._write(spec, changes)
+        self._publish((spec, base, layout))
+        return change_counts(before, self._rows(spec, layout), spec)
 
     def publish_family(self, registry: DataFrame, tables: Mapping[str, DataFrame]) -> None:
         """Replace a family and upsert its registry rows.
 
         All data is written before anything is published; the registry comes last.
         """
-        changes = self._single(ROOT, registry, None)
         family = [ALL_TABLES[name] for name in tables]
-        written = [(spec, self.version(spec), self._write(spec, tables[spec.name])) for spec in family]
-        roots = self._rewritten(ROOT, changes, lambda old: merged(old, changes, ROOT.keys))
-        self._publish(*written, roots)
+        with self._changes(ROOT, registry) as changes:
+            written = [(spec, self.version(spec), self._write(spec, tables[spec.name])) for spec in family]
+            roots = self._rewritten(ROOT, changes, lambda old: merged(old, changes, ROOT.keys))
+            self._publish(*written, roots)
 
     def publish_skills(
         self, provider: str, roots: DataFrame, uses: DataFrame, *, prune: bool = False
@@ -227,33 +229,34 @@ class Catalog:
 
         Skills that disappeared keep their registry row unless ``prune`` is set.
         """
-        changes = self._single(ROOT, roots, None)
         use_rows = SKILL_USE.conform(uses).dropDuplicates(list(SKILL_USE.keys))
         gone = (F.col("provider") == provider) & F.col("key").startswith("skill/")
+        with self._changes(ROOT, roots) as changes:
+
+            def new_roots(old: DataFrame) -> DataFrame:
+                return merged(old.filter(~gone) if prune else old, changes, ROOT.keys)
 
-        def new_roots(old: DataFrame) -> DataFrame:
-            return merged(old.filter(~gone) if prune else old, changes, ROOT.keys)
+            def new_uses(old: DataFrame) -> DataFrame:
+                return old.filter(F.col("provider") != provider).unionByName(use_rows)
 
-        self._publish(
-            self._rewritten(
-                SKILL_USE, None, lambda old: old.filter(F.col("provider") != provider).unionByName(use_rows)
-            ),
-            self._rewritten(ROOT, None if prune else changes, new_roots),
-        )
+            self._publish(
+                self._rewritten(SKILL_USE, None, new_uses),
+                self._rewritten(ROOT, None if prune else changes, new_roots),
+            )
 
     def publish_skill_batch(self, roots: DataFrame, uses: DataFrame) -> None:
         """Upsert some skills: content by key, and for exactly these skills new uses."""
-        changes = self._single(ROOT, roots, None)
-        touched = changes.select("provider", F.col("key").alias("skill_key"))
         use_rows = SKILL_USE.conform(uses).dropDuplicates(list(SKILL_USE.keys))
-        self._publish(
-            self._rewritten(
-                SKILL_USE,
-                touched,
-                lambda old: without_keys(old, touched, ("provider", "skill_key")).unionByName(use_rows),
-            ),
-            self._rewritten(ROOT, changes, lambda old: merged(old, changes, ROOT.keys)),
-        )
+        with self._changes(ROOT, roots) as changes:
+            touched = changes.select("provider", F.col("key").alias("skill_key"))
+
+            def new_uses(old: DataFrame) -> DataFrame:
+                return without_keys(old, touched, ("provider", "skill_key")).unionByName(use_rows)
+
+            self._publish(
+                self._rewritten(SKILL_USE, touched, new_uses),
+                self._rewritten(ROOT, changes, lambda old: merged(old, changes, ROOT.keys)),
+            )
 
     def create_views(self, prefix: str = "") -> list[str]:
         """A temporary view per published table."""

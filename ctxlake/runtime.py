@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -55,6 +57,22 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     return written(df, run_folder(df.sparkSession, label))
 
 
+@contextmanager
+def scratch(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A written copy for the time of a block; its files are removed afterwards.
+
+    For copies that only feed writes inside the block. A frame handed out for later
+    use must come from ``staged``.
+    """
+    spark = df.sparkSession
+    path = run_folder(spark, label)
+    try:
+        yield written(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def write_counted(df: DataFrame, path: str) -> int:
     """Write parquet and return the row count observed by that same job."""
     seen = Observation()

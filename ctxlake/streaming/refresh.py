@@ -11,7 +11,7 @@ from ..functions.text import unix_newlines
 from ..operators import lookml
 from ..operators.publish import publish_skills
 from ..operators.store import Catalog, last_write_wins
-from ..runtime import staged
+from ..runtime import scratch
 from ..sources.lookml import parse_lookml
 from ..sources.scan import relative_path
 from ..specs import ALL_TABLES
@@ -70,9 +70,9 @@ def refresh_lookml_stream(docs: DataFrame, catalog: Catalog, checkpoint: str) ->
     """Upsert the blocks of new LookML files; names are unique in a well-formed project."""
 
     def publish(batch: DataFrame) -> None:
-        blocks = staged(parse_lookml(batch), "lookml")
-        for name, rows in lookml.family(blocks).items():
-            spec = ALL_TABLES[name]
-            catalog.upsert(spec, rows.dropDuplicates(list(spec.keys)))
+        with scratch(parse_lookml(batch), "lookml") as blocks:
+            for name, rows in lookml.family(blocks).items():
+                spec = ALL_TABLES[name]
+                catalog.upsert(spec, rows.dropDuplicates(list(spec.keys)))
 
     return refresh_stream(docs, publish, checkpoint)
