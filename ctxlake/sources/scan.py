@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import unix_newlines
 
 
-def relative_path(base: str) -> Column:
-    """``_metadata.file_path`` decoded and cut down to the part below ``base``."""
+def relative_path(base: str, url: str = "_metadata.file_path") -> Column:
+    """A file URL decoded and cut down to the part below ``base``."""
     parsed = urlparse(base)
     root = parsed.path if parsed.scheme else os.path.abspath(base)
     root = root.rstrip("/")
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(F.col(url), F.lit("+"), F.lit("%2B")))
     path = F.regexp_replace(decoded, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
     return F.substr(path, F.lit(len(root) + 2))
 
@@ -32,11 +32,14 @@ def text_documents(
     *,
     recursive: bool = True,
     required: bool = True,
+    empty_files: bool = True,
 ) -> DataFrame:
     """Whole files ending in ``suffix`` below ``base``.
 
     Undecodable bytes become U+FFFD and line ends become ``\\n``. With
-    ``required`` an empty result raises FileNotFoundError.
+    ``required`` an empty result raises FileNotFoundError. File scans skip files of
+    length zero; ``empty_files`` adds them from the file listing, which costs a second
+    look at the files. Turn it off where empty files do not matter.
     """
     reader = spark.read.option("pathGlobFilter", f"*{suffix}")
     target = base.rstrip("/")
@@ -56,6 +59,11 @@ def text_documents(
         relative_path(base).alias("file_path"),
         unix_newlines(F.expr("make_valid_utf8(value)")).alias("content"),
     )
+    if empty_files:
+        listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "url string")
+        listed = listed.select(relative_path(base, "url").alias("file_path")).distinct()
+        empty = listed.join(docs.select("file_path"), "file_path", "left_anti")
+        docs = docs.unionByName(empty.withColumn("content", F.lit("")))
     if required and docs.isEmpty():
         raise FileNotFoundError(f"no *{suffix} files found in {base}")
     return docs
