@@ -5,7 +5,7 @@ import os
 import pytest
 from oracle_check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import ORACLE, QUERIES, entry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -17,14 +17,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
     assert entry(spark).columns == ["name", "schema_name", "description"]
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    verdict = compare(spark, con, name, queries()[name], oracle_sql()[name], SF_DIR)
+    verdict = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_DIR)
     assert verdict in (None, "no rows to compare")
