@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import minhash, substring, suffix_dedup
+from . import decontaminate, minhash, mixing, substring, suffix_dedup
 from .common import table
 
 QUERIES: dict = {}
@@ -31,3 +31,20 @@ def op9_minhash(spark, sf_dir):
 def op10_substring(spark, sf_dir):
     found = substring.repeated_words(table(spark, sf_dir, "documents"), words=35)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+BUDGET, REPEATS = 0.5, 4.0
+
+
+@query
+def op2_mixing(spark, sf_dir):
+    """Half of all tokens, small sources raised as far as four passes over one allow."""
+    return mixing.mix(table(spark, sf_dir, "documents"), budget_share=BUDGET, repeats=REPEATS)
+
+
+ORACLE["op2_mixing"] = mixing.mixing_sql(budget_share=BUDGET, repeats=REPEATS)
+
+
+@query
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, share=20)
