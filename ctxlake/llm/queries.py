@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, mixing, substring, suffix_dedup
+from . import chat, decontaminate, minhash, mixing, pii, spotsigs, substring, suffix_dedup, tokens, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -16,6 +16,42 @@ def query(f):
     return f
 
 
+@query
+def op1_chat_format(spark, sf_dir):
+    """Every turn of every conversation, repaired, with its piece of the rendered text."""
+    found = chat.repair(table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "turn", "role", "fixed_role", "action", "inserted", "piece")
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    """Tokens of each line; a token over a boundary counts where it starts."""
+    return tokens.section_tokens(table(spark, sf_dir, "documents"), tokens.read_ranks(spark), rule="first")
+
+
+@query
+def op5_spotsigs(spark, sf_dir):
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.expr("CAST(score >= 0.3 AS INT)").alias("predicted"))
+
+
+def _joined(spans: str):
+    return F.array_join(F.expr(f"transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end))"), ",")
+
+
+@query
+def op7_pii(spark, sf_dir):
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
 @query
 def op8_suffix_array(spark, sf_dir):
     found = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), length=50)
