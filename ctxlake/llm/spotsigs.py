@@ -1,9 +1,8 @@
 """SpotSigs fingerprints: chains of content words that follow common words, compared by Jaccard similarity.
 
 A signature is an anchor (a common word) with the ``chain`` content words found at every ``distance``-th
-content word after it. Texts with fewer than ``FEW`` signatures also take every content word as an anchor, and
-texts with fewer than ``FEW`` words their character trigrams, so that no text but the empty one is without
-signatures. A signature found again counts as another one, so a passage that is said many times
+content word after it. A content word more than ``GAP`` words behind the last common word is an anchor too, so
+stretches without common words count as well; texts with fewer than ``FEW`` words also take their character trigrams. A signature found again counts as another one, so a passage that is said many times
 weighs as much as it takes up. A fingerprint is the sorted set of 32-bit signature hashes in hexadecimal; equal texts
 have equal fingerprints. Two empty sets have likeness 1, an empty and a full one 0.
 
@@ -29,7 +28,7 @@ ANCHORS = (
     "con de del el en es la las lo los no para por que se su un una y "
     "au aux dans des du est et il le les pas pour que qui sur une"
 ).split()
-CHAIN, DISTANCE, FEW = 3, 1, 12
+CHAIN, DISTANCE, GAP, FEW = 3, 1, 8, 12
 ROWS_A_BUCKET = 2000
 
 
@@ -60,9 +59,9 @@ class Spots:
         at = np.minimum(np.searchsorted(self.anchors, hashes), len(self.anchors) - 1)
         common = self.anchors[at] == hashes
         content = np.flatnonzero(~common)
-        found = [self._chains(hashes, np.flatnonzero(common), content)]
-        if len(found[0]) < FEW:
-            found.append(self._chains(hashes, content, content))
+        place = np.arange(len(hashes))
+        before = np.maximum.accumulate(np.where(common, place, -GAP - 1)) if len(hashes) else place
+        found = [self._chains(hashes, np.flatnonzero(common | (place - before > GAP)), content)]
         if len(hashes) < FEW:
             padded = np.concatenate((data, np.zeros(2, np.uint8))).astype(np.uint64)
             found.append(mix(padded[:-2] | padded[1:-1] << np.uint64(8) | padded[2:] << np.uint64(16) | np.uint64(1 << 24)))
