@@ -28,8 +28,8 @@ from .suffix import suffixes
 
 SEED = 16
 GROUP_BYTES = 6 << 20
-PART_BYTES = 24 << 20
-FLUSH = 2_000_000
+PART_BYTES = 6 << 20
+FLUSH = 1_000_000
 SNIPPETS = "part int, grp int, docs binary, starts binary, counts binary, seeds binary, body binary"
 COVERED = "grp int, docs binary, starts binary, ends binary"
 
@@ -161,7 +161,7 @@ def _covered(snippets: DataFrame, length: int, limit: int) -> DataFrame:
         valid = np.zeros(len(distinct), bool)
         valid[ranges(head[:-1], size - length + 1)] = True
         first = np.zeros(len(distinct), np.int64)
-        label, before = -1, 255
+        label = -1
         groups, members = [], []
         for positions, common in suffixes(np.frombuffer(distinct, np.uint8), length, limit):
             apart = common < length
@@ -178,9 +178,9 @@ def _covered(snippets: DataFrame, length: int, limit: int) -> DataFrame:
         np.minimum.at(best, groups, owner)
         first[members] = best[groups]
         # Each occurrence of a snippet: windows whose string starts in a smaller document.
-        at = ranges(head[kind], count)
+        del groups, members, owner, best, valid
+        hit = first[ranges(head[kind], count)] < np.repeat(docs, count)
         doc = np.repeat(docs, count)
-        hit = first[at] < doc
         place = np.repeat(starts, count) + ranges(np.zeros(len(count), np.int64), count)
         grp = np.repeat(np.repeat(group["grp"].to_numpy(), [len(x) // 8 for x in group["docs"].to_pylist()]), count)
         doc, place, grp = doc[hit], place[hit], grp[hit]
