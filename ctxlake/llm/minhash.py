@@ -6,9 +6,11 @@ one half key of each collection is the key of a table, so ``side`` squared table
 ``2 * (1 - s ** width) ** side``: 8e-5 at 0.8 by default, 2e-9 at 0.9.
 
 Equal sets are one class from the start. Half keys that only one class has cannot make a shared table key and are
-dropped before pairing. In a bucket all members are compared with one member, and after a few such rounds, each with
-another member, only members of different components are still compared with each other, each
-pair once; so a bucket of many copies costs its size, and no candidate is capped.
+dropped before pairing. In a bucket all members are compared with one member: first with the one that shares most
+table keys with others, which is most often what the others are copies of, then with others. Links that go past these members are
+found among the documents of buckets that still hold several components: documents of a similarity share one of their
+rarest shingles, as many as may be missing, so these are joined, and pairs from different components compared.
+A bucket of many copies costs its size, and no candidate is capped.
 
 Documents without words, null or empty, link with nothing. A null doc_id takes part with nothing. Rows that share a doc_id
 share its component.
@@ -153,6 +155,40 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Da
     return rows.select("a", "part", "doc_id", "text").mapInArrow(run, "a bigint, b bigint")
 
 
+def _rarest(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The rarest shingles of each document and their places in the order from rare to frequent, so many that two sets of the wanted similarity share one of them.
+
+    Sets of sizes n and m with ``100 * both >= percent * union`` have ``both >= percent / 100 * n``, so the rarest
+    ``n - ceil(percent / 100 * n) + 1`` of each, in one order for all, meet.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(size)
+        for batch in batches:
+            row = 0
+            for _, _, data, offsets in chunks(*texts(batch.column(3))):
+                sets = shingles.sets(data, offsets)
+                own = pa.array(np.repeat(np.arange(row, row + len(sets)), [len(x) for x in sets]))
+                spots = np.concatenate(sets).view(np.int64)
+                row += len(sets)
+                for a in range(0, len(spots), 100_000):
+                    at = own[a : a + 100_000]
+                    yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(3)], pa.array(spots[a : a + 100_000])], ["doc_id", "component", "n_shingles", "spot"])
+
+    schema = "doc_id bigint, component bigint, n_shingles bigint, spot bigint"
+    every = docs.select("doc_id", "component", "n_shingles", "text").mapInArrow(run, schema)
+    every = staged(every, "minhash-spots")
+    counts = every.groupBy("spot").agg(F.count("*").alias("often"))
+    # Shingles of one document alone join nothing, but they fill places among the rarest.
+    shared = every.join(counts.where("often > 1"), "spot")
+    alone = F.col("n_shingles") - F.size("spots")
+    room = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1 - alone
+    rows = shared.groupBy("doc_id", "component", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("often", "spot"))).alias("spots"))
+    rows = rows.withColumn("room", room.cast("int")).where("room > 0")
+    placed = rows.select("doc_id", "component", "n_shingles", alone.alias("alone"), F.posexplode(F.expr("slice(spots, 1, room)")))
+    return placed.select("doc_id", "component", "n_shingles", F.col("col.spot").alias("spot"), F.expr("alone + pos + 1").alias("place"))
+
+
 def _labelled(classes: DataFrame, edges: DataFrame) -> DataFrame:
     found = components(edges)
     return classes.join(found, classes["doc_id"] == found["node"], "left").select(
@@ -178,9 +214,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, side:
     )
     shared = staged(_shared(leaders, "a"), "minhash-half").join(staged(_shared(leaders, "b"), "minhash-half"), "doc_id")
     entries = shared.select("doc_id", F.xxhash64("h_a", "h_b").alias("key"))
-    often = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    sizes = leaders.select("doc_id", "n_shingles")
-    entries = staged(entries.join(often, "key").join(sizes, "doc_id"), "minhash-entries")
+    often = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    entries = staged(entries.join(often, "key"), "minhash-shared")
+    met = entries.groupBy("doc_id").agg(F.sum("n").alias("met")).join(leaders.select("doc_id", "n_shingles"), "doc_id")
+    entries = staged(entries.drop("n").join(met, "doc_id"), "minhash-entries")
+    first_in = [F.struct(-F.col("met"), F.col("doc_id")), F.col("doc_id"), F.xxhash64("doc_id")]
     unique = docs.where("doc_id IS NOT NULL").join(leaders.select("doc_id"), "doc_id", "left_semi")
 
     # Texts of several rows with one id: their classes are one document each, told apart by the class leader only.
@@ -190,17 +228,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, side:
         marked = entries.join(labels, "doc_id")
         mixed = marked.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min_by(F.struct("doc_id", "component", "n_shingles"), F.xxhash64(F.lit(turn), "doc_id")).alias("pivot"),
+            F.min_by(F.struct("doc_id", "component", "n_shingles"), first_in[min(turn, 2)]).alias("pivot"),
         ).where("low < high")
         if turn < ROUNDS:
             found = marked.join(mixed, "key").where("component <> pivot.component").select(
                 F.col("pivot.doc_id").alias("x"), F.col("pivot.n_shingles").alias("n_x"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("n_y")
             )
         else:
-            open_ = marked.join(mixed.select("key"), "key")
-            found = open_.select("key", F.col("doc_id").alias("x"), F.col("component").alias("c"), F.col("n_shingles").alias("n_x")).join(
-                open_.select("key", F.col("doc_id").alias("y"), F.col("component").alias("d"), F.col("n_shingles").alias("n_y")), "key"
-            ).where("c < d")
+            open_ = staged(marked.join(mixed.select("key"), "key").select("doc_id", "component", "n_shingles").distinct(), "minhash-open")
+            rare = staged(_rarest(unique.join(open_, "doc_id"), shingle, percent), "minhash-rarest")
+            # The longer set of a pair probes; of the shorter one fewer shingles are needed. If this is the first shingle
+            # in common, no more than those behind it in both sets can follow.
+            probe = rare.select("spot", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "component", "n_shingles", "place")])
+            index = rare.where(f"place <= n_shingles - ceil({2 * percent} * n_shingles / {100 + percent}) + 1")
+            found = probe.join(index, "spot").where(
+                f"component <> component_x AND (n_shingles < n_shingles_x OR n_shingles = n_shingles_x AND doc_id < doc_id_x) AND "
+                f"{100 + percent} * (1 + least(n_shingles - place, n_shingles_x - place_x)) >= {percent} * (n_shingles + n_shingles_x)"
+            ).select(F.col("doc_id_x").alias("x"), F.col("n_shingles_x").alias("n_x"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("n_y"))
         found = found.where(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
         found = found.select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct()
         if tested is not None:
