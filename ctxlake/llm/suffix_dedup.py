@@ -28,7 +28,7 @@ from .suffix import suffixes
 
 SEED = 16
 GROUP_BYTES = 6 << 20
-PART_BYTES = 6 << 20
+PART_BYTES = 8 << 20
 FLUSH = 1_000_000
 SNIPPETS = "part int, grp int, docs binary, starts binary, counts binary, seeds binary, body binary"
 COVERED = "grp int, docs binary, starts binary, ends binary"
@@ -51,7 +51,7 @@ class Windows:
                 word = word & np.uint64((1 << 8 * (self.seed - at)) - 1)
             out = (out ^ word) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(29)
-        return mix(out) | np.uint64(1)
+        return mix(out) | np.uint64(1)  # least values are mixed again before they are dealt out, since they are all small
 
     def least(self, data: np.ndarray, offsets: np.ndarray):
         """Grams, and the least gram of each window; 0 for windows that leave their row."""
@@ -76,7 +76,7 @@ def _sent(docs: DataFrame, length: int, parts: int) -> DataFrame:
                     continue
                 at = chosen(grams, least, length - windows.seed + 1)
                 own = row + np.searchsorted(offsets, at, "right") - 1
-                held.append((grams[at], groups[own], ids[own]))
+                held.append((mix(grams[at]), groups[own], ids[own]))
                 size += len(at)
                 if size >= FLUSH:
                     yield flush()
@@ -117,7 +117,9 @@ def _snippets(docs: DataFrame, side: DataFrame, length: int, parts: int) -> Data
                 change = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
                 count = np.diff(np.append(change, len(least)))
                 seed = least[change]
-                good = (seed > 0) & member(seed, known)
+                good = seed > 0
+                change, count, seed = change[good], count[good], mix(seed[good])
+                good = member(seed, known)
                 starts, count, seed = change[good], count[good], seed[good]
                 if not len(starts):
                     continue
