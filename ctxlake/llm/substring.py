@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import staged
-from .common import Powers, Words, chosen, chunks, parts_for, sliding_min, texts, window_rows
+from .common import Powers, Words, chosen, chunks, mix, parts_for, sliding_min, texts, window_rows
 from .seeds import ANSWER, PACK, member, pack_batch, packs, repeated, union
 
 SEED_WORDS = 8
@@ -46,9 +46,9 @@ class Windows:
         return self.of_seed.spans(hashes, at, at + self.seed)
 
     def seeds(self, hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """The seed of each window, in the order of ``keys``."""
+        """The seed of each window, in the order of ``keys``: least hashes mixed again, since they are all small."""
         least = sliding_min(self.grams(hashes), self.words - self.seed + 1)
-        return least[window_rows(offsets, self.words, len(hashes))]
+        return mix(least[window_rows(offsets, self.words, len(hashes))])
 
     def places(self, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of all seeds and their hashes."""
@@ -57,7 +57,7 @@ class Windows:
         if not len(least):
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         at = chosen(grams, np.where(window_rows(offsets, self.words, len(hashes)), least, np.uint64(0)), width)
-        return at, grams[at]
+        return at, mix(grams[at])
 
 
 def _grouped(docs: DataFrame, groups: int) -> DataFrame:
