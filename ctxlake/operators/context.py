@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import specs
 from ..runtime import staged
@@ -16,7 +16,6 @@ OBJECT_KEYS = {
     "notes_on_columns": ("table_catalog", "table_schema", "table_name", "column_name"),
 }
 NOTE_FIELDS = tuple(c for c in specs.NOTES_ON_SCHEMATA.columns if c != "schema_name")
-PAGE_NOTES = 1000
 
 
 def summary(notes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,47 +26,37 @@ def summary(notes: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def context(notes: DataFrame, keys: Sequence[str], *, page_notes: int = PAGE_NOTES) -> DataFrame:
-    """Per object: count, highest importance and its notes as an array of structs.
+def _same(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
 
-    An object with up to ``page_notes`` notes is one row (``page`` 0). A bigger one
-    is spread over as many rows as needed, so no task and no array ever holds an
-    unbounded group; count and importance are those of the whole object on every
-    row. Notes go to pages by a hash of their id and are sorted by id inside a page.
+
+def _summary_by(notes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Written, so that joins see how small it is."""
+    return staged(summary(notes, keys).withColumnsRenamed({k: f"_k_{k}" for k in keys}), "note-summary")
+
+
+def context(notes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per note: the keys and fields of the note with count and highest importance of its object.
+
+    The shape is the same however many notes an object has; no task gathers them.
     """
-    keys = list(keys)
-    big = summary(notes, keys).filter(F.col("notes_on_count") > page_notes).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("notes_on_count").alias("_count"),
-        F.col("notes_on_highest_importance").alias("_highest"),
-        F.ceil(F.col("notes_on_count") / page_notes).alias("_pages"),
-    )
-    # Written, so that the join sees how small it is and need not shuffle the notes.
-    big = staged(big, "big-objects")
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    hashed = F.conv(F.left(F.md5("note_id"), F.lit(8)), 16, 10).cast("long")
-    paged = notes.join(big, same, "left").select(
-        *keys,
-        F.struct(*NOTE_FIELDS).alias("note"),
-        "_count",
-        "_highest",
-        F.coalesce(F.pmod(hashed, F.col("_pages")), F.lit(0)).alias("page"),
-    )
-    return (
-        paged.groupBy(*keys, "page")
-        .agg(
-            F.coalesce(F.max("_count"), F.count(F.lit(1))).alias("notes_on_count"),
-            F.coalesce(F.max("_highest"), F.max("note.importance")).alias("notes_on_highest_importance"),
-            F.array_sort(F.collect_list("note")).alias("notes_on_notes"),
-        )
+    found = notes.join(_summary_by(notes, keys), _same(keys))
+    return found.select(*keys, *NOTE_FIELDS, "notes_on_count", "notes_on_highest_importance")
+
+
+def top_context(notes: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """One row per object: count, highest importance and its ``k`` first notes of ``top_notes`` as an array."""
+    best = top_notes(notes, keys, k).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rank", F.struct(*NOTE_FIELDS).alias("note")))).alias("best"))
+    return best.join(_summary_by(notes, keys), _same(keys)).select(
+        *keys, "notes_on_count", "notes_on_highest_importance", F.transform("best", lambda n: n["note"]).alias("notes_on_notes")
     )
 
 
-def create_context_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
-    """Temporary views ``notes_on_..._context``, one per note table given."""
+def create_context_views(tables: dict[str, DataFrame], k: int, prefix: str = "") -> list[str]:
+    """Temporary views ``notes_on_..._context``, one per note table given, with one row per object and its ``k`` first notes."""
     names = []
     for table, rows in tables.items():
-        context(rows, OBJECT_KEYS[table]).createOrReplaceTempView(f"{prefix}{table}_context")
+        top_context(rows, OBJECT_KEYS[table], k).createOrReplaceTempView(f"{prefix}{table}_context")
         names.append(f"{prefix}{table}_context")
     return names
 
@@ -95,5 +84,4 @@ def pick_notes(notes: DataFrame, *, kind: str | None = None, tag: str | None = N
 def enrich(objects: DataFrame, object_context: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Catalog objects with their note context; objects without notes stay."""
     renamed = object_context.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    return objects.join(renamed, same, "left").drop(*[f"_k_{k}" for k in keys])
+    return objects.join(renamed, _same(keys), "left").drop(*[f"_k_{k}" for k in keys])

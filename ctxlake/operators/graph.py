@@ -9,6 +9,7 @@ a lost executor costs one task, and the round number is the distance.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -22,7 +23,6 @@ def closure(
     source: str,
     target: str,
     group: Sequence[str] = (),
-    max_rounds: int = 10_000,
 ) -> DataFrame:
     """Nodes reached from ``start`` over one or more edges: ``(*group, node_id, depth)``.
 
@@ -40,14 +40,14 @@ def closure(
     ).filter("from_node IS NOT NULL AND node_id IS NOT NULL")
     frontier = start.select(*group, F.col("node_id").alias("from_node")).distinct()
     with scratch(walk, "edges") as walk:
-        return _walked(walk, frontier, [*group, "node_id"], max_rounds)
+        return _walked(walk, frontier, [*group, "node_id"])
 
 
-def _walked(walk: DataFrame, frontier: DataFrame, keys: list[str], max_rounds: int) -> DataFrame:
+def _walked(walk: DataFrame, frontier: DataFrame, keys: list[str]) -> DataFrame:
     spark, group = walk.sparkSession, keys[:-1]
     folder = run_folder(spark, "reached")
     node_schema = T.StructType(walk.select(*keys).schema.fields).add("depth", T.IntegerType())
-    for depth in range(1, max_rounds + 1):
+    for depth in count(1):
         found = walk.join(frontier, [*group, "from_node"], "left_semi").select(*keys).distinct()
         if depth > 1:
             reached = spark.read.schema(node_schema).parquet(folder)
@@ -58,7 +58,6 @@ def _walked(walk: DataFrame, frontier: DataFrame, keys: list[str], max_rounds: i
         frontier = spark.read.schema(found.schema).parquet(this_round).select(
             *group, F.col("node_id").alias("from_node")
         )
-    raise RuntimeError(f"closure not complete after {max_rounds} rounds")
 
 
 def downstream(edges: DataFrame, start: DataFrame, **options) -> DataFrame:
@@ -88,7 +87,7 @@ def reachable_views(topics: DataFrame, topic_joins: DataFrame) -> DataFrame:
     return reached.withColumnRenamed("node_id", "view_name")
 
 
-def join_paths(relationships: DataFrame, *, max_rounds: int = 100) -> DataFrame:
+def join_paths(relationships: DataFrame) -> DataFrame:
     """For all models at once, the shortest relationship path between datasets.
 
     ``(model_name, from_dataset, to_dataset, hops, path)``; ``path`` lists relationship
@@ -98,10 +97,10 @@ def join_paths(relationships: DataFrame, *, max_rounds: int = 100) -> DataFrame:
         "model_name", "from_dataset", "to_dataset", F.col("name").alias("relationship")
     )
     with scratch(steps, "relationships") as steps:
-        return _chained(steps, max_rounds)
+        return _chained(steps)
 
 
-def _chained(steps: DataFrame, max_rounds: int) -> DataFrame:
+def _chained(steps: DataFrame) -> DataFrame:
     spark = steps.sparkSession
     keys = ["model_name", "from_dataset", "to_dataset"]
     folder = run_folder(spark, "paths")
@@ -111,7 +110,7 @@ def _chained(steps: DataFrame, max_rounds: int) -> DataFrame:
 
     found = shortest(steps.select(*keys, F.array("relationship").alias("path")))
     path_schema = T.StructType(found.schema.fields).add("hops", T.IntegerType())
-    for hops in range(1, max_rounds + 1):
+    for hops in count(1):
         this_round = f"{folder}/hops={hops}"
         if write_counted(found, this_round) == 0:
             return spark.read.schema(path_schema).parquet(folder).select(*keys, "hops", "path")
@@ -131,4 +130,3 @@ def _chained(steps: DataFrame, max_rounds: int) -> DataFrame:
             )
         )
         found = shortest(longer).join(known, keys, "left_anti")
-    raise RuntimeError(f"join paths not complete after {max_rounds} rounds")

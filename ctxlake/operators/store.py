@@ -52,7 +52,9 @@ def present_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 def change_counts(target: DataFrame, source: DataFrame, spec: TableSpec) -> DataFrame:
     """How many keys a reconcile inserts, updates, deletes and leaves alone: ``(change, n)``."""
     keys = list(spec.keys)
-    body = F.xxhash64(*[F.col(c) for c in spec.value_columns]) if spec.value_columns else F.lit(0)
+    # Nulls are written out: a value that moves to a neighbouring null column is a change.
+    text = F.to_json(F.struct(*spec.value_columns), {"ignoreNullFields": "false"}) if spec.value_columns else F.lit("")
+    body = F.xxhash64(text)
     old = target.select(*keys, body.alias("old"))
     new = source.select(*keys, body.alias("new"))
     change = (

@@ -13,11 +13,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 def shared_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Every executor must reach it, so it is taken from the session. Only where the
-    session names none (a local test run) is a temporary folder set.
+    Every executor must reach it, so it is taken from the session, else from the
+    context's checkpoint folder. Only a local master (a test run) gets a temporary
+    folder; on a cluster executors would write to disks of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = folder.get() if folder.isDefined() else None
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ctxlake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -96,7 +96,7 @@ def lookml_rows(path: str, text: str):
             if stack:
                 stack[-1][2][match.group("key")] = value
     if any(block[0] for block in stack):
-        return [(path, None, None, None, None, "unterminated LookML block")]
+        return [(path, None, None, None, None, "a block has no closing brace")]
     return rows
 
 

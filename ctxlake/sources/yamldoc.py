@@ -62,7 +62,7 @@ def parse_yaml(docs: DataFrame, *, tree: str | None = None, tag_dates: bool = Fa
             doc = _plain(yaml.load(content or "", Loader=loader), tag_dates)
             text = json.dumps(doc, ensure_ascii=False, allow_nan=False)
         except (yaml.YAMLError, ValueError, RecursionError) as error:
-            yield (path, content, None, None, str(error)[:500])
+            yield (path, content, None, None, str(error))
             return
         paths = list(_mapping_paths(doc.get(tree))) if tree and isinstance(doc, dict) else None
         yield (path, content, text, paths, None)

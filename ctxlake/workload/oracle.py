@@ -115,16 +115,10 @@ def _context(keys: str, row: str) -> str:
     same = " AND ".join(f"n.{k.strip()} IS NOT DISTINCT FROM g.{k.strip()}" for k in keys.split(","))
     return f"""
       WITH n AS (SELECT *, {row} FROM ({_NOTES})),
-      g AS (SELECT {columns}, count(*) AS c, max(importance) AS h FROM n GROUP BY {columns}),
-      p AS (
-        SELECT n.*, g.c, g.h,
-          CASE WHEN g.c > 1000
-            THEN ('0x' || substr(md5(n.note_id), 1, 8))::BIGINT % CAST(ceil(g.c / 1000.0) AS BIGINT) ELSE 0 END AS page
-        FROM n JOIN g ON {same})
-      SELECT {columns}, page, c AS notes_on_count, h AS notes_on_highest_importance,
-        string_agg(note_id, ',' ORDER BY note_id) AS note_ids,
-        round(sum(coalesce(confidence, 0.0::DOUBLE)), 4) AS confidences
-      FROM p GROUP BY {columns}, page, c, h
+      g AS (SELECT {columns}, count(*) AS c, max(importance) AS h FROM n GROUP BY {columns})
+      SELECT {", ".join(f"n.{k.strip()}" for k in keys.split(","))}, n.note_id, n.confidence, g.c AS notes_on_count,
+        g.h AS notes_on_highest_importance
+      FROM n JOIN g ON {same}
     """
 
 

@@ -593,15 +593,9 @@ def notes_repeated_ids(spark, sf):
 def _context(spark: SparkSession, sf: str, section: str) -> DataFrame:
     table = notes.SECTIONS[section].name
     rows = staged(_section(spark, sf, section), "notes")
-    found = context.context(rows, context.OBJECT_KEYS[table])
-    return found.withColumns(
-        {
-            "note_ids": F.array_join(F.transform("notes_on_notes", lambda n: n["note_id"]), ","),
-            "confidences": F.round(F.aggregate(
-                "notes_on_notes", F.lit(0.0), lambda acc, n: acc + F.coalesce(n["confidence"], F.lit(0.0))
-            ), 4),
-        }
-    ).drop("notes_on_notes")
+    keys = context.OBJECT_KEYS[table]
+    found = context.context(rows, keys)
+    return found.select(*keys, "note_id", "confidence", "notes_on_count", "notes_on_highest_importance")
 
 
 @query
@@ -625,7 +619,7 @@ def context_sql(spark, sf):
     rows = staged(notes.note_rows(d.parsed_notes(spark, sf)), "notes")
     tables = notes.family(rows)
     picked = {n: tables[n] for n in ("notes_on_schemata", "notes_on_tables")}
-    context.create_context_views(picked, "demo_")
+    context.create_context_views(picked, 3, "demo_")
     return spark.sql(
         """SELECT s.schema_name, s.notes_on_count AS schema_notes, max(t.notes_on_highest_importance) AS highest,
              count(DISTINCT t.table_name) AS tables

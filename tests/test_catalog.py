@@ -161,7 +161,7 @@ def test_invalid_input_writes_nothing(catalog, tmp_path):
     with pytest.raises(ValueError, match="bad.osi.yaml at /semantic_model/0/datasets/0/source"):
         publish.refresh_osi(catalog, base)
     broken = write(tmp_path / "lookml", {"a.lkml": "view: a {"})
-    with pytest.raises(ValueError, match="unterminated"):
+    with pytest.raises(ValueError, match="closing brace"):
         publish.refresh_lookml(catalog, broken)
     assert not any(catalog.exists(t) for t in ALL_TABLES.values())
 

@@ -179,7 +179,7 @@ def test_quarantine_keeps_other_notes(docs):
     assert rows(notes.valid_rows(parsed), "section") == [("table_notes",)]
 
 
-def test_context_pages_hold_every_note_once(spark, docs):
+def test_context_holds_every_note_once(spark, docs):
     body = "\n".join(
         f"  - {{note_id: n{i}, table_schema: {'hot' if i % 3 else 's' + str(i)}, table_name: t, kind: k, "
         f"content: c, importance: {(i % 10) / 10}}}"
@@ -188,16 +188,14 @@ def test_context_pages_hold_every_note_once(spark, docs):
     parsed = parse_yaml(docs({"n.yml": "table_notes:\n" + body}), tag_dates=True)
     table = notes.section_notes(notes.note_rows(parsed), "table_notes")
     keys = context.OBJECT_KEYS["notes_on_tables"]
-    paged = context.context(table, keys, page_notes=20).collect()
-    hot = [r for r in paged if r["table_schema"] == "hot"]
-    assert len(hot) > 5 and {r["notes_on_count"] for r in hot} == {200}
-    assert {r["notes_on_highest_importance"] for r in hot} == {0.9}
-    ids = [n["note_id"] for r in paged for n in r["notes_on_notes"]]
-    assert sorted(ids) == sorted(f"n{i}" for i in range(300))
-    assert max(len(r["notes_on_notes"]) for r in paged) < 60
-    whole = [r for r in context.context(table, keys).collect() if r["table_schema"] == "hot"]
-    assert len(whole) == 1 and len(whole[0]["notes_on_notes"]) == 200
-    first = whole[0]["notes_on_notes"][0].asDict()
+    every = context.context(table, keys).collect()
+    ids = [r["note_id"] for r in every]
+    assert sorted(ids) == sorted(r["note_id"] for r in table.collect())
+    hot = [r for r in every if r["table_schema"] == "hot"]
+    assert {r["notes_on_count"] for r in hot} == {len(hot)}
+    top = [r for r in context.top_context(table, keys, 2).collect() if r["table_schema"] == "hot"]
+    assert len(top) == 1 and len(top[0]["notes_on_notes"]) == 2 and top[0]["notes_on_count"] == len(hot)
+    first = top[0]["notes_on_notes"][0].asDict()
     assert set(first) == set(context.NOTE_FIELDS) and first["author"] is None
     top = context.top_notes(table, ["table_schema"], 2).filter("table_schema = 'hot'").collect()
     assert [r["importance"] for r in top] == [0.9, 0.9]
@@ -224,3 +222,15 @@ def test_table_checks(spark, docs):
     nulls = found["osi_dataset"].selectExpr("* EXCEPT (source)", "CAST(NULL AS STRING) AS source")
     assert rows(checks.missing_values(nulls, OSI_DATASET), "column_name", "nulls") == [("source", 2)]
     assert dict(rows(checks.row_counts(found), "table_name", "n"))["osi_field"] == 4
+
+
+def test_moved_value_is_an_update(spark):
+    """A text that moves to a neighbouring null column changes the row."""
+    from ctxlake.operators.store import change_counts
+    from ctxlake.specs import LOOKML_VIEW
+
+    def rows(**values):
+        return spark.createDataFrame([tuple(values.get(c, "k" if c in LOOKML_VIEW.keys else None) for c in LOOKML_VIEW.columns)], ", ".join(f"`{c}` string" for c in LOOKML_VIEW.columns))
+
+    a, b = LOOKML_VIEW.value_columns[:2]
+    assert [r["change"] for r in change_counts(rows(**{a: "x"}), rows(**{b: "x"}), LOOKML_VIEW).collect()] == ["updated"]
