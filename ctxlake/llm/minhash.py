@@ -28,7 +28,7 @@ from ..runtime import staged
 from .common import Powers, Words, chunks, mix, texts
 from .components import components
 
-ROUNDS = 3
+ROUNDS = 1
 SALT_ROWS = 500
 SIGNATURES = "doc_id bigint, n_shingles bigint, lo bigint, hi bigint, a array<bigint>, b array<bigint>"
 
