@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..runtime import scratch, staged
 from ..specs import ALL_TABLES, ROOT
 from ..sources import lookml as lookml_source
-from ..sources.manifest import load_manifests
+from ..sources.manifest import read_manifests, rejects
 from ..sources.scan import text_documents
 from ..sources.yamldoc import parse_yaml
 from . import contract, lookml, manifest, notes, omni, osi, registry, skills
@@ -21,11 +21,16 @@ def _publish(catalog: Catalog, provider: str, tables: dict[str, DataFrame]) -> D
 
 
 def refresh_manifests(catalog: Catalog, base: str) -> DataFrame:
-    nodes = manifest.model_nodes(load_manifests(catalog.spark, base))
-    contract.require_none(
-        manifest.unnamed_models(nodes).selectExpr("file_path", "unique_id AS path", "message"), "manifest"
-    )
-    return _publish(catalog, "dbt", manifest.family(nodes))
+    """A corrupt manifest, or a model without a name, fails the run before anything is written."""
+    with scratch(read_manifests(catalog.spark, base), "manifests") as read:
+        if read.isEmpty():
+            raise FileNotFoundError(f"no compiled manifest found below {base}")
+        contract.require_none(rejects(read).selectExpr("file_path", "'/' AS path", "message"), "manifest")
+        nodes = manifest.model_nodes(read)
+        contract.require_none(
+            manifest.unnamed_models(nodes).selectExpr("file_path", "unique_id AS path", "message"), "manifest"
+        )
+        return _publish(catalog, "dbt", manifest.family(nodes))
 
 
 def refresh_lookml(catalog: Catalog, base: str) -> DataFrame:

@@ -77,69 +77,72 @@ def _with_own_view(sql: Column, view: Column) -> Column:
     return F.regexp_replace(plain, F.lit(_LOCAL_REFERENCE), F.concat(F.lit(r"\${"), view, F.lit(".$1}")))
 
 
-def expand_formulas(formulas: DataFrame, fields: DataFrame, *, max_rounds: int = 20) -> DataFrame:
+def expand_formulas(formulas: DataFrame, fields: DataFrame) -> DataFrame:
     """Replace ``${field}`` by that field's SQL until none is left.
 
     ``formulas``: ``(view_name, name, sql)``; ``fields``: the same shape, what may be
     referred to. ``${TABLE}.x`` becomes ``x``. Adds ``resolved`` and ``status``:
-    ``ok``, ``unknown`` (names a field that does not exist) or ``unfinished``
-    (still referring after ``max_rounds``, which is a cycle).
-    A round joins all open references at once.
+    ``ok``, ``unknown`` (leads to a field that does not exist, whose reference stays) or
+    ``cycle`` (lies on a cycle or leads to one; nothing is replaced).
+
+    Fields are resolved from those without references upwards: a round hands the texts that the
+    last one finished to the fields and formulas that name them. The end is reached when
+    a round finishes nothing, so chains may have any length.
     """
-    lookup = staged(
-        fields.select(
-            F.col("view_name").alias("_v"),
-            F.col("name").alias("_f"),
-            _with_own_view(F.col("sql"), F.col("view_name")).alias("_sql"),
-        ).dropDuplicates(["_v", "_f"]),
-        "fields",
+    shape = ["view_name", "name", "sql", _with_own_view(F.col("sql"), F.col("view_name")).alias("text")]
+    single = fields.filter("sql IS NOT NULL").dropDuplicates(["view_name", "name"])
+    nodes = formulas.select(F.lit(True).alias("asked"), *shape).unionByName(single.select(F.lit(False).alias("asked"), *shape))
+    refs = F.coalesce(F.array_distinct(F.regexp_extract_all("text", F.lit(_REFERENCE), 1)), F.array().cast("array<string>"))
+    nodes = staged(nodes.select(F.monotonically_increasing_id().alias("id"), "*", refs.alias("refs")), "formulas")
+    known = nodes.filter("NOT asked").select(F.concat("view_name", F.lit("."), "name").alias("ref"))
+    open_refs = (
+        nodes.select("id", F.explode("refs").alias("ref"))
+        .join(known.withColumn("exists", F.lit(True)), "ref", "left")
+        .groupBy("id")
+        .agg(F.expr("collect_list(ref) FILTER (WHERE exists)").alias("open"), F.expr("count_if(exists IS NULL) > 0").alias("lost"))
     )
-    open_rows = staged(
-        formulas.select(
-            "view_name", "name", "sql", _with_own_view(F.col("sql"), F.col("view_name")).alias("resolved")
-        ),
+    state = nodes.drop("refs").withColumn("resolved", F.col("text")).join(open_refs, "id", "left")
+    state = staged(
+        state.withColumn("open", F.coalesce("open", F.array().cast("array<string>"))).withColumn("lost", F.coalesce("lost", F.lit(False))),
         "formulas",
     )
+    out = ["view_name", "name", "sql", "resolved", "status"]
     done: list[DataFrame] = []
-    for _ in range(max_rounds):
-        open_rows = open_rows.withColumn(
-            "refs", F.array_distinct(F.regexp_extract_all("resolved", F.lit(_REFERENCE), 1))
-        )
-        finished = F.coalesce(F.size("refs"), F.lit(0)) <= 0
-        done.append(open_rows.filter(finished).withColumn("status", F.lit("ok")).drop("refs"))
-        pending = open_rows.filter(~finished)
+    while True:
+        fresh, pending = state.filter("size(open) = 0"), state.filter("size(open) > 0")
+        done.append(fresh.filter("asked").withColumn("status", F.when(F.col("lost"), "unknown").otherwise("ok")).select(*out))
         if pending.isEmpty():
             break
-        refs = pending.select("view_name", "name", F.explode("refs").alias("ref"))
-        field_name = F.substring_index("ref", ".", -1)
-        refs = refs.withColumn("_f", field_name).withColumn("_v", F.regexp_replace("ref", r"\.[^.]*$", ""))
-        plain = F.col("_sql").rlike(r"^(?:[\w.]+|\$\{[\w.]+\})$")
-        text = F.when(plain, F.col("_sql")).otherwise(F.concat(F.lit("("), "_sql", F.lit(")")))
+        if fresh.isEmpty():
+            stuck = pending.filter("asked").withColumn("resolved", F.col("text")).withColumn("status", F.lit("cycle"))
+            done.append(stuck.select(*out))
+            break
+        plain = F.col("text").rlike(r"^(?:[\w.]+|\$\{[\w.]+\})$")
+        given = fresh.filter("NOT asked").select(
+            F.concat("view_name", F.lit("."), "name").alias("ref"),
+            F.when(plain, F.col("resolved")).otherwise(F.concat(F.lit("("), "resolved", F.lit(")"))).alias("given"),
+            F.col("lost").alias("given_lost"),
+        )
         found = (
-            refs.join(lookup, ["_v", "_f"], "left")
-            .groupBy("view_name", "name")
-            .agg(
-                F.collect_list(F.struct("ref", text.alias("text"))).alias("found"),
-                F.count_if(F.col("_sql").isNull()).alias("lost"),
-            )
+            pending.select("id", F.explode("open").alias("ref"))
+            .join(given, "ref")
+            .groupBy("id")
+            .agg(F.collect_list(F.struct("ref", "given")).alias("found"), F.max("given_lost").alias("found_lost"))
         )
         replaced = F.aggregate(
-            "found",
+            F.coalesce("found", F.array().cast("array<struct<ref: string, given: string>>")),
             F.col("resolved"),
-            lambda acc, e: F.when(
-                e["text"].isNotNull(), F.replace(acc, F.concat(F.lit("${"), e["ref"], F.lit("}")), e["text"])
-            ).otherwise(acc),
+            lambda acc, e: F.replace(acc, F.concat(F.lit("${"), e["ref"], F.lit("}")), e["given"]),
         )
-        stepped = staged(
-            pending.drop("refs")
-            .join(found, ["view_name", "name"])
-            .select("view_name", "name", "sql", replaced.alias("resolved"), "lost"),
+        left = F.coalesce(F.array_except("open", F.col("found.ref")), F.col("open"))
+        state = staged(
+            pending.join(found, "id", "left").select(
+                "id", "asked", "view_name", "name", "sql", "text",
+                replaced.alias("resolved"), left.alias("open"),
+                F.expr("lost OR coalesce(found_lost, false)").alias("lost"),
+            ),
             "formulas",
-        )
-        done.append(stepped.filter("lost > 0").withColumn("status", F.lit("unknown")).drop("lost"))
-        open_rows = stepped.filter("lost = 0").drop("lost")
-    else:
-        done.append(open_rows.withColumn("status", F.lit("unfinished")))
+        )
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
@@ -156,21 +159,44 @@ AGGREGATES = {
     "min": "MIN(",
     "max": "MAX(",
 }
-_FILTER = r"""([A-Za-z_][\w.]*)\s*:\s*("[^"]*"|'[^']*')"""
+_FILTER = r"""([A-Za-z_][\w.]*)\s*:\s*("[^"]*"|'[^']*'|[^\s,"']+)"""
+# Filter values with a meaning of their own that is not translated: ranges, relative dates, escapes, lists of conditions.
+_SPECIAL = r"""(?i)^(-|>|<|=|!|\[|\(|not\b)|[%^\\]|^(null|empty|yes|no|)$|^-?\d+ to -?\d+$"""
+_SPECIAL += r"""|^(last|this|next|before|after|today|yesterday|tomorrow)\b|\b(ago|days?|weeks?|months?|quarters?|years?)$"""
 
 
 def _filter_clause(pair: Column) -> Column:
-    """``field: "a, b"`` → ``field IN ('a','b')``."""
+    """Condition of one ``field: value``; null where the value is not understood."""
     name = F.substring_index(F.regexp_extract(pair, r"^([\w.]+)", 1), ".", -1)
-    values = F.replace(F.regexp_extract(pair, r"[\"'](.*)[\"']", 1), F.lit("'"), F.lit("''"))
-    return F.concat(name, F.lit(" IN ('"), F.regexp_replace(values, r"\s*,\s*", "','"), F.lit("')"))
+    raw = F.trim(F.regexp_extract(pair, r"^[\w.]+\s*:\s*(.*)$", 1))
+    whole = F.trim(F.regexp_replace(raw, r"^[\"']|[\"']$", ""))
+    items = F.transform(F.split(whole, ","), lambda x: F.trim(x))
+    quoted = lambda x: F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("''")), F.lit("'"))
+    simple = lambda x: ~x.rlike(_SPECIAL)
+    rest = lambda x: F.substr(x, F.lit(2))
+    listed = lambda f: F.array_join(F.transform(items, f), ",")
+    number = r"^(>=|<=|<>|!=|>|<)\s*(-?\d+(?:\.\d+)?)$"
+    return (
+        F.when(F.forall(items, simple), F.concat(name, F.lit(" IN ("), listed(quoted), F.lit(")")))
+        .when(F.upper(whole) == "NULL", F.concat(name, F.lit(" IS NULL")))
+        .when(F.upper(whole) == "-NULL", F.concat(name, F.lit(" IS NOT NULL")))
+        .when(F.lower(whole) == "yes", name)
+        .when(F.lower(whole) == "no", F.concat(F.lit("NOT coalesce("), name, F.lit(", false)")))
+        .when(
+            F.forall(items, lambda x: x.startswith("-") & simple(rest(x))),
+            F.concat(F.lit("("), name, F.lit(" NOT IN ("), listed(lambda x: quoted(rest(x))), F.lit(") OR "), name, F.lit(" IS NULL)")),
+        )
+        .when(whole.rlike(number), F.concat(name, F.lit(" "), F.regexp_extract(whole, number, 1), F.lit(" "), F.regexp_extract(whole, number, 2)))
+        .when(whole.rlike(r"^[\w %.]*%[\w %.]*$") & ~whole.contains("_"), F.concat(name, F.lit(" LIKE "), quoted(whole)))
+    )
 
 
 def measure_formula(kind: Column, sql: Column, filters: Column | None = None) -> Column:
-    """Aggregate SQL text of a measure; null when its kind is not supported.
+    """Aggregate SQL text of a measure; null when its kind or one of its filters is not supported.
 
-    ``filters`` is the LookML form ``field: "value", other: "value"``; values are
-    compared for equality, a comma list is any of its values.
+    ``filters`` is the LookML form ``field: "value", other: "value"``. A value may be a text or a comma list of
+    texts, the same negated by ``-``, a numeric comparison, a pattern with ``%``, NULL or -NULL, yes or no (without
+    quotes too). Anything else makes the measure unsupported, never unfiltered.
     """
     kind = F.lower(kind)
     opened = None
@@ -179,12 +205,17 @@ def measure_formula(kind: Column, sql: Column, filters: Column | None = None) ->
     value = F.when(kind == "count", F.coalesce(sql, F.lit("1"))).otherwise(sql)
     if filters is not None:
         clauses = F.transform(F.regexp_extract_all(filters, F.lit(_FILTER), 0), _filter_clause)
-        condition = F.nullif(F.array_join(clauses, " AND "), F.lit(""))
-        guarded = F.concat(F.lit("CASE WHEN "), condition, F.lit(" THEN "), value, F.lit(" END"))
-        value = F.coalesce(guarded, value)
+        rest = F.regexp_replace(filters, _FILTER, "")
+        understood = rest.rlike(r"^[\s,]*$") & ~F.exists(clauses, lambda c: c.isNull())
+        guarded = F.concat(F.lit("CASE WHEN "), F.array_join(clauses, " AND "), F.lit(" THEN "), value, F.lit(" END"))
+        value = F.when(F.trim(F.coalesce(filters, F.lit(""))) == "", value).when(understood, guarded)
     return F.concat(opened, value, F.lit(")"))
 
 
+def measure_status(formula: Column) -> Column:
+    return F.when(formula.isNull(), "unsupported").otherwise("ok")
+
+
 def omni_measure_formula(aggregate_type: Column, sql: Column) -> Column:
     return measure_formula(aggregate_type, plain_identifier(sql))
 

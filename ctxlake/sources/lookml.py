@@ -75,6 +75,16 @@ def _value(text: str, key: str, at: int) -> tuple[str, int]:
     return (_unquoted(match.group()), match.end()) if match else (line.strip(), at + len(line))
 
 
+def _add_filter(around: dict, block: dict) -> None:
+    """The block form ``filters: { field: … value: … }``, of which there may be several, as the list form.
+
+    A block without field or value stays in a form that no translation accepts.
+    """
+    field, value = block.get("field"), block.get("value")
+    text = f'{field}: "{value}"' if field and value is not None and '"' not in value else "?"
+    around["filters"] = ", ".join(filter(None, (around.get("filters"), text)))
+
+
 def lookml_rows(path: str, text: str):
     rows, stack, at = [], [], 0
     while match := _NEXT.search(text, at):
@@ -82,10 +92,12 @@ def lookml_rows(path: str, text: str):
         if match.group("open"):
             kind, name = match.group("kind"), match.group("name")
             known = kind in TOP + FIELDS and _NAME.match(name)
-            stack.append((kind if known else None, name, {}))
+            stack.append((kind if known else None, name, {}, kind))
         elif match.group("close"):
             if stack:
-                kind, name, props = stack.pop()
+                kind, name, props, word = stack.pop()
+                if word == "filters" and stack:
+                    _add_filter(stack[-1][2], props)
                 around = [b for b in stack if b[0]]
                 if kind in TOP and not around:
                     rows.append((path, kind, None, name, props, None))

@@ -22,7 +22,8 @@ def read_manifests(spark: SparkSession, base: str, *, multiline: bool = True) ->
     """Every ``target/manifest.json`` below ``base``.
 
     ``multiline=False`` reads line-delimited files holding one manifest per line,
-    which split across tasks; a single pretty-printed manifest does not.
+    which split across tasks; a single pretty-printed manifest does not. A corrupt
+    manifest, or one without nodes, comes as a row with null ``nodes``: see ``rejects``.
     """
     reader = spark.read.schema(MANIFEST).option("multiLine", str(multiline).lower())
     if multiline:
@@ -49,6 +50,11 @@ def load_manifests(spark: SparkSession, base: str) -> DataFrame:
     return frame
 
 
+def rejects(manifests: DataFrame) -> DataFrame:
+    """``(file_path, message)`` of manifests that are corrupt or have no nodes."""
+    return manifests.filter("nodes IS NULL").select("file_path", F.lit("corrupt, or without nodes").alias("message"))
+
+
 def manifests_from_text(docs: DataFrame) -> DataFrame:
     return docs.select(
         "file_path", F.from_json("content", MANIFEST).getField("nodes").alias("nodes")

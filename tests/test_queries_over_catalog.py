@@ -150,13 +150,33 @@ def test_formula_expansion(spark):
         [("v", "m1", "${b}"), ("w", "m2", "${x} - ${v.a}"), ("v", "m3", "${gone}"), ("v", "m4", "${loop}"), ("v", "m5", "${cond}"), ("v", "m6", None)],
         "view_name string, name string, sql string",
     )
-    found = {r["name"]: (r["status"], r["resolved"]) for r in metrics.expand_formulas(asked, fields, max_rounds=6).collect()}
+    found = {r["name"]: (r["status"], r["resolved"]) for r in metrics.expand_formulas(asked, fields).collect()}
     assert found["m1"] == ("ok", "(a + 1)")
     assert found["m2"] == ("ok", "((a + 1) * 2) - a")
-    assert found["m3"][0] == "unknown" and found["m4"][0] == "unfinished"
+    assert found["m3"][0] == "unknown" and found["m4"] == ("cycle", "${v.loop}")
     assert found["m5"] == ("ok", "a") and found["m6"] == ("ok", None)
 
 
+def test_formula_chains_of_any_length_and_cycles(spark):
+    chain = [("v", f"f{k}", f"${{f{k + 1}}}") for k in range(25)] + [("v", "f25", "${TABLE}.x + 1"), ("v", "me", "${me} + ${me} * ${me}")]
+    fields = spark.createDataFrame(chain, "view_name string, name string, sql string")
+    asked = spark.createDataFrame([("v", "long", "${f0}"), ("v", "round", "${me}"), ("v", "both", "${f3} + ${me}")], "view_name string, name string, sql string")
+    found = {r["name"]: (r["status"], r["resolved"]) for r in metrics.expand_formulas(asked, fields).collect()}
+    assert found == {"long": ("ok", "(x + 1)"), "round": ("cycle", "${v.me}"), "both": ("cycle", "${v.f3} + ${v.me}")}
+
+
+def test_measure_filters(spark):
+    asked = {
+        's: "-x"': "(s NOT IN ('x') OR s IS NULL)", 's: "-x, -y"': "(s NOT IN ('x','y') OR s IS NULL)", 'a: ">5"': "a > 5", 'a: "<= -2.5"': "a <= -2.5",
+        'n: "A%"': "n LIKE 'A%'", "p: yes": "p", 'p: "No"': "NOT coalesce(p, false)", 's: "NULL"': "s IS NULL", 's: "-NULL"': "s IS NOT NULL",
+        's: "a", t: ">1"': "s IN ('a') AND t > 1", 's: "x, -y"': None, 'd: "last 7 days"': None, 'a: "[1, 5]"': None, 's: "EMPTY"': None, "?": None,
+        's: "a", ?': None, 'd: "7 days"': None, 'a: "1 to 5"': None,
+    }
+    frame = spark.createDataFrame([(f,) for f in asked], "f string")
+    found = {r[0]: r[1] for r in frame.select("f", metrics.measure_formula(F.lit("count"), F.lit(None).cast("string"), F.col("f"))).collect()}
+    assert found == {f: c and f"COUNT(CASE WHEN {c} THEN 1 END)" for f, c in asked.items()}
+
+
 def test_measure_formulas(spark):
     frame = spark.createDataFrame(
         [("count", None, None), ("count", "id", None), ("SUM", "x", 's: "a"'), ("count", None, "s: \"a, b'c\", v.t: \"1\""),

@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ctxlake.operators import lookml, manifest, omni
-from ctxlake.sources.lookml import parse_lookml
-from ctxlake.sources.manifest import load_manifests, manifests_from_text
+from ctxlake.operators import lookml, manifest, omni, publish
+from ctxlake.operators.store import Catalog
+from ctxlake.sources import manifest as manifest_source
+from ctxlake.sources.lookml import lookml_rows, parse_lookml
+from ctxlake.sources.manifest import load_manifests, manifests_from_text, read_manifests
 from ctxlake.sources.scan import text_documents
 from ctxlake.sources.yamldoc import parse_yaml, rejects
 
@@ -205,3 +207,19 @@ def test_yaml_dates_are_tagged_only_on_request(docs):
     plain = parse_yaml(docs(files)).select(F.get_json_object("json", "$.d")).first()[0]
     tagged = parse_yaml(docs(files), tag_dates=True).select(F.get_json_object("json", "$.d")).first()[0]
     assert plain == "2024-01-02" and json.loads(tagged) == {"$date": "2024-01-02"}
+
+
+def test_filter_blocks_of_a_measure():
+    text = 'view: v { measure: m { type: count filters: { field: s value: "-x" } filters: { field: t value: ">1" } } measure: n { type: count filters: { field: s } } }'
+    assert [r[4].get("filters") for r in lookml_rows("f", text) if r[1] == "measure"] == ['s: "-x", t: ">1"', "?"]
+
+
+def test_corrupt_manifest_is_a_reject(spark, tmp_path):
+    for name, text in (("a", '{"nodes": {"model.a": {"resource_type": "model", "name": "a"}}}'), ("b", '{"nodes": {"model.b": {"resour'), ("c", "{}")):
+        (tmp_path / name / "target").mkdir(parents=True)
+        (tmp_path / name / "target" / "manifest.json").write_text(text)
+    found = read_manifests(spark, str(tmp_path))
+    assert sorted(r["file_path"] for r in manifest_source.rejects(found).collect()) == ["b/target/manifest.json", "c/target/manifest.json"]
+    catalog = Catalog(spark, str(tmp_path / "catalog"))
+    with pytest.raises(ValueError, match="target/manifest.json"):
+        publish.refresh_manifests(catalog, str(tmp_path))
