@@ -3,13 +3,14 @@
 Only text that can repeat is sorted. Every window of ``length`` bytes is keyed by the least hash of
 its ``SEED``-byte grams, so equal windows have equal keys; keys that occur in one document only
 are set aside by an exact exchange (``seeds``). The windows of a remaining key are one run
-of bytes (a snippet), and all snippets of a key go to one shard. A shard sorts the suffixes of its
-distinct snippets by external induced sorting (``suffix``); neighbours whose
-common prefix reaches ``length`` are equal strings, and the least document id of each such group
-says which copies stay. Whole copies of a text are found by digest first and sent nowhere.
+of bytes (a snippet). Each group of rows sends its distinct snippets, with the least and greatest document id that has
+them, so a passage is one entry a group however many rows hold it; all snippets of a key go to one shard. A shard sorts the
+suffixes of its distinct snippets by external induced sorting (``suffix``); neighbours whose common prefix reaches ``length``
+are equal strings, and the least document id of each goes back to the groups that sent them, which
+find their occurrences again. Whole copies of a text are found by digest first and sent nowhere.
 
 Null or empty texts have no bytes. Rows with the same doc_id count as one document, so they do
-not remove each other's bytes. A null doc_id takes no part: its row comes back whole.
+not remove each other's bytes; their texts may differ. A null doc_id takes no part: its row comes back whole.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ SEED = 16
 GROUP_BYTES = 6 << 20
 PART_BYTES = 8 << 20
 FLUSH = 1_000_000
-SNIPPETS = "part int, grp int, docs binary, starts binary, counts binary, seeds binary, body binary"
-COVERED = "grp int, docs binary, starts binary, ends binary"
+SNIPPETS = "part int, grp int, least binary, most binary, sizes binary, body binary"
+COVERED = "grp int, part int, at binary, begins binary, ends binary, owners binary"
 
 
 class Windows:
@@ -102,103 +103,142 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
 
 
+def _own(group: pa.Table, answers: pa.Table, length: int, parts: int):
+    """Snippets of repeated seeds in the rows of a group, whole copies left out.
+
+    Returns the rows in an order of their own, which of them are copies, row, start and count of each snippet, its number among
+    the distinct ones, these by number, and the part of each. Both steps that call this get the same numbers.
+    """
+    windows, known = Windows(length), union([x for x in answers["pack"].to_pylist() if x is not None])
+    group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    ids = group["doc_id"].to_pylist()
+    listed = {(d, x) for d, x in zip(answers["copy"].to_pylist(), answers["digest"].to_pylist()) if d is not None}
+    often = {d for d, _ in listed}
+    copy = np.zeros(len(ids), bool)
+    for row in [k for k, d in enumerate(ids) if d in often]:
+        copy[row] = (ids[row], hashlib.md5((group["text"][row].as_py() or "").encode()).hexdigest()) in listed
+    rows = np.flatnonzero(~copy & np.array([d is not None for d in ids], bool))
+    found, distinct, seeds = [], {}, []
+    for row, _, data, offsets in chunks(*texts(group["text"].take(pa.array(rows)))) if len(known) else ():
+        _, least = windows.least(data, offsets)
+        if not len(least):
+            continue
+        # A run of one seed within one row; windows of two rows never touch in ``least``.
+        change = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+        count = np.diff(np.append(change, len(least)))
+        seed = least[change]
+        good = seed > 0
+        change, count, seed = change[good], count[good], mix(seed[good])
+        good = member(seed, known)
+        starts, count, seed = change[good], count[good], seed[good]
+        body, before = data.tobytes(), len(distinct)
+        ends = (starts + count + (length - 1)).tolist()
+        kind = np.fromiter((distinct.setdefault(body[a:b], len(distinct)) for a, b in zip(starts.tolist(), ends)), np.int64, len(ends))
+        new, at = np.unique(kind, return_index=True)
+        seeds.append(seed[at[new >= before]])
+        own = np.searchsorted(offsets, starts, "right") - 1
+        found.append((rows[row + own], starts - offsets[own], count, kind))
+    row, starts, count, kind = (np.concatenate(x).astype(np.int64) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 4
+    seed = np.concatenate(seeds or [np.zeros(0, np.uint64)])
+    part = (((seed >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+    return group, copy, row, starts, count, kind, list(distinct), part
+
+
 def _snippets(docs: DataFrame, side: DataFrame, length: int, parts: int) -> DataFrame:
+    """Distinct snippets of each group, with the least and greatest document of the group that has them."""
+
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
-        windows, out = Windows(length), []
-        known = union([x for x in answers["pack"].to_pylist() if x is not None])
-        copies = np.array([x for x in answers["copy"].to_pylist() if x is not None], np.int64)
-        if group.num_rows and len(known):
-            group = group.filter(pa.array(~np.isin(group["doc_id"].to_numpy(), copies)))
-            ids = group["doc_id"].to_numpy()
-            for row, _, data, offsets in chunks(*texts(group["text"])):
-                _, least = windows.least(data, offsets)
-                if not len(least):
-                    continue
-                change = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-                count = np.diff(np.append(change, len(least)))
-                seed = least[change]
-                good = seed > 0
-                change, count, seed = change[good], count[good], mix(seed[good])
-                good = member(seed, known)
-                starts, count, seed = change[good], count[good], seed[good]
-                if not len(starts):
-                    continue
-                # A run of one seed within one row; windows of two rows never touch in ``least``.
-                own = np.searchsorted(offsets, starts, "right") - 1
-                part = ((seed >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-                order = np.argsort(part, kind="stable")
-                cut = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) > 0)))
-                for a, b in zip(cut, np.append(cut[1:], len(order))):
-                    pick = order[a:b]
-                    body = data[ranges(starts[pick], count[pick] + length - 1)]
-                    out.append(
-                        (int(part[pick[0]]), group["grp"][0].as_py(), ids[row + own[pick]].astype(np.int64).tobytes(),
-                         (starts[pick] - offsets[own[pick]]).astype(np.int64).tobytes(), count[pick].astype(np.int32).tobytes(),
-                         seed[pick].tobytes(), body.tobytes())
-                    )
+        if not group.num_rows:
+            return _table([], _arrow(SNIPPETS))
+        group, _, row, _, _, kind, distinct, part = _own(group, answers, length, parts)
+        if not len(distinct):
+            return _table([], _arrow(SNIPPETS))
+        doc = np.array(group["doc_id"].to_pylist(), object)[row].astype(np.int64)
+        least, most = np.full(len(distinct), np.iinfo(np.int64).max), np.full(len(distinct), np.iinfo(np.int64).min)
+        np.minimum.at(least, kind, doc)
+        np.maximum.at(most, kind, doc)
+        order = np.argsort(part, kind="stable")
+        cut = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) > 0)))
+        out = []
+        for a, b in zip(cut, np.append(cut[1:], len(order))):
+            pick = order[a:b]
+            body = [distinct[k] for k in pick.tolist()]
+            sizes = np.fromiter(map(len, body), np.int64, len(body))
+            out.append((int(part[pick[0]]), group["grp"][0].as_py(), least[pick].tobytes(), most[pick].tobytes(), sizes.tobytes(), b"".join(body)))
         return _table(out, _arrow(SNIPPETS))
 
     return docs.groupBy("grp").cogroup(side.groupBy("grp")).applyInArrow(run, SNIPPETS)
 
 
 def _covered(snippets: DataFrame, length: int, limit: int) -> DataFrame:
-    """Byte ranges of windows that also start in a document with a smaller id."""
+    """Runs of windows that also start in a smaller document than the greatest of a pack's snippet, and the least such document."""
 
     def run(group: pa.Table) -> pa.Table:
-        column = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in group[name].to_pylist()])
-        docs, starts, count = column("docs", np.int64), column("starts", np.int64), column("counts", np.int32)
-        sizes = count.astype(np.int64) + length - 1
-        body, edges = b"".join(group["body"].to_pylist()), np.concatenate(([0], np.cumsum(sizes)))
+        column = lambda name: np.concatenate([np.frombuffer(x, np.int64) for x in group[name].to_pylist()])
+        least, most, sizes = column("least"), column("most"), column("sizes")
         known: dict[bytes, int] = {}
-        kind = np.fromiter(
-            (known.setdefault(body[a:b], len(known)) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())), np.int64, len(count)
-        )
+        kinds = []
+        for body, own in zip(group["body"], group["sizes"]):
+            body, edges = body.as_py(), np.concatenate(([0], np.cumsum(np.frombuffer(own.as_py(), np.int64)))).tolist()
+            kinds += [known.setdefault(body[a:b], len(known)) for a, b in zip(edges[:-1], edges[1:])]
+        kind = np.array(kinds, np.int64)
         distinct = b"".join(known)
         size = np.fromiter(map(len, known), np.int64, len(known))
-        del known, body
+        del known, kinds, body
         head = np.concatenate(([0], np.cumsum(size)))
-        least = np.full(len(size), np.iinfo(np.int64).max)
-        np.minimum.at(least, kind, docs)
-        # Window starts in the joined distinct snippets, and the snippet each belongs to.
+        low, high = np.full(len(size), np.iinfo(np.int64).max), np.full(len(size), np.iinfo(np.int64).min)
+        np.minimum.at(low, kind, least)
+        np.maximum.at(high, kind, most)
+        # Window starts in the joined distinct snippets, and the least document of each. Only the last, still open group of
+        # equal strings is kept from one block of the order to the next.
         valid = np.zeros(len(distinct), bool)
         valid[ranges(head[:-1], size - length + 1)] = True
         first = np.zeros(len(distinct), np.int64)
-        label = -1
-        groups, members = [], []
+
+        def settle(members, apart):
+            if len(members):
+                at = np.flatnonzero(apart)
+                owner = np.minimum.reduceat(low[np.searchsorted(head, members, "right") - 1], at)
+                first[members] = np.repeat(owner, np.diff(np.append(at, len(members))))
+
+        held = [np.zeros(0, np.int64)]
         for positions, common in suffixes(np.frombuffer(distinct, np.uint8), length, limit):
-            apart = common < length
-            if label < 0:
-                apart[:1] = True
-            ids = label + np.cumsum(apart)
-            label = int(ids[-1])
+            # A group that starts at a suffix which is no window start begins at its first window start.
             own = valid[positions]
-            groups.append(ids[own])
-            members.append(positions[own])
-        groups, members = np.concatenate(groups), np.concatenate(members).astype(np.int64)
-        best = np.full(label + 1, np.iinfo(np.int64).max)
-        owner = least[np.searchsorted(head, members, "right") - 1]
-        np.minimum.at(best, groups, owner)
-        first[members] = best[groups]
-        # Each occurrence of a snippet: windows whose string starts in a smaller document.
-        del groups, members, owner, best, valid
-        hit = first[ranges(head[kind], count)] < np.repeat(docs, count)
-        doc = np.repeat(docs, count)
-        place = np.repeat(starts, count) + ranges(np.zeros(len(count), np.int64), count)
-        grp = np.repeat(np.repeat(group["grp"].to_numpy(), [len(x) // 8 for x in group["docs"].to_pylist()]), count)
-        doc, place, grp = doc[hit], place[hit], grp[hit]
-        if not len(doc):
-            return _table([], _arrow(COVERED))
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + 1)
+            groups, members = np.cumsum(common < length)[own], positions[own].astype(np.int64)
+            closed = int((common < length).sum())
+            mine = np.searchsorted(groups, [1, closed])  # before: of the open group; after: open again
+            held.append(members[: mine[0]])
+            if not closed:
+                continue
+            whole = np.concatenate(held)
+            settle(whole, np.arange(len(whole)) == 0)
+            done, label = members[mine[0] : mine[1]], groups[mine[0] : mine[1]]
+            settle(done, np.diff(label, prepend=0) > 0)
+            held = [members[mine[1] :]]
+        whole = np.concatenate(held)
+        settle(whole, np.arange(len(whole)) == 0)
+        del valid, held
+        n = size - length + 1
+        place, own = ranges(np.zeros(len(n), np.int64), n), np.repeat(np.arange(len(n)), n)
+        owner = first[place + head[own]]
+        del first
+        new = (place == 0) | (np.diff(owner, prepend=0) != 0)
         a = np.flatnonzero(new)
-        b = np.append(a[1:], len(doc)) - 1
-        doc, grp, begin, end = doc[a], grp[a], place[a], place[b] + length
-        order = np.argsort(grp, kind="stable")
-        cut = np.flatnonzero(np.concatenate(([True], np.diff(grp[order]) > 0)))
-        out = []
-        for x, y in zip(cut, np.append(cut[1:], len(order))):
-            pick = order[x:y]
-            out.append((int(grp[pick[0]]), doc[pick].tobytes(), begin[pick].tobytes(), end[pick].tobytes()))
+        own, begin, end, owner = own[a], place[a], place[np.append(a[1:], len(place)) - 1] + 1, owner[a]
+        good = owner < high[own]
+        own, begin, end, owner = own[good], begin[good], end[good], owner[good]
+        edge = np.searchsorted(own, np.arange(len(size) + 1))
+        out, at = [], 0
+        for grp, part, mine in zip(group["grp"].to_pylist(), group["part"].to_pylist(), group["sizes"].to_pylist()):
+            mine = np.arange(at, at + len(mine) // 8)
+            at += len(mine)
+            runs = edge[kind[mine] + 1] - edge[kind[mine]]
+            spot, entry = ranges(edge[kind[mine]], runs), np.repeat(mine, runs)
+            good = owner[spot] < most[entry]
+            spot, entry = spot[good], entry[good]
+            if len(spot):
+                out.append((grp, part, (entry - mine[0]).tobytes(), begin[spot].tobytes(), end[spot].tobytes(), owner[spot].tobytes()))
         return _table(out, _arrow(COVERED))
 
     return snippets.groupBy("part").applyInArrow(run, COVERED)
@@ -212,47 +252,58 @@ def repeated_bytes(docs: DataFrame, length: int = 50, limit: int = 256 << 20) ->
     """
     groups, parts = parts_for(docs, "text", GROUP_BYTES), parts_for(docs, "text", PART_BYTES)
     docs = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("grp")
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int").alias("grp")
     )
     known = docs.where("doc_id IS NOT NULL")
     digests = known.select("doc_id", "grp", F.md5("text").alias("digest"), F.octet_length("text").alias("size")).where(f"size >= {length}")
     owners = digests.groupBy("digest", "size").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     copies = staged(
-        digests.join(owners, ["digest", "size"]).where("doc_id > least").select("grp", "doc_id", F.col("size").cast("bigint").alias("size")).distinct(),
+        digests.join(owners, ["digest", "size"]).where("doc_id > least").select("grp", F.col("doc_id").alias("copy"), "digest").distinct(),
         "suffix-copies",
     )
     seeds = staged(repeated(_sent(known, length, parts)), "suffix-seeds")
-    side = seeds.select("grp", "pack", F.lit(None).cast("bigint").alias("copy")).unionAll(
-        copies.select("grp", F.lit(None).cast("binary"), "doc_id")
-    )
+    side = seeds.unionByName(copies, allowMissingColumns=True)
     covered = staged(_covered(_snippets(known, side, length, parts), length, limit), "suffix-covered")
-    side = covered.select("grp", "docs", "starts", "ends", F.lit(None).cast("bigint").alias("copy")).unionAll(
-        copies.select("grp", *[F.lit(None).cast("binary")] * 3, "doc_id")
-    )
+    side = side.unionByName(covered, allowMissingColumns=True)
 
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
-        column = lambda name: np.concatenate([np.frombuffer(x, np.int64) for x in answers[name].to_pylist() if x is not None] or [np.zeros(0, np.int64)])
-        doc, starts, ends = column("docs"), column("starts"), column("ends")
-        order = np.argsort(doc, kind="stable")
-        doc, starts, ends = doc[order], starts[order], ends[order]
-        copy = {x for x in answers["copy"].to_pylist() if x is not None}
+        schema = pa.schema(
+            [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("kept_sha256", pa.string())]
+        )
+        if not group.num_rows:
+            return _table([], schema)
+        group, copy, row, starts, count, kind, distinct, part = _own(group, answers, length, parts)
+        ids = group["doc_id"].to_pylist()
+        told = [x for x in answers.select(["part", "at", "begins", "ends", "owners"]).to_pylist() if x["part"] is not None]
+        column = lambda name: np.concatenate([np.frombuffer(x[name], np.int64) for x in told] or [np.zeros(0, np.int64)])
+        begin, end, owner = column("begins"), column("ends"), column("owners")
+        order = np.argsort(part, kind="stable")
+        base = np.searchsorted(part[order], np.array([x["part"] for x in told], np.int64))
+        of = order[np.repeat(base, [len(x["at"]) // 8 for x in told]) + column("at")] if told else column("at")
+        by = np.argsort(of, kind="stable")
+        begin, end, owner = begin[by], end[by], owner[by]
+        edge = np.searchsorted(of[by], np.arange(len(distinct) + 1))
+        # Each occurrence of a snippet: runs of windows whose string starts in a smaller document.
+        runs = edge[kind + 1] - edge[kind]
+        spot, at = ranges(edge[kind], runs), np.repeat(np.arange(len(kind)), runs)
+        doc = np.array([0 if x is None else x for x in ids], np.int64)
+        good = owner[spot] < doc[row[at]]
+        spot, at = spot[good], at[good]
+        row, starts, ends = row[at], starts[at] + begin[spot], starts[at] + end[spot] - 1 + length
+        edge = np.searchsorted(row, np.arange(len(ids) + 1))
         out = []
-        for own, text in zip(group["doc_id"].to_pylist(), group["text"].to_pylist()):
+        for k, (own, text) in enumerate(zip(ids, group["text"].to_pylist())):
             body = np.frombuffer((text or "").encode(), np.uint8)
             gone = np.zeros(len(body) + 1, np.int32)
-            if own in copy and len(body) >= length:
+            if copy[k]:
                 gone[0] = 1
-            elif own is not None:
-                a, b = np.searchsorted(doc, [own, own + 1])
-                np.add.at(gone, starts[a:b], 1)
-                np.add.at(gone, ends[a:b], -1)
+            else:
+                np.add.at(gone, starts[edge[k] : edge[k + 1]], 1)
+                np.add.at(gone, ends[edge[k] : edge[k + 1]], -1)
             gone = np.cumsum(gone[:-1]) > 0
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
             kept = hashlib.sha256(body[~gone].tobytes()).hexdigest()
-            out.append((own, len(body), int(gone.sum()), edge[::2], edge[1::2], kept))
-        schema = pa.schema(
-            [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("kept_sha256", pa.string())]
-        )
+            out.append((own, len(body), int(gone.sum()), edges[::2], edges[1::2], kept))
         return _table(out, schema)
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, starts array<bigint>, ends array<bigint>, kept_sha256 string"

@@ -96,6 +96,46 @@ def test_suffix_dedup(spark, corpus):
     assert any(k[2] for k in want)
 
 
+def _removed(rows, length):
+    """Brute force: document, bytes, removed bytes and digest of the rest, for each row."""
+    first, want = {}, Counter()
+    for doc, text, _ in rows:
+        body = (text or "").encode()
+        for p in range(len(body) - length + 1):
+            if doc is not None:
+                first[body[p : p + length]] = min(first.get(body[p : p + length], doc), doc)
+    for doc, text, _ in rows:
+        body = (text or "").encode()
+        gone = bytearray(len(body))
+        for p in range(len(body) - length + 1):
+            if doc is not None and first[body[p : p + length]] < doc:
+                gone[p : p + length] = b"\1" * length
+        want[doc, len(body), sum(gone), hashlib.sha256(bytes(x for x, y in zip(body, gone) if not y)).hexdigest()] += 1
+    return want
+
+
+def test_suffix_dedup_one_id_two_texts(spark, corpus):
+    """Rows of one id with different texts: one a copy, one long, one short."""
+    long, other = corpus[3][1] + corpus[9][1], corpus[15][1]
+    rows = [*corpus, (700, corpus[0][1], "s"), (700, "own text " + "".join(map(str, range(90))), "s"), (701, long, "s"), (701, "short", "s"), (701, other, "s")]
+    found = suffix_dedup.repeated_bytes(frame(spark, rows), 50)
+    assert by_id(found, "n_bytes", "n_removed", "kept_sha256") == _removed(rows, 50)
+
+
+def test_suffix_dedup_hot_passage(spark, corpus, monkeypatch):
+    """A passage of every document travels once a group, in shards that spill."""
+    sent, covered = [], suffix_dedup._covered
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 20_000)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 30_000)
+    monkeypatch.setattr(suffix_dedup, "_covered", lambda snippets, *rest: sent.append(snippets) or covered(snippets, *rest))
+    passage = corpus[4][1] + corpus[10][1]
+    rows = [(i, f"{i * 7919} {passage} {i * 104729}", "s") for i in range(300)]
+    found = suffix_dedup.repeated_bytes(frame(spark, rows), 50, limit=150)
+    assert by_id(found, "n_bytes", "n_removed", "kept_sha256") == _removed(rows, 50)
+    bytes_sent = sent[0].selectExpr("sum(octet_length(body))").first()[0]
+    assert 2 * bytes_sent < sum(len(t.encode()) for _, t, _ in rows)  # one entry an occurrence would be more than all text
+
+
 # --- substring ---
 
 
