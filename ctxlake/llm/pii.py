@@ -41,13 +41,17 @@ DIGITS = {word: str(k) for words in SPELLED for k, word in enumerate(words.split
 FOLD_HINT = re.compile("[" + "".join(re.escape(chr(c)) for c in FOLD) + "]")
 UNSEEN = re.compile("[­​‌‍⁠﻿]+")
 WORD = "|".join(sorted(DIGITS, key=len, reverse=True))
-RUN = re.compile(rf"(?<!\w)(?:{WORD}|[0-9+]+)(?:[\x20\-,.()]{{1,3}}(?:{WORD}|[0-9]+)){{6,}}(?!\w)", re.I)
-RUN_HINT = re.compile(rf"(?<!\w)(?:{WORD})[\x20\-,.()]{{1,3}}(?:{WORD}|[0-9]+)[\x20\-,.()]{{1,3}}(?:{WORD}|[0-9]+)", re.I)
+RUN = re.compile(rf"(?<!\w)(?:{WORD}|\+?[0-9]+|\+)(?:[\x20\-,.()]{{1,3}}(?:{WORD}|[0-9]+))+(?!\w)", re.I)
 PIECE = re.compile(rf"({WORD})|[\x20\-,.()]+|[0-9+]+", re.I)
 OPEN, CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 AT = rf"(?:{OPEN}(?:at|@){CLOSE}|\x20{{1,3}}at\x20{{1,3}}|\x20{{0,3}}@\x20{{0,3}})"
 DOT = rf"(?:{OPEN}(?:dot|\.){CLOSE}|\x20{{1,3}}dot\x20{{1,3}}|\.)"
 ADDRESS = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z0-9_%+-]{{1,64}}(?:{DOT}[A-Za-z0-9_%+-]{{1,64}}){{0,4}}({AT})[A-Za-z0-9-]{{1,63}}((?:{DOT}[A-Za-z0-9-]{{1,63}}){{1,5}})(?![A-Za-z0-9])", re.I)
+RUN_HINT = re.compile(rf"(?<!\w)(?:{WORD})(?:[\x20\-,.()]{{1,3}}|{DOT})(?:{WORD}|[0-9])|[0-9](?:[\x20\-,.()]{{1,3}}|{DOT})(?:{WORD})(?!\w)", re.I)
+DIGIT = "|".join(w for w in sorted(DIGITS, key=len, reverse=True) if w != "plus")
+PART = rf"(?:{DIGIT}|[0-9]{{1,3}})(?:[\x20\-]{{1,2}}(?:{DIGIT}|[0-9]{{1,2}})){{0,2}}"
+QUAD = re.compile(rf"(?<!\w){PART}(?:{DOT}{PART}){{3}}(?!\w)", re.I)
+QUAD_PIECE = re.compile(rf"({DIGIT})|({DOT})|[\x20\-]+", re.I)
 NUMBERS = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 SIGN = re.compile(rf"({OPEN}(?:at|@){CLOSE}|\x20+at\x20+|\x20+@\x20*|@\x20+)|({OPEN}(?:dot|\.){CLOSE}|\x20+dot\x20+)", re.I)
 SIGN_HINT = re.compile(rf"[(\[{{<]\s{{0,3}}(?:at|dot|@|\.)\s{{0,3}}[)\]}}>]|\x20dot\x20|\x20@|@\x20", re.I)
@@ -117,31 +121,57 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
     return sorted(edits)
 
 
+def _quads(text: str) -> list[tuple[int, int, list[tuple[int, int, str]]]]:
+    """Addresses of four numbers with digits as words: their range and edits."""
+    out = []
+    for m in QUAD.finditer(text):
+        pieces = list(QUAD_PIECE.finditer(m[0]))
+        edits = [(m.start() + p.start(), m.start() + p.end(), DIGITS[p[1].lower()] if p[1] else "." if p[2] else "") for p in pieces]
+        if any(p[1] for p in pieces):
+            parts = QUAD_PIECE.sub(lambda p: DIGITS[p[1].lower()] if p[1] else "." if p[2] else "", m[0]).split(".")
+            if all(int(x) <= 255 for x in parts):
+                out.append((*m.span(), edits))
+    return out
+
+
+def _digits(text: str) -> list[tuple[int, int, str]]:
+    """Runs of two or more pieces with a digit as a word, outside the addresses of ``_quads``."""
+    quads = _quads(text)
+    edits = [e for *_, own in quads for e in own]
+    for begin, end in zip([0, *(b for _, b, _ in quads)], [*(a for a, *_ in quads), len(text)]):
+        for m in RUN.finditer(text, begin, end):
+            if any(p[1] for p in PIECE.finditer(m[0])):
+                signed = False
+                for p in PIECE.finditer(m[0]):
+                    gap = not p[1] and not p[0].strip(" -,.()")
+                    if p[1] or gap:
+                        new = DIGITS[p[1].lower()] if p[1] else ("" if signed else " ")
+                        edits.append((m.start() + p.start(), m.start() + p.end(), new))
+                    signed = not gap and (p[1] or p[0]).lower() in ("plus", "+")
+    return sorted(edits)
+
+
 def disguised(text: str) -> list[tuple[str, int, int]]:
     """Identifiers found only after rewriting, as ranges of the source."""
-    folds, unseen, runs, signs = (h.search(text) is not None for h in (FOLD_HINT, UNSEEN, RUN_HINT, SIGN_HINT))
-    if not (folds or unseen or runs or signs):
+    folds, unseen, signs = (h.search(text) is not None for h in (FOLD_HINT, UNSEEN, SIGN_HINT))
+    if not (folds or unseen or signs or RUN_HINT.search(text)):
         return []
     tape = Tape(text)
     if folds:
         tape.text = text.translate(FOLD)  # one character for one
     if unseen:
         tape.rewrite([(*m.span(), "") for m in UNSEEN.finditer(tape.text)])
-    edits = []
-    for m in RUN.finditer(tape.text):
-        if any(p[1] for p in PIECE.finditer(m[0])):
-            signed = False
-            for p in PIECE.finditer(m[0]):
-                gap = not p[1] and not p[0].strip(" -,.()")
-                if p[1] or gap:
-                    new = DIGITS[p[1].lower()] if p[1] else ("" if signed else " ")
-                    edits.append((m.start() + p.start(), m.start() + p.end(), new))
-                signed = not gap and (p[1] or p[0]).lower() in ("plus", "+")
-    tape.rewrite(edits)
-    tape.rewrite(_signs(tape.text))
-    if tape.text == text:
-        return []
-    return [(kind, tape.starts[a], tape.ends[b - 1]) for kind, a, b in plain(tape.text)]
+    edits = _digits(tape.text) if RUN_HINT.search(tape.text) else []
+    out = []
+    # Digits as words are also letters of addresses, so the text is read with them as words, too.
+    for runs in ([], edits) if edits else ([],):
+        read = Tape(tape.text)
+        read.starts, read.ends = tape.starts, tape.ends
+        read.rewrite(runs)
+        read.rewrite(_signs(read.text))
+        if read.text != text:
+            out += [(kind, read.starts[a], read.ends[b - 1]) for kind, a, b in plain(read.text)]
+    return [x for x in out if not any(x[0] == y[0] and y[1] <= x[1] and x[2] <= y[2] and x[1:] != y[1:] for y in out)]
 
 
 def spans(text: str) -> tuple[list[tuple], list[tuple]]:

@@ -386,6 +386,22 @@ def test_pii(text, found):
     assert [text[a:b] for _, a, b in pii.spans(text)[1]] == found
 
 
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ("call plus 44 20 7946 0958 now", ["plus 44 20 7946 0958"]),
+        ("call plus four nine 30 1234567", ["plus four nine 30 1234567"]),
+        ("host one nine two dot one six eight dot zero dot one", ["one nine two dot one six eight dot zero dot one"]),
+        ("host 10 dot 0 dot 0 dot seven, plus four nine 30 1234567", ["10 dot 0 dot 0 dot seven", "plus four nine 30 1234567"]),
+        ("card 4111111111111 one one one", ["4111111111111 one one one"]),
+        ("mail jane.seven-two at example dot com", ["jane.seven-two at example dot com"]),
+        ("one two plus three, three nine nine dot one dot one dot one", []),
+    ],
+)
+def test_pii_mixed(text, found):
+    assert [text[a:b] for _, a, b in pii.spans(text)[1]] == found
+
+
 def test_pii_frames(spark, corpus):
     rows = [*corpus, (700, "mail a@b.co and x (at) y.org", "s")]
     found = {r.doc_id: r for r in pii.find(frame(spark, rows)).collect()}
