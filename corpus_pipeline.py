@@ -54,9 +54,9 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often each document is drawn for the mix; documents that are not drawn have 0 copies. Texts stay in the stage before."""
-    found = mixing.mix(docs, budget_share=BUDGET, repeats=REPEATS)
-    return found.select("doc_id", "source", "n_tokens", "weight", "passes", "copies", "block")
+    """One row per draw of the mix with its position (pass, block_order, place); documents that are not drawn go. Texts stay in the stage before."""
+    found = mixing.draws(mixing.mix(docs, budget_share=BUDGET, repeats=REPEATS))
+    return found.select("doc_id", "source", "n_tokens", "weight", "passes", "copies", "block", "pass", "block_order", "place")
 
 
 STAGES = [

@@ -123,6 +123,19 @@ def mix(
     )
 
 
+def draws(found: DataFrame, seed: str = "mix") -> DataFrame:
+    """One row per draw of ``mix`` with the same seed: its columns, and ``pass, block_order, place``.
+
+    Within a source, draws come in the order of these three: passes from 1, the blocks of a pass in an order of their own, documents
+    of a block by digest. Documents that are not drawn are left out.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")))
+    placed = found.where("copies > 0").withColumn("place", F.row_number().over(Window.partitionBy("source", "block").orderBy(digest, "doc_id", "n_tokens")).cast("bigint"))
+    every = placed.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    order = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce("source", F.lit("")), F.col("pass").cast("string"), F.col("block").cast("string")))
+    return every.select(*found.columns, "pass", order.alias("block_order"), "place")
+
+
 def mixing_sql(documents: str = "documents", *, budget_share: float, repeats: float, block_tokens: int = 1 << 16, seed: str = "mix") -> str:
     """``mix`` for a repetition limit in DuckDB SQL over a relation ``documents``: the same bisection, as a recursive query."""
     return f"""
