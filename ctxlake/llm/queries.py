@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, minhash, mixing, pii, spotsigs, substring, suffix_dedup, tokens, toxicity
+from . import chat, collocations, decontaminate, langid, manifest_tree, minhash, mixing, pii, spotsigs, substring, suffix_dedup, tokens, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -84,3 +84,27 @@ ORACLE["op2_mixing"] = mixing.mixing_sql(budget_share=BUDGET, repeats=REPEATS)
 @query
 def op4_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, share=20)
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), most=4, least=30, best=2000, share=80)
+
+
+ORACLE["op11_collocations"] = collocations.collocations_sql(least=30, best=2000, share=80)
+
+
+@query
+def op12_manifest(spark, sf_dir):
+    found = manifest_tree.manifest(table(spark, sf_dir, "documents"), *manifest_tree.tampering())
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+ORACLE["op12_manifest"] = manifest_tree.manifest_sql()
+
+
+@query
+def op13_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_words", "switches")
