@@ -116,7 +116,7 @@ class _Counter:
             columns, lang = [c[some] for c in columns], lang[some]
         key = _joined([lang, *columns], [int(langs.max()) + 1, *[pad + 1] * self.order])
         _, where, counts = np.unique(key, return_index=True, return_counts=True)
-        known = pa.chunked_array([words, pa.array([b""], words.type)]).combine_chunks().cast(pa.large_string())
+        known = pa.chunked_array([words, pa.array([b""], words.type)]).combine_chunks()
         out = []
         for a in range(0, len(where), ROWS_OUT):
             part = where[a : a + ROWS_OUT]
