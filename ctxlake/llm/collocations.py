@@ -4,10 +4,9 @@ Each word of a piece leads one window of itself and the words after it, padded w
 counted; Spark's ROLLUP over the columns of a window sums them to the counts of all its prefixes, so a phrase of any shorter
 length is counted without windows of its own. Windows that repeat within a chunk of text are combined in the task.
 
-The rollup runs twice. Over windows of two words it gives the words, the pairs and the number of words of each language. A
-phrase that is frequent has frequent neighbours only, so the longest windows end where the next pair is not frequent: pairs are looked up in
-a bitmap of ``2 ** pair_bits`` bits, which has a bit set for each frequent pair. A full bitmap keeps more windows, never fewer; counts of frequent phrases
-are exact at every size. The bitmap is what tasks are sent; its size is the parameter.
+A frequent phrase has frequent pairs of neighbours only, so windows end where the next pair is not frequent. An earlier pass
+counts hashes of pairs and leaves a bitmap of ``2 ** pair_bits`` bits with a bit for each frequent one. Equal hashes and a full bitmap keep
+more windows, never fewer: words, frequent phrases and totals are counted exactly at every size. The bitmap is all that tasks are sent.
 
 Words are compared as text, never as hashes. Null and empty texts have no words; a null language counts as ``und``. Rows count as often as
 they occur, whatever their doc_id. Texts of any length are cut into chunks that overlap by a window. Extra columns take no
@@ -24,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import staged
-from .common import CHUNK_BYTES, Powers, chunks, mix, texts
+from .common import Powers, chunks, mix, texts
 
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 SPACES = b" \t"
+CHUNK = 1 << 19
+HASH_BITS = 40
 PAIR_BITS = 24
-ROWS_OUT = 1 << 17
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(SPACES)], _KIND[list(BREAKS)] = 1, 2
@@ -58,16 +58,6 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, pieces, coded.dictionary, coded.indices.to_numpy().astype(np.int64)
 
 
-def pair_bits_of(words: pa.Array, powers: Powers) -> np.ndarray:
-    """A hash of each word, to be combined by ``_pair``."""
-    body, at = texts(words)
-    return powers.spans(body.astype(np.uint64) + np.uint64(1), at[:-1], at[1:])
-
-
-def _pair(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
-    return mix(left * np.uint64(0x9E3779B97F4A7C15) + right) >> np.uint64(64 - bits)
-
-
 def _joined(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
     """One number a row, equal where all columns are; columns hold 0 to size - 1."""
     key, room = columns[0], sizes[0]
@@ -79,98 +69,120 @@ def _joined(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
     return key
 
 
-class _Counter:
-    """Windows of ``order`` words with their counts, chunk by chunk."""
-
-    def __init__(self, order: int, bitmap: bytes | None, bits: int):
-        self.order, self.bits = order, bits
-        self.bitmap = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
-        self.powers = Powers(0x5851F42D4C957F2D)
-
-    def _windows(self, data, offsets, langs, whole: bool):
-        """Record batches, and the byte from which the next chunk of the same row goes on (None: it needs a longer chunk)."""
-        starts, pieces, words, codes = _words(data, offsets)
-        n = len(codes)
-        done = n if whole else n - self.order
-        if done <= 0:
-            return [], (len(data) if whole else None)
-        linked = np.zeros(n, bool)
-        linked[:-1] = pieces[:-1] == pieces[1:]
-        if self.bitmap is not None:
-            hashes = pair_bits_of(words, self.powers)
-            at = _pair(hashes[codes[:-1]], hashes[codes[1:]], self.bits)
-            linked[:-1] &= (self.bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        lang = langs[np.searchsorted(offsets, starts[:done], "right") - 1]
-        pad = len(words)
+class _Run:
+    """The words of a chunk of text. Windows start at the first ``done`` words; the words after them are there to be looked at."""
+
+    def __init__(self, langs: np.ndarray, data: np.ndarray, offsets: np.ndarray, whole: bool, margin: int):
+        starts, pieces, self.words, self.codes = _words(data, offsets)
+        self.done = max(0, len(starts) if whole else len(starts) - margin)
+        self.next = int(starts[self.done]) if self.done < len(starts) else len(data)
+        self.lang = langs[np.searchsorted(offsets, starts[: self.done], "right") - 1]
+        self.linked = np.zeros(len(starts), bool)
+        self.linked[:-1] = pieces[:-1] == pieces[1:]
+
+
+def _runs(texts_: pa.Array, langs: np.ndarray, margin: int) -> Iterator[_Run]:
+    """Runs that cover all words once; a long text comes in several, which overlap by ``margin`` words."""
+    body, ends = texts(texts_)
+    for row, end, data, offsets in chunks(body, ends, CHUNK):
+        at, size = 0, len(data) if end - row > 1 else CHUNK
+        while at < len(data):
+            stop = min(at + size, len(data))
+            run = _Run(langs[row:end], data[at:stop], offsets if end - row > 1 else np.array([0, stop - at]), stop == len(data), margin)
+            if run.done:
+                yield run
+            if run.done or stop == len(data):
+                at, size = at + run.next, CHUNK
+            else:
+                size *= 2
+
+
+def _hashes(run: _Run, powers: Powers) -> np.ndarray:
+    """``HASH_BITS`` bits for each word and the one after it."""
+    body, at = texts(run.words)
+    one = powers.spans(body.astype(np.uint64) + np.uint64(1), at[:-1], at[1:])[run.codes]
+    return mix(one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) >> np.uint64(64 - HASH_BITS)
+
+
+def _pair_counts(margin: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers(0x5851F42D4C957F2D)
+        for batch in batches:
+            for part in _runs(batch.column(0), np.zeros(batch.num_rows, np.int64), margin):
+                pairs = _hashes(part, powers)[: part.done][part.linked[:-1][: part.done]]
+                pairs, counts = np.unique(pairs, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(counts, pa.int64())], ["pair", "c"])
+
+    return run
+
+
+def _windows(order: int, bitmap: bytes | None, bits: int):
+    """Windows of ``order`` words with their counts, chunk by chunk; they end before a pair that is not in the bitmap."""
+    names = ["lang", *(f"w{k + 1}" for k in range(order)), "c"]
+
+    def of(run: _Run, powers: Powers, known: np.ndarray | None) -> Iterator[tuple[np.ndarray, list[pa.Array], np.ndarray]]:
+        n, done, pad = len(run.codes), run.done, len(run.words)
+        linked = run.linked
+        if known is not None:
+            at = _hashes(run, powers) >> np.uint64(HASH_BITS - bits)
+            linked[:-1] &= (known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        codes = run.codes
         columns, going = [codes[:done]], np.ones(done, bool)
-        for k in range(1, self.order):
+        for k in range(1, order):
             step = np.zeros(done, bool)
             reach = min(done, n - k)
             step[:reach] = linked[k - 1 : k - 1 + reach]
-            going = going & step
+            going &= step
             column = np.full(done, pad, np.int64)
             column[going] = codes[np.flatnonzero(going) + k]
             columns.append(column)
-        if self.bitmap is not None:
-            some = columns[1] != pad
-            columns, lang = [c[some] for c in columns], lang[some]
-        key = _joined([lang, *columns], [int(langs.max()) + 1, *[pad + 1] * self.order])
+        key = _joined([run.lang, *columns], [int(run.lang.max()) + 1, *[pad + 1] * order])
         _, where, counts = np.unique(key, return_index=True, return_counts=True)
-        known = pa.chunked_array([words, pa.array([b""], words.type)]).combine_chunks()
-        out = []
-        for a in range(0, len(where), ROWS_OUT):
-            part = where[a : a + ROWS_OUT]
-            out.append((lang[part], [known.take(pa.array(c[part])) for c in columns], counts[a : a + ROWS_OUT]))
-        return out, (len(data) if whole else int(starts[done]))
-
-    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", *(f"w{k + 1}" for k in range(self.order)), "c"]
+        texts_of = pa.chunked_array([run.words, pa.array([b""], run.words.type)]).combine_chunks()
+        # Words cut at the end of a chunk are in no window, so what is taken is text.
+        yield run.lang[where], [texts_of.take(pa.array(c[where])).cast(pa.string()) for c in columns], counts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers(0x5851F42D4C957F2D)
+        known = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
         for batch in batches:
-            body, ends = texts(batch.column(0))
             coded = batch.column(1).dictionary_encode()
-            langs = coded.indices.to_numpy().astype(np.int64)
-            for row, end, data, offsets in chunks(body, ends):
-                at, size = 0, len(data) if end - row > 1 else CHUNK_BYTES
-                while at < len(data):
-                    stop = min(at + size, len(data))
-                    part = offsets if end - row > 1 else np.array([0, stop - at])
-                    found, step = self._windows(data[at:stop], part, langs[row:end], stop == len(data))
-                    for lang, columns, counts in found:
-                        lang = coded.dictionary.take(pa.array(lang)).cast(pa.string())
-                        yield pa.RecordBatch.from_arrays([lang, *(c.cast(pa.string()) for c in columns), pa.array(counts, pa.int64())], names)
-                    at, size = (at, 2 * size) if step is None else (at + step, CHUNK_BYTES)
+            for part in _runs(batch.column(0), coded.indices.to_numpy().astype(np.int64), order):
+                for lang, columns, counts in of(part, powers, known):
+                    lang = coded.dictionary.take(pa.array(lang)).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([lang, *columns, pa.array(counts, pa.int64())], names)
+
+    return run
 
 
 def marginals(docs: DataFrame, order: int, bitmap: bytes | None = None, bits: int = PAIR_BITS) -> DataFrame:
     """Counts of all prefixes of all windows of ``docs(text, lang)``: ``lang, w1.., f, length``.
 
-    ``length`` is the number of words; 0 stands for the language as a whole. With a bitmap only lengths from 2 on are counted, and
-    only phrases whose pairs are in it.
+    ``length`` is the number of words; 0 stands for the language as a whole. With a bitmap, only phrases whose pairs are all in it are
+    counted, and single words.
     """
     names = [f"w{k + 1}" for k in range(order)]
     schema = f"lang string, {', '.join(f'{n} string' for n in names)}, c bigint"
-    rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(_Counter(order, bitmap, bits).run, schema)
+    rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(_windows(order, bitmap, bits), schema)
     summed = rows.rollup("lang", *names).agg(F.sum("c").alias("f"), F.grouping_id().alias("level"))
-    # A level of k rolled-up columns has the number with k bits set.
-    summed = summed.withColumn("length", F.lit(order) - F.bit_count("level").cast("int")).drop("level").where("length >= 0")
-    padded = reduce(lambda a, b: a | b, ((F.col("length") == k + 1) & (F.col(n) == "") for k, n in enumerate(names)))
-    return summed.where(~F.coalesce(padded, F.lit(False)) & (F.lit(bitmap is None) | (F.col("length") >= 2)))
+    # A level of k rolled-up columns has the number with k bits set. Conditions on a level go below the aggregation.
+    padded = reduce(lambda a, b: a | b, ((F.col("level") == (1 << (order - 1 - k)) - 1) & (F.col(n) == "") for k, n in enumerate(names)))
+    summed = summed.where((F.col("level") < 1 << order) & ~F.coalesce(padded, F.lit(False)))
+    return summed.withColumn("length", F.lit(order) - F.bit_count("level").cast("int")).drop("level")
 
 
-def _bitmap(pairs: DataFrame, bits: int) -> bytes:
-    """A bit for each pair ``(w1, w2)``; at most ``2 ** bits / 8`` bytes reach the driver."""
+def frequent_pairs(docs: DataFrame, least: int, margin: int, bits: int = PAIR_BITS) -> bytes:
+    """A bit for the hash of each pair of neighbours that occurs ``least`` times or more (in any language), ``2 ** bits / 8`` bytes.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers(0x5851F42D4C957F2D)
-        for batch in batches:
-            at = _pair(pair_bits_of(batch.column(0), powers), pair_bits_of(batch.column(1), powers), bits)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64) + 1)], ["bit"])
-
-    found = pairs.select("w1", "w2").mapInArrow(run, "bit bigint").groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-    out = bytearray((1 << bits) // 8)
-    for row in found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")).collect():
-        part = bytes(row["bitmap"])[: len(out)]
-        out[(row["bucket"] - 1) * len(row["bitmap"]) : (row["bucket"] - 1) * len(row["bitmap"]) + len(part)] = part
+    Pairs with equal hashes are counted as one, which sets bits of rare pairs but leaves out none of a frequent one.
+    """
+    counted = docs.select("text").mapInArrow(_pair_counts(margin), "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+    bit = F.shiftright("pair", HASH_BITS - bits) + 1
+    found = counted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    out = bytearray(max((1 << bits) // 8, 1 << 12))
+    for row in found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")).collect():  # bounded by bits
+        at = (row["bucket"] - 1) * len(row["bitmap"])
+        out[at : at + len(row["bitmap"])] = row["bitmap"]
     return bytes(out)
 
 
@@ -186,13 +198,12 @@ def collocations(docs: DataFrame, most: int = 4, least: int = 30, best: int = 20
     occur ``l`` and ``r`` times (ties: the shortest first part). Candidates inside a longer candidate that has ``share`` percent of their
     occurrences or more are dropped. Returns ``lang, rank, phrase, a, l, r, n, score, cut``.
     """
-    short = staged(marginals(docs, 2).where(f"f >= {least} OR length = 0"), "collocations-pairs")
-    bitmap = _bitmap(short.where("length = 2"), pair_bits)
+    bitmap = frequent_pairs(docs, least, most, pair_bits)
     names = [f"w{k + 1}" for k in range(most)]
-    long = marginals(docs, most, bitmap, pair_bits).where(f"f >= {least}")
+    counted = marginals(docs, most, bitmap, pair_bits).where(f"f >= {least} OR length = 0")
     words = F.expr(f"slice(array({', '.join(names)}), 1, length)")
-    phrases = short.where("length = 1").select("lang", F.array("w1").alias("words"), "f").unionByName(long.select("lang", words.alias("words"), "f"))
-    phrases = staged(phrases.withColumn("phrase", F.array_join("words", " ")), "collocations-phrases")
+    counted = staged(counted.select("lang", words.alias("words"), "f").withColumn("phrase", F.array_join("words", " ")), "collocations-phrases")
+    phrases = counted.where("size(words) > 0")
     candidates = phrases.where("size(words) > 1").withColumnRenamed("f", "a")
 
     part = lambda name, f: phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(f))
@@ -213,7 +224,7 @@ def collocations(docs: DataFrame, most: int = 4, least: int = 30, best: int = 20
     ahead = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
     ahead = ahead.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= best)
     top = ahead.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")).where(F.col("rank") <= best)
-    totals = short.where("length = 0").select("lang", F.col("f").alias("n"))
+    totals = counted.where("size(words) = 0").select("lang", F.col("f").alias("n"))
     return top.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "cut")
 
 

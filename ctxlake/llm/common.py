@@ -41,11 +41,11 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[first : int(offsets[-1])], offsets - first
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of whole rows of about ``CHUNK_BYTES``: first row, row after the last, bytes, offsets."""
+def chunks(data: np.ndarray, offsets: np.ndarray, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole rows of about ``size`` bytes (``CHUNK_BYTES``): first row, row after the last, bytes, offsets."""
     row, n = 0, len(offsets) - 1
     while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + (size or CHUNK_BYTES), "right")) - 1
         end = min(max(end, row + 1), n)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end

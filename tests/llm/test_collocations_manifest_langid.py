@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,11 +67,10 @@ def plain_collocations(rows, most, least, best, share):
     }
 
 
-@pytest.mark.parametrize("bits,chunk", [(24, 1 << 21), (15, 97)])
+@pytest.mark.parametrize("bits,chunk", [(24, 1 << 21), (3, 97)])
 def test_collocations(spark, rows, monkeypatch, bits, chunk):
     """Also with a nearly full bitmap, and with texts cut into chunks of a few words."""
-    monkeypatch.setattr(collocations, "CHUNK_BYTES", chunk)
-    monkeypatch.setitem(collocations.chunks.__globals__, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(collocations, "CHUNK", chunk)
     rows = rows + [(900, "a1 a2 B3 a1 " * 200 + "w" * 300 + " a1 a2", "en", "s", 0), (901, "Z", "en", "s", 1)]
     found = collocations.collocations(frame(spark, rows), least=4, best=25, share=80, pair_bits=bits)
     got = found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "cut").collect()
@@ -87,17 +87,16 @@ def test_collocations_odd_rows(spark):
     assert [(r.lang, r["rank"], r.phrase, r.score) for r in collocations.collocations(ties, least=2).orderBy("rank").collect()] == [("und", 1, "b a", 1000000), ("und", 2, "d c", 1000000)]
 
 
-def test_window_counts_of_one_long_piece():
-    text = b"x yy x yy zzz " * 50
-    data, ends = np.frombuffer(text, np.uint8), np.array([0, len(text)])
-    counter = collocations._Counter(3, None, 24)
-    (found, step) = counter._windows(data, ends, np.array([0]), True)
-    assert step == len(text)
-    words, got = text.split(), Counter()
-    for _, columns, counts in found:
-        for key, c in zip(zip(*(c.to_pylist() for c in columns)), counts):
-            got[key] += int(c)
-    words += [b"", b""]
+@pytest.mark.parametrize("chunk", [1 << 19, 11])
+def test_window_counts_of_one_long_piece(monkeypatch, chunk):
+    monkeypatch.setattr(collocations, "CHUNK", chunk)
+    text = "x yy x é zzz " * 50
+    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array(["en"])], ["text", "lang"])
+    got = Counter()
+    for found in collocations._windows(3, None, 24)([batch]):
+        for lang, *key, c in zip(*(column.to_pylist() for column in found.columns)):
+            got[tuple(key)] += c
+    words = [*text.split(), "", ""]
     assert got == Counter(zip(words, words[1:], words[2:]))
 
 
