@@ -4,9 +4,10 @@ Each word of a piece leads one window of itself and the words after it, padded w
 counted; Spark's ROLLUP over the columns of a window sums them to the counts of all its prefixes, so a phrase of any shorter
 length is counted without windows of its own. Windows that repeat within a chunk of text are combined in the task.
 
-A frequent phrase has frequent pairs of neighbours only, so windows end where the next pair is not frequent. An earlier pass
-counts hashes of pairs and leaves a bitmap of ``2 ** pair_bits`` bits with a bit for each frequent one. Equal hashes and a full bitmap keep
-more windows, never fewer: words, frequent phrases and totals are counted exactly at every size. The bitmap is all that tasks are sent.
+A frequent phrase holds frequent grams only, so windows end where the next pair or triple is not frequent. Earlier passes
+count hashes of pairs, then of triples of frequent pairs, and leave a bitmap of ``2 ** gram_bits`` bits with a bit for each frequent one. Equal
+hashes and a full bitmap keep more windows, never fewer: words, frequent phrases and totals are counted exactly at every size. The
+bitmaps are all that tasks are sent.
 
 Words are compared as text, never as hashes. Null and empty texts have no words; a null language counts as ``und``. Rows count as often as
 they occur, whatever their doc_id. Texts of any length are cut into chunks that overlap by a window. Extra columns take no
@@ -29,7 +30,7 @@ BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 SPACES = b" \t"
 CHUNK = 1 << 19
 HASH_BITS = 40
-PAIR_BITS = 24
+GRAM_BITS = 24
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(SPACES)], _KIND[list(BREAKS)] = 1, 2
@@ -97,41 +98,59 @@ def _runs(texts_: pa.Array, langs: np.ndarray, margin: int) -> Iterator[_Run]:
                 size *= 2
 
 
-def _hashes(run: _Run, powers: Powers) -> np.ndarray:
-    """``HASH_BITS`` bits for each word and the one after it."""
+def _grams(run: _Run, powers: Powers, known: list[np.ndarray], bits: int, length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For 2 to ``length`` words: may the gram from each word on be frequent? And hashes of the longest ones.
+
+    A gram may be if it lies in one piece, its bit is set where there is a bitmap of its length, and both grams of one word
+    less may be.
+    """
+    n = len(run.codes)
     body, at = texts(run.words)
     one = powers.spans(body.astype(np.uint64) + np.uint64(1), at[:-1], at[1:])[run.codes]
-    return mix(one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) >> np.uint64(64 - HASH_BITS)
-
-
-def _pair_counts(margin: int):
+    hashes, before, out = one, np.ones(n, bool), []
+    for size in range(2, length + 1):
+        hashes = mix(hashes[: max(0, n - size + 1)] * np.uint64(0x9E3779B97F4A7C15) + one[size - 1 :])
+        may = np.zeros(n, bool)
+        may[: len(hashes)] = before[: len(hashes)] & before[1 : len(hashes) + 1]
+        if size == 2:
+            may &= run.linked
+        if size - 2 < len(known):
+            bit = hashes >> np.uint64(64 - bits)
+            may[: len(hashes)] &= (known[size - 2][bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        before = may
+        out.append(may)
+    return out, hashes
+
+
+def _gram_counts(length: int, bitmaps: list[bytes], bits: int, margin: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers(0x5851F42D4C957F2D)
+        powers, known = Powers(0x5851F42D4C957F2D), [np.frombuffer(b, np.uint8) for b in bitmaps]
         for batch in batches:
             for part in _runs(batch.column(0), np.zeros(batch.num_rows, np.int64), margin):
-                pairs = _hashes(part, powers)[: part.done][part.linked[:-1][: part.done]]
-                pairs, counts = np.unique(pairs, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(counts, pa.int64())], ["pair", "c"])
+                may, hashes = _grams(part, powers, known, bits, length)
+                grams = hashes[: part.done][may[-1][: len(hashes)][: part.done]] >> np.uint64(64 - HASH_BITS)
+                grams, counts = np.unique(grams, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(counts, pa.int64())], ["gram", "c"])
 
     return run
 
 
-def _windows(order: int, bitmap: bytes | None, bits: int):
-    """Windows of ``order`` words with their counts, chunk by chunk; they end before a pair that is not in the bitmap."""
+def _windows(order: int, bitmaps: list[bytes], bits: int):
+    """Windows of ``order`` words with their counts, chunk by chunk; they end where a gram cannot be frequent."""
     names = ["lang", *(f"w{k + 1}" for k in range(order)), "c"]
 
-    def of(run: _Run, powers: Powers, known: np.ndarray | None) -> Iterator[tuple[np.ndarray, list[pa.Array], np.ndarray]]:
+    def of(run: _Run, powers: Powers, known: list[np.ndarray]) -> tuple[np.ndarray, list[pa.Array], np.ndarray]:
         n, done, pad = len(run.codes), run.done, len(run.words)
-        linked = run.linked
-        if known is not None:
-            at = _hashes(run, powers) >> np.uint64(HASH_BITS - bits)
-            linked[:-1] &= (known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        may, _ = _grams(run, powers, known, bits, max(2, min(order, len(known) + 1)))
         codes = run.codes
         columns, going = [codes[:done]], np.ones(done, bool)
         for k in range(1, order):
+            # The longest gram looked at that ends with this word of the window.
+            size = min(k + 1, len(may) + 1)
+            first = k + 1 - size
             step = np.zeros(done, bool)
-            reach = min(done, n - k)
-            step[:reach] = linked[k - 1 : k - 1 + reach]
+            reach = max(0, min(done, n - k))
+            step[:reach] = may[size - 2][first : first + reach]
             going &= step
             column = np.full(done, pad, np.int64)
             column[going] = codes[np.flatnonzero(going) + k]
@@ -140,30 +159,30 @@ def _windows(order: int, bitmap: bytes | None, bits: int):
         _, where, counts = np.unique(key, return_index=True, return_counts=True)
         texts_of = pa.chunked_array([run.words, pa.array([b""], run.words.type)]).combine_chunks()
         # Words cut at the end of a chunk are in no window, so what is taken is text.
-        yield run.lang[where], [texts_of.take(pa.array(c[where])).cast(pa.string()) for c in columns], counts
+        return run.lang[where], [texts_of.take(pa.array(c[where])).cast(pa.string()) for c in columns], counts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(0x5851F42D4C957F2D)
-        known = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
+        known = [np.frombuffer(b, np.uint8) for b in bitmaps]
         for batch in batches:
             coded = batch.column(1).dictionary_encode()
             for part in _runs(batch.column(0), coded.indices.to_numpy().astype(np.int64), order):
-                for lang, columns, counts in of(part, powers, known):
-                    lang = coded.dictionary.take(pa.array(lang)).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([lang, *columns, pa.array(counts, pa.int64())], names)
+                lang, columns, counts = of(part, powers, known)
+                lang = coded.dictionary.take(pa.array(lang)).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([lang, *columns, pa.array(counts, pa.int64())], names)
 
     return run
 
 
-def marginals(docs: DataFrame, order: int, bitmap: bytes | None = None, bits: int = PAIR_BITS) -> DataFrame:
+def marginals(docs: DataFrame, order: int, bitmaps: list[bytes] | None = None, bits: int = GRAM_BITS) -> DataFrame:
     """Counts of all prefixes of all windows of ``docs(text, lang)``: ``lang, w1.., f, length``.
 
-    ``length`` is the number of words; 0 stands for the language as a whole. With a bitmap, only phrases whose pairs are all in it are
-    counted, and single words.
+    ``length`` is the number of words; 0 stands for the language as a whole. With bitmaps (of grams of 2, 3, ... words), phrases
+    that hold a gram without its bit are left out.
     """
     names = [f"w{k + 1}" for k in range(order)]
     schema = f"lang string, {', '.join(f'{n} string' for n in names)}, c bigint"
-    rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(_windows(order, bitmap, bits), schema)
+    rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(_windows(order, bitmaps or [], bits), schema)
     summed = rows.rollup("lang", *names).agg(F.sum("c").alias("f"), F.grouping_id().alias("level"))
     # A level of k rolled-up columns has the number with k bits set. Conditions on a level go below the aggregation.
     padded = reduce(lambda a, b: a | b, ((F.col("level") == (1 << (order - 1 - k)) - 1) & (F.col(n) == "") for k, n in enumerate(names)))
@@ -171,13 +190,15 @@ def marginals(docs: DataFrame, order: int, bitmap: bytes | None = None, bits: in
     return summed.withColumn("length", F.lit(order) - F.bit_count("level").cast("int")).drop("level")
 
 
-def frequent_pairs(docs: DataFrame, least: int, margin: int, bits: int = PAIR_BITS) -> bytes:
-    """A bit for the hash of each pair of neighbours that occurs ``least`` times or more (in any language), ``2 ** bits / 8`` bytes.
+def frequent_grams(docs: DataFrame, length: int, least: int, shorter: list[bytes], bits: int = GRAM_BITS) -> bytes:
+    """A bit for the hash of each gram of ``length`` words that occurs ``least`` times or more (in any language), ``2 ** bits / 8`` bytes.
 
-    Pairs with equal hashes are counted as one, which sets bits of rare pairs but leaves out none of a frequent one.
+    Grams that the bitmaps of ``shorter`` ones rule out are not counted. Grams with equal hashes are counted as one, which sets
+    bits of rare grams but leaves out none of a frequent one.
     """
-    counted = docs.select("text").mapInArrow(_pair_counts(margin), "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-    bit = F.shiftright("pair", HASH_BITS - bits) + 1
+    counted = docs.select("text").mapInArrow(_gram_counts(length, shorter, bits, length), "gram bigint, c bigint")
+    counted = counted.groupBy("gram").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+    bit = F.shiftright("gram", HASH_BITS - bits) + 1
     found = counted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
     out = bytearray(max((1 << bits) // 8, 1 << 12))
     for row in found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")).collect():  # bounded by bits
@@ -191,16 +212,18 @@ def _wide(name: str) -> Column:
     return F.col(name).cast("decimal(20,0)")
 
 
-def collocations(docs: DataFrame, most: int = 4, least: int = 30, best: int = 2000, share: int = 80, pair_bits: int = PAIR_BITS) -> DataFrame:
+def collocations(docs: DataFrame, most: int = 4, least: int = 30, best: int = 2000, share: int = 80, gram_bits: int = GRAM_BITS) -> DataFrame:
     """The ``best`` phrases of 2 to ``most`` words of each language of ``docs(text, lang)``.
 
     A candidate occurs ``least`` times or more. Its score is the least of ``floor(2000000 * a / (l + r))`` over the cuts into two parts that
     occur ``l`` and ``r`` times (ties: the shortest first part). Candidates inside a longer candidate that has ``share`` percent of their
     occurrences or more are dropped. Returns ``lang, rank, phrase, a, l, r, n, score, cut``.
     """
-    bitmap = frequent_pairs(docs, least, most, pair_bits)
+    bitmaps: list[bytes] = []
+    for length in range(2, most):
+        bitmaps.append(frequent_grams(docs, length, least, bitmaps, gram_bits))
     names = [f"w{k + 1}" for k in range(most)]
-    counted = marginals(docs, most, bitmap, pair_bits).where(f"f >= {least} OR length = 0")
+    counted = marginals(docs, most, bitmaps, gram_bits).where(f"f >= {least} OR length = 0")
     words = F.expr(f"slice(array({', '.join(names)}), 1, length)")
     counted = staged(counted.select("lang", words.alias("words"), "f").withColumn("phrase", F.array_join("words", " ")), "collocations-phrases")
     phrases = counted.where("size(words) > 0")

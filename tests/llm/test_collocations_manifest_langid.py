@@ -72,7 +72,7 @@ def test_collocations(spark, rows, monkeypatch, bits, chunk):
     """Also with a nearly full bitmap, and with texts cut into chunks of a few words."""
     monkeypatch.setattr(collocations, "CHUNK", chunk)
     rows = rows + [(900, "a1 a2 B3 a1 " * 200 + "w" * 300 + " a1 a2", "en", "s", 0), (901, "Z", "en", "s", 1)]
-    found = collocations.collocations(frame(spark, rows), least=4, best=25, share=80, pair_bits=bits)
+    found = collocations.collocations(frame(spark, rows), least=4, best=25, share=80, gram_bits=bits)
     got = found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "cut").collect()
     assert {tuple(r) for r in got} == plain_collocations(rows, 4, 4, 25, 80)
     assert len(got) == len(set(got)) > 30
@@ -93,7 +93,7 @@ def test_window_counts_of_one_long_piece(monkeypatch, chunk):
     text = "x yy x é zzz " * 50
     batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array(["en"])], ["text", "lang"])
     got = Counter()
-    for found in collocations._windows(3, None, 24)([batch]):
+    for found in collocations._windows(3, [], 24)([batch]):
         for lang, *key, c in zip(*(column.to_pylist() for column in found.columns)):
             got[tuple(key)] += c
     words = [*text.split(), "", ""]
