@@ -8,21 +8,28 @@ from .. import specs
 from ..functions.text import yes_or_true
 
 
+def _source() -> Column:
+    return F.col("file_path").alias(specs.SOURCE_FILE)
+
+
 def _props(*names: str) -> list[Column]:
     return [F.col("props")[n].alias(n) for n in names]
 
 
-def views(blocks: DataFrame) -> DataFrame:
-    return specs.LOOKML_VIEW.conform(
+def views(blocks: DataFrame, spec: specs.TableSpec = specs.LOOKML_VIEW) -> DataFrame:
+    """``spec`` may be ``by_file()``: then rows carry the file they came from."""
+    return spec.conform(
         blocks.filter("kind = 'view'").select(
+            _source(),
             "name", *_props("sql_table_name", "label", "description", "ai_context"), "file_path"
         )
     )
 
 
-def dimensions(blocks: DataFrame) -> DataFrame:
-    return specs.LOOKML_DIMENSION.conform(
+def dimensions(blocks: DataFrame, spec: specs.TableSpec = specs.LOOKML_DIMENSION) -> DataFrame:
+    return spec.conform(
         blocks.filter(F.col("kind").isin("dimension", "dimension_group")).select(
+            _source(),
             "view_name",
             F.col("name").alias("field_name"),
             F.col("kind").alias("field_kind"),
@@ -32,9 +39,10 @@ def dimensions(blocks: DataFrame) -> DataFrame:
     )
 
 
-def measures(blocks: DataFrame) -> DataFrame:
-    return specs.LOOKML_MEASURE.conform(
+def measures(blocks: DataFrame, spec: specs.TableSpec = specs.LOOKML_MEASURE) -> DataFrame:
+    return spec.conform(
         blocks.filter("kind = 'measure'").select(
+            _source(),
             "view_name",
             F.col("name").alias("measure_name"),
             *_props("type", "sql", "description", "ai_context", "filters"),
@@ -42,9 +50,10 @@ def measures(blocks: DataFrame) -> DataFrame:
     )
 
 
-def explores(blocks: DataFrame) -> DataFrame:
-    return specs.LOOKML_EXPLORE.conform(
+def explores(blocks: DataFrame, spec: specs.TableSpec = specs.LOOKML_EXPLORE) -> DataFrame:
+    return spec.conform(
         blocks.filter("kind = 'explore'").select(
+            _source(),
             "name",
             F.coalesce(F.nullif(F.col("props")["from"], F.lit("")), F.col("name")).alias("from_view"),
             *_props("label", "description", "ai_context"),
@@ -64,3 +73,9 @@ def family(blocks: DataFrame) -> dict[str, DataFrame]:
         "lookml_measure": measures(blocks),
         "lookml_explore": explores(blocks),
     }
+
+
+def family_by_file(blocks: DataFrame) -> dict[str, DataFrame]:
+    """The same with the file each row came from."""
+    makers = {specs.LOOKML_VIEW: views, specs.LOOKML_DIMENSION: dimensions, specs.LOOKML_MEASURE: measures, specs.LOOKML_EXPLORE: explores}
+    return {spec.name: make(blocks, spec.by_file()) for spec, make in makers.items()}

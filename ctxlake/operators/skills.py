@@ -13,13 +13,13 @@ _OPENED = r"\A[^\S\n]*---[^\S\n]*(?:\n|\z)"
 _FENCE = r"(?md)^[^\S\n]*---[^\S\n]*(?:\n|\z)"
 
 
-def _key():
+def skill_key():
     return F.concat(F.lit("skill/"), without_suffix(F.col("file_path"), ".md"))
 
 
 def root_rows(docs: DataFrame, provider: str) -> DataFrame:
     """The whole file, unchanged, under ``skill/<relative path without suffix>``."""
-    return specs.ROOT.conform(docs.select(F.lit(provider).alias("provider"), _key().alias("key"), "content"))
+    return specs.ROOT.conform(docs.select(F.lit(provider).alias("provider"), skill_key().alias("key"), "content"))
 
 
 def declarations(docs: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def declarations(docs: DataFrame) -> DataFrame:
         (F.size(F.split("content", _FENCE, 3)) == 3).alias("closed"),
     ).select("file_path", F.when(F.col("closed"), F.col("front")).alias("content"))
     parsed = parse_yaml(opened).select(
-        _key().alias("skill_key"),
+        skill_key().alias("skill_key"),
         F.col("content").isNull().alias("unclosed"),
         "error",
         F.try_parse_json("json").alias("front"),

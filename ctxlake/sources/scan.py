@@ -15,14 +15,43 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import unix_newlines
 
 
+def _below(base: str, path: Column) -> Column:
+    parsed = urlparse(base)
+    root = (parsed.path if parsed.scheme else os.path.abspath(base)).rstrip("/")
+    plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.substr(plain, F.lit(len(root) + 2))
+
+
 def relative_path(base: str, url: str = "_metadata.file_path") -> Column:
     """A file URL decoded and cut down to the part below ``base``."""
-    parsed = urlparse(base)
-    root = parsed.path if parsed.scheme else os.path.abspath(base)
-    root = root.rstrip("/")
-    decoded = F.url_decode(F.replace(F.col(url), F.lit("+"), F.lit("%2B")))
-    path = F.regexp_replace(decoded, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    return F.substr(path, F.lit(len(root) + 2))
+    return _below(base, F.url_decode(F.replace(F.col(url), F.lit("+"), F.lit("%2B"))))
+
+
+def listing(spark: SparkSession, base: str, suffix: str) -> DataFrame:
+    """Files ending in ``suffix`` anywhere below ``base``: ``(file_path, length, modified)``.
+
+    Names and sizes come from a scan whose content is pruned, so no file is opened. File scans skip files of length zero.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").load(base.rstrip("/"))
+    return files.select(_below(base, F.col("path")).alias("file_path"), "length", F.col("modificationTime").alias("modified"))
+
+
+def documents_since(spark: SparkSession, base: str, suffix: str, wanted: DataFrame) -> DataFrame:
+    """Texts of the files in ``wanted(file_path, modified)``, a part of a ``listing``.
+
+    Files older than the oldest wanted one are left out by the scan itself and not opened.
+    """
+    oldest = wanted.agg(F.min("modified")).first()[0]
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"*{suffix}")
+        .option("recursiveFileLookup", "true")
+        .load(base.rstrip("/"))
+        .filter(F.col("modificationTime") >= F.lit(oldest))
+    )
+    text = unix_newlines(F.expr("make_valid_utf8(CAST(content AS STRING))"))
+    docs = files.select(_below(base, F.col("path")).alias("file_path"), text.alias("content"))
+    return docs.join(wanted.select("file_path"), "file_path", "left_semi")
 
 
 def text_documents(

@@ -12,6 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _STRING = T.StringType()
+SOURCE_FILE = "source_file"
 _TYPES = {
     "text": _STRING,
     "bool": T.BooleanType(),
@@ -56,6 +57,11 @@ class TableSpec:
         """
         return replace(self, buckets=buckets)
 
+    def by_file(self) -> TableSpec:
+        """What each file gives to this table: the same rows under the file they came from."""
+        schema = T.StructType([T.StructField(SOURCE_FILE, _STRING, nullable=False), *self.schema.fields])
+        return replace(self, name=f"{self.name}_by_file", schema=schema, keys=(SOURCE_FILE, *self.keys))
+
     @property
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
@@ -76,6 +82,7 @@ def _table(name: str, keys: str, columns: str, bucket_by: str = "") -> TableSpec
     return TableSpec(name, T.StructType(fields), tuple(keys.split()), tuple((bucket_by or keys).split()))
 
 
+# Columns, keys and required columns below are fixed values: the published contract of the tables.
 _NOTE_TAIL = (
     "kind! tags:list title content! author source "
     "confidence:double importance:double created_at:timestamp updated_at:timestamp"
@@ -177,6 +184,21 @@ NOTES_ON_COLUMNS = _table(
     "note_id! table_catalog table_schema! table_name! column_name! " + _NOTE_TAIL,
 )
 
+# Not a published table: what a refresh knows of the files it has taken in.
+FILE_LEDGER = TableSpec(
+    "file_ledger",
+    T.StructType(
+        [
+            T.StructField("file_path", _STRING, nullable=False),
+            T.StructField("length", T.LongType(), nullable=False),
+            T.StructField("modified", T.TimestampType(), nullable=False),
+            T.StructField("error", _STRING),
+        ]
+    ),
+    ("file_path",),
+    ("file_path",),
+)
+
 FAMILIES: dict[str, tuple[TableSpec, ...]] = {
     "dbt": (DBT_MODEL, DBT_COLUMN, DBT_DEPENDENCY),
     "lookml": (LOOKML_VIEW, LOOKML_DIMENSION, LOOKML_MEASURE, LOOKML_EXPLORE),

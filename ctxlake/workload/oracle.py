@@ -563,6 +563,12 @@ ORACLE: dict[str, str] = {
       SELECT 'part_' || p_partkey AS name, p_name || ' #' || p_partkey AS label,
         'shop.part_' || p_partkey AS sql_table_name FROM part
     """,
+    "refreshed_files": """
+      SELECT CASE WHEN p_partkey = 1 THEN 'extra_1' ELSE 'part_' || p_partkey END AS name,
+        p_name || CASE WHEN p_partkey < 50 THEN ' no. ' ELSE ' #' END || p_partkey AS label, 'Use for ' || p_type AS ai_context
+      FROM part WHERE p_partkey // 50 <> 1
+      UNION ALL SELECT * FROM (VALUES ('changed', '1', NULL), ('deleted', '2', NULL), ('broken', '1', NULL)) AS c(name, label, ai_context)
+    """,
     "repeated_keys": """
       SELECT l_orderkey, l_linenumber, count(*) AS uses FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
     """,

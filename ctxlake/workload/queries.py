@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,9 +13,10 @@ from ..plans import metrics
 from ..runtime import run_folder, staged
 from ..sources.lookml import parse_lookml
 from ..sources.manifest import read_manifests
-from ..sources.scan import text_documents
+from ..sources.scan import listing, text_documents
 from ..sources.yamldoc import parse_yaml, rejects
 from ..specs import ALL_TABLES, LOOKML_VIEW, ROOT, SKILL_USE, TableSpec
+from ..streaming import ledger
 from ..streaming.refresh import document_stream, refresh_lookml_stream
 from . import derived as d
 
@@ -859,6 +861,40 @@ def refreshed_stream(spark, sf):
     return catalog.read(LOOKML_VIEW).select("name", "label", "sql_table_name")
 
 
+def _put(spark: SparkSession, path: str, text: str | None) -> None:
+    """Write one small file in place, or delete it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if text is None:
+        files.delete(target, False)
+        return
+    stream = files.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+@query
+def refreshed_files(spark, sf):
+    """LookML files taken in, then four of them edited, deleted, broken and taken away from under another one that they redefined."""
+    folder, catalog = run_folder(spark, "project"), _catalog(spark)
+    docs = d.lookml_documents(spark, sf)
+    named = docs.select(F.regexp_extract("file_path", r"b(\d+)\.", 1).cast("int").alias("block"), "content")
+    named.write.partitionBy("block").text(folder)
+    few = {r["block"]: r["content"] for r in named.filter("block < 4").collect()}
+    again = few[3].replace("Use for", "Now for")
+    _put(spark, f"{folder}/zz/again.txt", again)
+    ledger.refresh_lookml_files(catalog, folder, ".txt")
+    paths = {r["file_path"].split("/")[0]: r["file_path"] for r in listing(spark, folder, ".txt").filter("file_path RLIKE '^block=[0-3]/'").collect()}
+    _put(spark, f"{folder}/{paths['block=0']}", re.sub(r'(label: "[^"#]*)#', r"\1no. ", few[0]).replace("view: part_1 {", "view: extra_1 {"))
+    _put(spark, f"{folder}/{paths['block=1']}", None)
+    _put(spark, f"{folder}/{paths['block=2']}", few[2] + "view: open {")
+    _put(spark, f"{folder}/zz/again.txt", None)
+    changes = ledger.refresh_lookml_files(catalog, folder, ".txt")
+    counts = changes.groupBy(F.when(F.col("error").isNotNull(), "broken").otherwise(F.col("change")).alias("name")).agg(F.count("*").cast("string").alias("label"))
+    views = catalog.read(LOOKML_VIEW).select("name", "label", "ai_context")
+    return views.unionByName(counts.withColumn("ai_context", F.lit(None).cast("string")))
+
+
 # --- checks ---
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from ctxlake.operators import publish, registry
 from ctxlake.operators.store import Catalog, change_counts, last_write_wins
 from ctxlake.runtime import shared_root
-from ctxlake.specs import ALL_TABLES, DBT_MODEL, ROOT, SKILL_USE, TableSpec
+from ctxlake.specs import ALL_TABLES, DBT_MODEL, LOOKML_DIMENSION, LOOKML_VIEW, ROOT, SKILL_USE, TableSpec
+from ctxlake.streaming import ledger
 from ctxlake.streaming.refresh import document_stream, refresh_skills_stream
 
 THING = TableSpec(
@@ -214,3 +215,51 @@ def test_streaming_refresh(spark, catalog, tmp_path):
 
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_ledger_refresh(spark, catalog, tmp_path):
+    base = tmp_path / "project"
+    view = "view: {} {{ label: \"{}\" dimension: id {{ type: number sql: ${{TABLE}}.id ;; }} }}\n"
+    write(base, {"a.lkml": view.format("v", "first") + view.format("w", "only"), "sub/b.lkml": view.format("v", "second"), "c.lkml": ""})
+
+    def run():
+        found = ledger.refresh_lookml_files(catalog, str(base)).collect()
+        return {r["file_path"]: (r["change"], bool(r["error"])) for r in found}
+
+    def labels():
+        return {r["name"]: r["label"] for r in catalog.read(LOOKML_VIEW).collect()}
+
+    assert run() == {p: ("new", False) for p in ("a.lkml", "sub/b.lkml")}
+    assert labels() == {"v": "second", "w": "only"}
+    version = catalog.version(LOOKML_VIEW)
+    assert run() == {} and catalog.version(LOOKML_VIEW) == version
+
+    # An edit that leaves out a view, and a broken file: its last good rows stay.
+    write(base, {"a.lkml": view.format("v", "edited"), "sub/b.lkml": "view: v {"})
+    assert run() == {"a.lkml": ("changed", False), "sub/b.lkml": ("changed", True)}
+    assert labels() == {"v": "second"}
+    assert {r["field_name"] for r in catalog.read(LOOKML_DIMENSION).collect()} == {"id"}
+    assert [r["file_path"] for r in ledger.rejected(catalog, "lookml").collect()] == ["sub/b.lkml"]
+    assert run() == {}
+
+    # The later file goes: the row of the earlier one comes forward.
+    (base / "sub/b.lkml").unlink()
+    assert run() == {"sub/b.lkml": ("deleted", False)}
+    assert labels() == {"v": "edited"} and ledger.rejected(catalog, "lookml").isEmpty()
+    write(base, {"a.lkml": ""})
+    assert run() == {"a.lkml": ("deleted", False)}
+    assert labels() == {} and catalog.read(LOOKML_DIMENSION).isEmpty()
+
+
+def test_ledger_refresh_of_skills(spark, catalog, tmp_path):
+    base, other = tmp_path / "one", tmp_path / "two"
+    head = "---\nuses:\n  schemas: [{}]\n---\n# {}\n"
+    write(base, {"a.md": head.format("A", "a"), "b.md": head.format("B", "b")})
+    write(other, {"a.md": head.format("O", "o")})
+    ledger.refresh_skill_files(catalog, str(base), "acme")
+    ledger.refresh_skill_files(catalog, str(other), "other")
+    write(base, {"a.md": head.format("A2", "longer")})
+    (base / "b.md").unlink()
+    ledger.refresh_skill_files(catalog, str(base), "acme")
+    assert {(u[0], u[1], u[3]) for u in uses(catalog)} == {("acme", "skill/a", "A2"), ("other", "skill/a", "O")}
+    assert {(r["provider"], r["key"]) for r in catalog.read(ROOT).collect()} == {("acme", "skill/a"), ("other", "skill/a")}
