@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..runtime import scratch
 from ..specs import ALL_TABLES, ROOT, SKILL_USE, TableSpec
@@ -52,9 +52,11 @@ def present_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 def change_counts(target: DataFrame, source: DataFrame, spec: TableSpec) -> DataFrame:
     """How many keys a reconcile inserts, updates, deletes and leaves alone: ``(change, n)``."""
     keys = list(spec.keys)
-    # Nulls are written out: a value that moves to a neighbouring null column is a change.
-    text = F.to_json(F.struct(*spec.value_columns), {"ignoreNullFields": "false"}) if spec.value_columns else F.lit("")
-    body = F.xxhash64(text)
+    # Hashes skip nulls, so each value comes with whether it is one: a value that moves to a neighbouring null column is a change.
+    # Scalars are hashed as they are (a timestamp to the microsecond), lists as JSON text with their nulls.
+    nested = {f.name for f in spec.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))}
+    value = lambda c: F.to_json(c, {"ignoreNullFields": "false"}) if c in nested else F.col(c)
+    body = F.xxhash64(F.lit(0), *[x for c in spec.value_columns for x in (F.isnull(c), value(c))])
     old = target.select(*keys, body.alias("old"))
     new = source.select(*keys, body.alias("new"))
     change = (

@@ -38,7 +38,7 @@ def formula(expressions: Column, dialect: str | None = None) -> Column:
 
 
 def metric_sources(metrics: DataFrame, datasets: DataFrame) -> DataFrame:
-    """Source table and caveats of every dataset a metric's formula names."""
+    """Source table and caveats of every dataset a metric's formula names; both are null where the model has no such dataset."""
     named = F.array_distinct(
         F.regexp_extract_all(formula(F.col("expressions")), F.lit(r"\b([A-Za-z_]\w*)\.[A-Za-z_]"), 1)
     )
@@ -48,7 +48,7 @@ def metric_sources(metrics: DataFrame, datasets: DataFrame) -> DataFrame:
     found = datasets.select(
         "model_name", F.col("name").alias("dataset"), "source", F.col("ai_context").alias("dataset_context")
     )
-    return wanted.join(found, ["model_name", "dataset"]).select(
+    return wanted.join(found, ["model_name", "dataset"], "left").select(
         "model_name", "metric", "dataset", "source", "dataset_context"
     )
 

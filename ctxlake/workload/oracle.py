@@ -182,11 +182,36 @@ ORACLE: dict[str, str] = {
     """,
     "lookml_formulas": """
       SELECT 'part_' || p_partkey AS view_name, 'total_price' AS name, 'ok' AS status,
-        CASE WHEN p_partkey % 4 = 0 THEN '(p_retailprice * 2)' ELSE 'p_retailprice' END AS resolved,
-        'SUM(' || CASE WHEN p_partkey % 2 = 0 THEN 'CASE WHEN p_brand IN (''' || p_brand || ''') THEN ' ELSE '' END
+        CASE WHEN p_partkey % 2 = 0 THEN 'CASE WHEN p_brand IN (''' || p_brand || ''') THEN ' ELSE '' END
           || CASE WHEN p_partkey % 4 = 0 THEN '(p_retailprice * 2)' ELSE 'p_retailprice' END
-          || CASE WHEN p_partkey % 2 = 0 THEN ' END' ELSE '' END || ')' AS formula
+          || CASE WHEN p_partkey % 2 = 0 THEN ' END' ELSE '' END AS resolved, 'SUM(' || resolved || ')' AS formula
       FROM part
+      UNION ALL SELECT 'part_' || p_partkey, 'n', 'ok', '1', 'COUNT(1)' FROM part
+    """,
+    "catalog_measures": f"""
+      WITH l AS (
+        SELECT CAST(sum({_NET}) FILTER (l_returnflag = 'R') AS DOUBLE) AS returned_net,
+          CAST(count(*) FILTER (l_returnflag <> 'R' AND lower(l_linestatus) IN ('o', 'x')) AS DOUBLE) AS kept_open,
+          CAST(count(*) FILTER (lower(l_linestatus) <> 'o') AS DOUBLE) AS not_open,
+          CAST(count(*) FILTER ((l_quantity >= 1 AND l_quantity < 10 OR l_quantity BETWEEN 20 AND 25 OR l_quantity = 50)
+            AND l_quantity <> 7) AS DOUBLE) AS some_quantities,
+          CAST(count(DISTINCT CASE WHEN l_quantity > 25 AND l_returnflag <> 'R' THEN l_partkey END) AS DOUBLE) AS big_parts,
+          CAST(count(*) FILTER (l_returnflag IN ('A', 'N')) AS DOUBLE) AS by_column FROM lineitem),
+      c AS (
+        SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(20,2))) AS DOUBLE) AS balance,
+          CAST(count(*) FILTER (c_mktsegment LIKE 'BUILD%') AS DOUBLE) AS builders,
+          CAST(count(*) FILTER (c_mktsegment <> 'BUILDING' AND c_mktsegment NOT LIKE '%HOLD') AS DOUBLE) AS others FROM customer),
+      p AS (
+        SELECT CAST(count(*) AS DOUBLE) AS parts, CAST(count(DISTINCT p_brand) AS DOUBLE) AS brands, avg(p_retailprice) AS retail FROM part),
+      v AS (
+        SELECT 'lines' AS view_name, * FROM (UNPIVOT l ON COLUMNS(*) INTO NAME name VALUE value)
+        UNION ALL SELECT 'buyers', * FROM (UNPIVOT c ON COLUMNS(*) INTO NAME name VALUE value)
+        UNION ALL SELECT 'shop__part', * FROM (UNPIVOT p ON COLUMNS(*) INTO NAME name VALUE value))
+      SELECT view_name, name, 'ok' AS status, round(value, 2) AS value, CAST(NULL AS VARCHAR) AS shown FROM v
+      UNION ALL SELECT 'lines', 'last_ship', 'ok', NULL, strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') FROM lineitem
+      UNION ALL SELECT 'lines', name, status, NULL, NULL FROM (VALUES ('recent', 'unsupported'), ('middle', 'unsupported'),
+        ('lost', 'unknown'), ('astray', 'invalid')) AS x(name, status)
+      UNION ALL SELECT 'shop__part', 'spread', 'unsupported', NULL, NULL
     """,
     "measure_kinds": f"""
       SELECT l_linestatus, count(*) AS lines, count(*) FILTER (l_returnflag = 'R') AS returned_lines,

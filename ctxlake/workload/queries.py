@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.text import plain_identifier
 from ..operators import checks, context, contract, graph, lookml, manifest, notes, omni, osi
 from ..operators import registry, search, skills, store
-from ..plans import metrics
+from ..plans import measures, metrics
 from ..runtime import run_folder, staged
 from ..sources.lookml import parse_lookml
 from ..sources.manifest import read_manifests
@@ -142,21 +143,9 @@ def lookml_last_file_wins(spark, sf):
 
 @query
 def lookml_formulas(spark, sf):
-    """Measure SQL with field references, table references and conditionals resolved."""
+    """Every measure as aggregate SQL, with field references, table references, conditionals and filters resolved."""
     blocks = staged(d.lookml_blocks(spark, sf), "lookml")
-    measures = lookml.measures(blocks).filter("sql IS NOT NULL")
-    fields = lookml.dimensions(blocks).select("view_name", F.col("field_name").alias("name"), "sql")
-    expanded = metrics.expand_formulas(
-        measures.select("view_name", F.col("measure_name").alias("name"), "sql"), fields
-    )
-    rules = measures.select("view_name", F.col("measure_name").alias("name"), "type", "filters")
-    return expanded.join(rules, ["view_name", "name"]).select(
-        "view_name",
-        "name",
-        "status",
-        "resolved",
-        metrics.measure_formula(F.col("type"), F.col("resolved"), F.col("filters")).alias("formula"),
-    )
+    return measures.measure_formulas(lookml.measures(blocks), lookml.dimensions(blocks))
 
 
 _ORDER_LINES = """
@@ -212,6 +201,67 @@ def measure_kinds(spark, sf):
     )
 
 
+_SHOP_VIEWS = """
+view: lines {
+  sql_table_name: shop.lineitem ;;
+  dimension: net { type: number sql: CAST(${TABLE}.l_extendedprice * (1 - ${TABLE}.l_discount) AS DECIMAL(24,4)) ;; }
+  dimension: is_returned { type: yesno sql: ${TABLE}.l_returnflag = 'R' ;; }
+  dimension: status { type: string sql: lower(${TABLE}.l_linestatus) ;; }
+  dimension: quantity { type: number sql: ${TABLE}.l_quantity ;; }
+  dimension: big { type: yesno sql: ${quantity} > 25 AND NOT ${is_returned} ;; }
+  dimension_group: shipped { type: time sql: ${TABLE}.l_shipdate ;; }
+  measure: returned_net { type: sum sql: ${net} ;; filters: [is_returned: "yes"] }
+  measure: kept_open { type: count filters: [is_returned: "no", status: "o, x"] }
+  measure: not_open { type: count filters: [lines.status: "-o"] }
+  measure: some_quantities { type: count filters: [quantity: "[1, 10), 20 to 25, 50, NOT 7"] }
+  measure: big_parts { type: count_distinct sql: ${TABLE}.l_partkey ;; filters: [big: "yes"] }
+  measure: last_ship { type: max sql: ${TABLE}.l_shipdate ;; }
+  measure: by_column { type: count filters: [l_returnflag: "A, N"] }
+  measure: recent { type: count filters: [shipped: "last 3 months"] }
+  measure: middle { type: median sql: ${quantity} ;; }
+  measure: lost { type: sum sql: ${nowhere} ;; }
+  measure: astray { type: sum sql: ${TABLE}.no_such_column ;; }
+}
+view: buyers {
+  sql_table_name: shop.customer ;;
+  dimension: segment { type: string sql: ${TABLE}.c_mktsegment ;; }
+  measure: balance { type: sum sql: CAST(${TABLE}.c_acctbal AS DECIMAL(20,2)) ;; }
+  measure: builders { type: count filters: [segment: "BUILD%"] }
+  measure: others { type: count filters: [segment: "-BUILDING, -%HOLD"] }
+}
+"""
+_SHOP_OMNI = """schema: shop
+table_name: part
+dimensions:
+  p_size: {}
+measures:
+  parts: {aggregate_type: count}
+  brands: {aggregate_type: count_distinct, sql: '"p_brand"'}
+  retail: {aggregate_type: average, sql: '"p_retailprice"'}
+  spread: {aggregate_type: stddev, sql: '"p_retailprice"'}
+"""
+
+
+@query
+def catalog_measures(spark, sf):
+    """All measures of LookML and Omni views over the order tables, each with its value or the reason it has none."""
+    docs = spark.createDataFrame([("shop.view.lkml", _SHOP_VIEWS)], "file_path string, content string")
+    blocks = staged(parse_lookml(docs), "shop-views")
+    pages = spark.createDataFrame([("shop/part.view.yaml", _SHOP_OMNI)], "file_path string, content string")
+    pages = staged(omni.view_documents(parse_yaml(pages)), "shop-omni")
+    nothing = F.lit(None).cast("string")
+    plain = omni.measures(pages).select(
+        "view_name", "measure_name", F.col("aggregate_type").alias("type"), plain_identifier(F.col("sql")).alias("sql"), nothing.alias("filters")
+    )
+    rows = lookml.measures(blocks).select(*plain.columns).unionByName(plain)
+    kind = F.when(F.col("field_kind") == "dimension", F.col("type")).otherwise("time")
+    fields = lookml.dimensions(blocks).select("view_name", "field_name", kind.alias("type"), "sql")
+    sources = lookml.views(blocks).select(F.col("name").alias("view_name"), F.col("sql_table_name").alias("source"))
+    sources = sources.unionByName(omni.views(pages).select("view_name", F.concat_ws(".", "schema", "table_name").alias("source")))
+    result = measures.evaluate_catalog(spark, measures.measure_formulas(rows, fields), sources, d.shop_reader(spark, sf))
+    return result.select("view_name", "name", "status", F.round("value", 2).alias("value"), "shown")
+
+
 @query
 def lookml_measure_sources(spark, sf):
     """Measures with the table and caveats of their view."""
