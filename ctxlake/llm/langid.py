@@ -29,11 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import staged
-from .common import CHUNK_BYTES, Powers, chunks, texts
+from .common import Powers, chunks, texts
 
 ROWS, RUNS, RUN_WORDS = 300, 8, 12
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4, 5)
+CHUNK_BYTES = 1 << 21
 CHAIN = 4096
 BLOCK = 64
 ROUNDS, RATE, RIDGE = 60, 0.2, 1e-3
@@ -175,7 +176,7 @@ class Labeller:
     def parts(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Chunks ``(first row, byte of it the chunk starts at, bytes, offsets)``; a long text comes in several."""
         body, bounds = texts(column)
-        for row, _, data, offsets in chunks(body, bounds):
+        for row, _, data, offsets in chunks(body, bounds, CHUNK_BYTES):
             at = 0
             while len(offsets) == 2 and len(data) - at > CHUNK_BYTES:
                 size, cut = CHUNK_BYTES, np.zeros(0, int)

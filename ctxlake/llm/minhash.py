@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import staged
-from .common import Powers, Words, chunks, mix, texts
+from .common import Powers, Words, chunks, freed, mix, texts
 from .components import components
 
 ROUNDS = 1
@@ -108,7 +108,7 @@ def signatures(docs: DataFrame, size: int, side: int, width: int) -> DataFrame:
                 ["doc_id", "n_shingles", "lo", "hi", "a", "b"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SIGNATURES)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(freed(run), SIGNATURES)
 
 
 def _shared(classes: DataFrame, half: str) -> DataFrame:
@@ -152,7 +152,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Da
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
-    return rows.select("a", "part", "doc_id", "text").mapInArrow(run, "a bigint, b bigint")
+    return rows.select("a", "part", "doc_id", "text").mapInArrow(freed(run), "a bigint, b bigint")
 
 
 def _rarest(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -176,7 +176,7 @@ def _rarest(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(3)], pa.array(spots[a : a + 100_000])], ["doc_id", "component", "n_shingles", "spot"])
 
     schema = "doc_id bigint, component bigint, n_shingles bigint, spot bigint"
-    every = docs.select("doc_id", "component", "n_shingles", "text").mapInArrow(run, schema)
+    every = docs.select("doc_id", "component", "n_shingles", "text").mapInArrow(freed(run), schema)
     every = staged(every, "minhash-spots")
     counts = every.groupBy("spot").agg(F.count("*").alias("often"))
     # Shingles of one document alone join nothing, but they fill places among the rarest.

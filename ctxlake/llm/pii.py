@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import freed
+
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -196,7 +198,7 @@ def find(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pack(0), pack(1)], ["doc_id", "base", "spans"])
 
     kind = "array<struct<kind: string, start: bigint, end: bigint>>"
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, f"doc_id bigint, base {kind}, spans {kind}")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(freed(run), f"doc_id bigint, base {kind}, spans {kind}")
 
 
 def redacted(text: str) -> str:
@@ -218,4 +220,4 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
             column = batch.column(place)
             yield batch.set_column(place, text, pa.array([x and redacted(x) for x in column.to_pylist()], column.type))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(freed(run), schema)

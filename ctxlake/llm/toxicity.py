@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import staged
+from .common import freed
 from .pii import FOLD
 
 SAMPLE_ROWS = 24_000
@@ -129,7 +130,7 @@ def _counts(sample: DataFrame, wanted: set[str] | None) -> DataFrame:
         if counts:
             yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
 
-    return sample.select("text").mapInArrow(run, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    return sample.select("text").mapInArrow(freed(run), "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _lexicon(toxic: DataFrame, clean: DataFrame) -> dict[str, float]:
@@ -187,7 +188,7 @@ def _evidence(docs: DataFrame, lexicon: dict, exceptions: tuple) -> DataFrame:
             found = np.array([matcher.evidence(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found.T)], ["doc_id", "most", "total", "dense"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, most double, total double, dense double")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(freed(run), "doc_id bigint, most double, total double, dense double")
 
 
 def fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:

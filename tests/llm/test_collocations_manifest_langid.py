@@ -222,7 +222,6 @@ def test_language(spark, spoken, monkeypatch):
     assert [r.lang for r in spans] == ["en", "fr"] and sum(r.n_words for r in spans) == 18
     assert body[spans[0].start : spans[-1].end] == body[:-1]
     # Long texts in many chunks: the same words, cut at the same places whatever the batch.
-    monkeypatch.setitem(langid.chunks.__globals__, "CHUNK_BYTES", 200)
     monkeypatch.setattr(langid, "CHUNK_BYTES", 200)
     cut = {r.doc_id: r for r in langid.identify(docs, model).collect()}
     assert all(cut[i].lang_pred == r.lang_pred and cut[i].n_words == r.n_words for i, r in by_id.items())
