@@ -285,9 +285,17 @@ def osi_violations(parsed: DataFrame) -> DataFrame:
     return broken.unionByName(unreadable(parsed))
 
 
+class ContractError(ValueError):
+    """Faults that end a run; ``violations`` is the whole table of them."""
+
+    def __init__(self, message: str, violations: DataFrame):
+        super().__init__(message)
+        self.violations = violations
+
+
 def require_none(violations: DataFrame, what: str) -> None:
-    """Fail the run on the first few violations; reads only until some are found."""
+    """Fail the run when there is a violation; the message shows three, the error carries the table of all."""
     first = violations.take(3)
     if first:
         shown = "; ".join(f"{r['file_path']} at {r['path']}: {r['message']}" for r in first)
-        raise ValueError(f"{what} failed validation: {shown}")
+        raise ContractError(f"{what} failed validation: {shown}", violations)

@@ -208,6 +208,14 @@ def _grants(skill_use: DataFrame) -> tuple[DataFrame, DataFrame]:
     return schema.distinct(), extra.distinct()
 
 
+def granted_objects(skill_use: DataFrame) -> DataFrame:
+    """``(schema_name, table_name)`` of every object granted by name, also of those that no longer exist."""
+    return skill_use.filter("use_kind = 'table'").select(
+        F.substring_index("object_ref", ".", 1).alias("schema_name"),
+        F.expr("substring(object_ref, instr(object_ref, '.') + 1)").alias("table_name"),
+    ).distinct()
+
+
 def usable_skills(skill_use: DataFrame, objects: DataFrame) -> DataFrame:
     """Skills each ``(schema_name, table_name)`` may be answered with.
 

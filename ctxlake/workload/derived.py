@@ -153,8 +153,12 @@ def lookml_documents(spark: SparkSession, sf_dir: str, *, broken: bool = False)
     )
 
 
-def lookml_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lookml(lookml_documents(spark, sf_dir))
+def lookml_blocks(spark: SparkSession, sf_dir: str, *, copied: bool = False) -> DataFrame:
+    """``copied`` has every file a second time under another folder, as a project and its fork."""
+    docs = lookml_documents(spark, sf_dir)
+    if copied:
+        docs = docs.unionByName(docs.withColumn("file_path", F.concat(F.lit("fork/"), "file_path")))
+    return parse_lookml(docs)
 
 
 # --- Omni: one view per part, one topic per 20 customers ---
@@ -424,14 +428,14 @@ def skill_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def note_documents(spark: SparkSession, sf_dir: str, *, broken: bool = False) -> DataFrame:
-    """Three notes per labelled document. ``broken`` adds one fault by document id."""
+    """Three notes per document. ``broken`` adds one fault by document id."""
     d = F.col("doc_id")
     n = d.cast("string")
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     importance = F.when(F.lit(broken) & (d % 7 == 0), F.lit(2.0)).otherwise(
         (F.col("n_chars") % 101) / F.lit(100.0)
     )
-    kind = F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("poor"))
+    kind = F.when(F.col("quality").isNull(), F.lit("unrated")).when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("poor"))
     common = [
         F.when(F.lit(broken) & (d % 13 == 0), F.lit("")).otherwise(kind).alias("kind"),
         F.array("source", "lang").alias("tags"),

@@ -47,14 +47,14 @@ _STAR = """
 _NET = "CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(24,4))"
 _BALANCE = "CAST(s_acctbal AS DECIMAL(20,2))"
 _NOTES = """
-  SELECT doc_id AS d, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS kind,
+  SELECT doc_id AS d, CASE WHEN quality IS NULL THEN 'unrated' WHEN quality = 1 THEN 'good' ELSE 'poor' END AS kind,
     array_to_string(list_sort([source, lang]), ',') AS tags, 'Doc ' || doc_id AS title, text,
     'a' || (doc_id % 5) AS author, source, lang,
     CASE WHEN doc_id % 3 <> 0 THEN (doc_id % 10) / 10.0::DOUBLE END AS confidence,
     (n_chars % 101) / 100.0::DOUBLE AS importance,
     '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || ' 00:00:00' AS created_at,
     CASE WHEN doc_id % 2 = 1 THEN 'wh' END AS table_catalog
-  FROM documents JOIN labels USING (doc_id)
+  FROM documents LEFT JOIN labels USING (doc_id)
 """
 _NOTE_TAIL = (
     "kind, tags, title, md5(text) AS content, author, source, confidence, importance, created_at, "
@@ -428,10 +428,13 @@ ORACLE: dict[str, str] = {
       SELECT o.lang AS schema_name, o.source AS table_name, count(g.skill_key) AS skills
       FROM o LEFT JOIN g USING (lang, source) GROUP BY 1, 2
     """,
-    "usable_skills": """
-      SELECT 'shop' AS schema_name, 't' || doc_id AS table_name, 'acme' AS provider,
-        'skill/' || source || '/d' || doc_id AS skill_key
-      FROM documents WHERE doc_id % 4 = 1
+    "usable_skills": f"""
+      WITH u AS ({_USES}),
+      o AS (SELECT DISTINCT split_part(object_ref, '.', 1) AS s, substr(object_ref, instr(object_ref, '.') + 1) AS t
+        FROM u WHERE use_kind = 'table')
+      SELECT DISTINCT o.s AS schema_name, o.t AS table_name, u.provider, u.skill_key
+      FROM o JOIN u ON u.use_kind = 'schema' AND u.object_ref = o.s
+        OR u.use_kind = 'table' AND u.object_ref = o.s || '.' || o.t
     """,
     "skills_for_object": f"""
       SELECT DISTINCT provider, skill_key FROM ({_USES})
@@ -492,9 +495,9 @@ ORACLE: dict[str, str] = {
         "CASE WHEN d % 50 = 0 THEN 's' ELSE 'c' END || d AS note_id",
     ),
     "context_sql": f"""
-      WITH s AS (SELECT lang, count(*) AS c FROM ({_NOTES}) GROUP BY lang),
-      t AS (SELECT lang, max(importance) AS h, count(DISTINCT source) AS n FROM ({_NOTES}) GROUP BY lang)
-      SELECT s.lang AS schema_name, s.c AS schema_notes, t.h AS highest, t.n AS tables FROM s JOIN t USING (lang)
+      SELECT lang AS schema_name, count(*) AS schema_notes, max(importance) AS highest, count(DISTINCT source) AS tables,
+        count(*) AS column_notes, max(importance) AS highest_of_columns
+      FROM ({_NOTES}) GROUP BY lang
     """,
     "top_notes": f"""
       SELECT * FROM (
@@ -602,11 +605,18 @@ ORACLE: dict[str, str] = {
     """,
     "broken_references": f"""
       WITH e AS ({_EDGES}), m AS ({_DBT})
-      SELECT 'dbt_dependency.upstream_id' AS rule, upstream_id AS reference FROM e
-      WHERE upstream_type = 'model' AND upstream_id NOT IN (SELECT unique_id FROM m)
+      SELECT 'dbt_dependency.upstream_id' AS rule, upstream_id AS reference, count(*) AS uses FROM e
+      WHERE upstream_type = 'model' AND upstream_id NOT IN (SELECT unique_id FROM m) GROUP BY ALL
     """,
-    "family_key_violations": f"""
-      SELECT 'notes_on_schemata' AS table_name, 's' || d AS key, 2::BIGINT AS uses FROM ({_NOTES}) WHERE d % 50 = 0
+    "family_key_violations": """
+      SELECT 'lookml_view' AS table_name, 'part_' || p_partkey AS key, 2::BIGINT AS uses FROM part
+      UNION ALL
+      SELECT 'lookml_dimension', 'part_' || p_partkey || '/' || x.f, 2 FROM part,
+        (VALUES ('p_partkey'), ('price'), ('net_price'), ('created')) AS x(f)
+      UNION ALL
+      SELECT 'lookml_measure', 'part_' || p_partkey || '/' || x.f, 2 FROM part, (VALUES ('total_price'), ('n')) AS x(f)
+      UNION ALL
+      SELECT 'lookml_explore', CASE WHEN p_partkey % 3 = 0 THEN 'exp_' ELSE 'part_' END || p_partkey, 2 FROM part
     """,
     "table_counts": f"""
       SELECT 'dbt_model' AS table_name, count(*) AS n FROM ({_DBT})

@@ -555,12 +555,9 @@ def usable_skill_counts(spark, sf):
 
 @query
 def usable_skills(spark, sf):
-    """Skill and object pairs for the objects granted by name."""
+    """Skill and object pairs for all objects granted by name."""
     uses = staged(_uses(spark, sf), "uses")
-    own = uses.filter("use_kind = 'table' AND startswith(object_ref, 'shop.')").select(
-        F.lit("shop").alias("schema_name"), F.substring_index("object_ref", ".", -1).alias("table_name")
-    )
-    return search.usable_skills(uses, own)
+    return search.usable_skills(uses, search.granted_objects(uses))
 
 
 @query
@@ -667,17 +664,17 @@ def context_columns(spark, sf):
 
 @query
 def context_sql(spark, sf):
-    """The context of schemas and tables read as SQL views."""
-    rows = staged(notes.note_rows(d.parsed_notes(spark, sf)), "notes")
-    tables = notes.family(rows)
-    picked = {n: tables[n] for n in ("notes_on_schemata", "notes_on_tables")}
-    context.create_context_views(picked, 3, "demo_")
+    """The context of schemas, tables and columns read as SQL views."""
+    tables = notes.family(staged(notes.note_rows(d.parsed_notes(spark, sf)), "notes"))
+    context.create_context_views(tables, 3, "demo_")
     return spark.sql(
-        """SELECT s.schema_name, s.notes_on_count AS schema_notes, max(t.notes_on_highest_importance) AS highest,
-             count(DISTINCT t.table_name) AS tables
+        """SELECT s.schema_name, s.notes_on_count AS schema_notes, t.highest, t.tables, c.column_notes, c.highest_of_columns
            FROM demo_notes_on_schemata_context s
-           JOIN demo_notes_on_tables_context t ON t.table_schema = s.schema_name
-           GROUP BY s.schema_name, s.notes_on_count"""
+           JOIN (SELECT table_schema, max(notes_on_highest_importance) AS highest, count(DISTINCT table_name) AS tables
+                 FROM demo_notes_on_tables_context GROUP BY table_schema) t ON t.table_schema = s.schema_name
+           JOIN (SELECT table_schema, sum(notes_on_count) AS column_notes,
+                   max(notes_on_highest_importance) AS highest_of_columns
+                 FROM demo_notes_on_columns_context GROUP BY table_schema) c ON c.table_schema = s.schema_name"""
     )
 
 
@@ -967,22 +964,31 @@ def missing_values(spark, sf):
 
 @query
 def broken_references(spark, sf):
-    """Edges to models that are not in the catalog (their nodes are tests)."""
-    nodes = staged(d.manifest_nodes(spark, sf), "nodes")
-    return checks.reference_violations(manifest.family(nodes))
+    """All reference rules over all six families; edges lead to models that are not in the catalog (their nodes are tests)."""
+    return checks.reference_violations(_families(spark, sf))
+
+
+def _families(spark: SparkSession, sf: str, *, copied: bool = False) -> dict[str, DataFrame]:
+    """The tables of all six families; each kind of document is parsed once."""
+    declared = staged(skills.declarations(d.skill_documents(spark, sf)), "declarations")
+    return {
+        **manifest.family(staged(d.manifest_nodes(spark, sf), "nodes")),
+        **lookml.family(staged(d.lookml_blocks(spark, sf, copied=copied), "blocks")),
+        **omni.family(
+            staged(parse_yaml(d.omni_view_documents(spark, sf)), "omni-views"),
+            staged(parse_yaml(d.omni_topic_documents(spark, sf), tree="joins"), "omni-topics"),
+        ),
+        **osi.family(staged(d.osi_models(spark, sf), "models")),
+        "root": skills.root_rows(d.skill_documents(spark, sf), "acme"),
+        "skill_use": skills.use_rows(declared, "acme"),
+        **notes.family(staged(notes.note_rows(d.parsed_notes(spark, sf)), "notes")),
+    }
 
 
 @query
 def family_key_violations(spark, sf):
-    """Repeated keys over the note tables and the models' datasets."""
-    rows = notes.note_rows(staged(d.parsed_notes(spark, sf), "notes"))
-    tables = notes.family(rows)
-    both = tables["notes_on_schemata"].unionByName(
-        tables["notes_on_columns"].select(F.col("table_schema").alias("schema_name"), *[
-            c for c in tables["notes_on_schemata"].columns if c != "schema_name"
-        ])
-    )
-    return checks.key_violations({"notes_on_schemata": both, "notes_on_tables": tables["notes_on_tables"]})
+    """Repeated keys over all six families, where the LookML files of a fork repeat those of the project."""
+    return checks.key_violations(_families(spark, sf, copied=True))
 
 
 @query

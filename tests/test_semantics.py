@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from ctxlake.operators import checks, context, contract, notes, osi, registry, skills
+from ctxlake.operators import checks, context, contract, notes, osi, registry, search, skills
 from ctxlake.sources.yamldoc import parse_yaml
 from ctxlake.specs import ALL_TABLES, OSI_DATASET
 
@@ -224,6 +224,29 @@ def test_table_checks(spark, docs):
     assert dict(rows(checks.row_counts(found), "table_name", "n"))["osi_field"] == 4
 
 
+def test_reference_rules_meet_in_one_shuffle(spark):
+    dimension = spark.createDataFrame([("v",), ("w",), ("w",), (None,)], "view_name string")
+    measure = spark.createDataFrame([("w",), ("v",)], "view_name string")
+    view = spark.createDataFrame([("v",), ("v",), (None,)], "name string")
+    broken = checks.reference_violations({"lookml_dimension": dimension, "lookml_measure": measure, "lookml_view": view})
+    expected = [("lookml_dimension.view_name", "w", 2), ("lookml_measure.view_name", "w", 1)]
+    assert sorted(rows(broken, "rule", "reference", "uses")) == expected
+    plan = broken._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert checks.reference_violations({"lookml_dimension": dimension.limit(0), "lookml_view": view}).isEmpty()
+    with pytest.raises(ValueError):
+        checks.reference_violations({"lookml_dimension": dimension})
+
+
+def test_granted_objects_and_failed_run(spark):
+    uses = spark.createDataFrame([("table", "s.t"), ("table", "s.t"), ("table", "s.a.b"), ("schema", "s")], "use_kind string, object_ref string")
+    assert sorted(rows(search.granted_objects(uses), "schema_name", "table_name")) == [("s", "a.b"), ("s", "t")]
+    faults = spark.createDataFrame([(f"f{i}", "/", "bad") for i in range(5)], "file_path string, path string, message string")
+    with pytest.raises(contract.ContractError, match="notes failed validation") as caught:
+        contract.require_none(faults, "notes")
+    assert caught.value.violations.count() == 5
+
+
 def test_moved_value_is_an_update(spark):
     """A text that moves to a neighbouring null column changes the row."""
     from ctxlake.operators.store import change_counts
