@@ -13,7 +13,8 @@ rarest shingles, as many as may be missing, so these are joined, and pairs from
 A bucket of many copies costs its size, and no candidate is capped.
 
 Documents without words, null or empty, link with nothing. A null doc_id takes part with nothing. Rows that share a doc_id
-share its component.
+are one document with several texts: it is linked where one of them is, and all its rows have its component, those without
+words as well. Very long texts are read whole, a task holds one at a time. Repeated rows change nothing.
 """
 
 from __future__ import annotations
@@ -112,47 +113,62 @@ def signatures(docs: DataFrame, size: int, side: int, width: int) -> DataFrame:
 
 
 def _shared(classes: DataFrame, half: str) -> DataFrame:
-    """Half keys that two classes or more have, by class."""
-    rows = classes.select("doc_id", F.posexplode(half).alias(f"i_{half}", f"k_{half}"))
+    """Half keys that two classes or more have, by class: leader and one half of the digest tell classes apart."""
+    rows = classes.select("doc_id", "lo", F.posexplode(half).alias(f"i_{half}", f"k_{half}"))
     keys = [f"i_{half}", f"k_{half}"]
     often = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return rows.join(often, keys).select("doc_id", F.xxhash64(*keys).alias(f"h_{half}"))
+    return rows.join(often, keys).select("doc_id", "lo", F.xxhash64(*keys).alias(f"h_{half}"))
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose whole shingle sets have the wanted similarity.
+def _confirmed(docs: DataFrame, pairs: DataFrame, several: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of documents with a text each whose whole shingle sets have the wanted similarity.
 
-    The text of ``a`` meets those of its partners in one sorted run; an ``a`` with many partners is
-    repeated for every ``SALT_ROWS`` of them.
+    The texts of ``a`` meet those of its partners in one sorted run; an ``a`` with many partners is repeated for every
+    ``SALT_ROWS`` of them. The texts of an id with very many different ones (``several(doc_id, texts)``) are dealt to
+    blocks of about as many, and each block meets all partners.
     """
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    dealt = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("doc_id"))
-    heads = dealt.select("a", "salt").distinct().select("a", "salt", F.col("a").alias("doc_id"))
+    blocks = several.select(F.col("doc_id").alias("a"), F.ceil(F.col("texts") / SALT_ROWS).cast("int").alias("blocks"))
+    many = many.join(blocks, "a", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = pairs.join(many, "a").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "blocks",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("b").alias("doc_id"),
+    )
+    groups = ["a", "salt", "blocks", "block"]
+    heads = dealt.select(*groups).distinct().select(*groups, F.col("a").alias("doc_id"))
     wanted = dealt.select("*", F.lit(1).alias("part")).unionByName(heads.select("*", F.lit(0).alias("part")))
-    rows = docs.join(wanted, "doc_id").repartition("a", "salt").sortWithinPartitions("a", "salt", "part", "doc_id")
+    rows = docs.join(wanted, "doc_id").where("part = 1 OR pmod(xxhash64(text), blocks) = block")
+    rows = rows.repartition("a", "salt", "block").sortWithinPartitions("a", "salt", "block", "part", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, head = Shingles(size), None
+        shingles, heads, group = Shingles(size), [], None
         for batch in batches:
-            a, part, doc = (batch.column(i).to_pylist() for i in range(3))
+            a, salt, block, part, doc = (batch.column(i).to_pylist() for i in range(5))
             out, i = [], 0
-            for _, _, data, offsets in chunks(*texts(batch.column(3))):
+            for _, _, data, offsets in chunks(*texts(batch.column(5))):
                 for own in shingles.sets(data, offsets):
+                    if group != (a[i], salt[i], block[i]):
+                        heads, group = [], (a[i], salt[i], block[i])
                     if part[i] == 0:
-                        head = own
-                    else:
-                        short, long = (own, head) if len(own) < len(head) else (head, own)
-                        both = 0
-                        if len(short) and 100 * len(short) >= percent * len(long):
-                            at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                            both = int((long[at] == short).sum())
-                        if both and 100 * both >= percent * (len(own) + len(head) - both):
-                            out.append((a[i], doc[i]))
+                        if not any(np.array_equal(own, head) for head in heads):
+                            heads.append(own)
+                    elif any(_alike(own, head, percent) for head in heads):
+                        out.append((a[i], doc[i]))
                     i += 1
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
-    return rows.select("a", "part", "doc_id", "text").mapInArrow(freed(run), "a bigint, b bigint")
+    return rows.select("a", "salt", "block", "part", "doc_id", "text").mapInArrow(freed(run), "a bigint, b bigint")
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have the wanted similarity."""
+    short, long = (x, y) if len(x) < len(y) else (y, x)
+    if not len(short) or 100 * len(short) < percent * len(long):
+        return False
+    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+    both = int((long[at] == short).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def _rarest(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -166,24 +182,29 @@ def _rarest(docs: DataFrame, size: int, percent: int) -> DataFrame:
         shingles = Shingles(size)
         for batch in batches:
             row = 0
-            for _, _, data, offsets in chunks(*texts(batch.column(3))):
+            for _, _, data, offsets in chunks(*texts(batch.column(2))):
                 sets = shingles.sets(data, offsets)
-                own = pa.array(np.repeat(np.arange(row, row + len(sets)), [len(x) for x in sets]))
+                sizes = np.array([len(x) for x in sets], np.int64)
+                of = np.repeat(np.arange(len(sets)), sizes)
+                digests = np.array([mix(x).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
                 spots = np.concatenate(sets).view(np.int64)
-                row += len(sets)
                 for a in range(0, len(spots), 100_000):
-                    at = own[a : a + 100_000]
-                    yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(3)], pa.array(spots[a : a + 100_000])], ["doc_id", "component", "n_shingles", "spot"])
+                    at = of[a : a + 100_000]
+                    ids = [batch.column(i).take(pa.array(at + row)) for i in range(2)]
+                    own = [pa.array(x) for x in (sizes[at], digests[at], spots[a : a + 100_000])]
+                    yield pa.RecordBatch.from_arrays([*ids, *own], ["doc_id", "component", "n_shingles", "digest", "spot"])
+                row += len(sets)
 
-    schema = "doc_id bigint, component bigint, n_shingles bigint, spot bigint"
-    every = docs.select("doc_id", "component", "n_shingles", "text").mapInArrow(freed(run), schema)
+    schema = "doc_id bigint, component bigint, n_shingles bigint, digest bigint, spot bigint"
+    every = docs.select("doc_id", "component", "text").mapInArrow(freed(run), schema)
     every = staged(every, "minhash-spots")
     counts = every.groupBy("spot").agg(F.count("*").alias("often"))
     # Shingles of one document alone join nothing, but they fill places among the rarest.
     shared = every.join(counts.where("often > 1"), "spot")
     alone = F.col("n_shingles") - F.size("spots")
     room = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1 - alone
-    rows = shared.groupBy("doc_id", "component", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("often", "spot"))).alias("spots"))
+    # Texts of one id are told apart by their digests; a row that is there twice gives its shingles once.
+    rows = shared.groupBy("doc_id", "component", "n_shingles", "digest").agg(F.array_sort(F.collect_set(F.struct("often", "spot"))).alias("spots"))
     rows = rows.withColumn("room", room.cast("int")).where("room > 0")
     placed = rows.select("doc_id", "component", "n_shingles", alone.alias("alone"), F.posexplode(F.expr("slice(spots, 1, room)")))
     return placed.select("doc_id", "component", "n_shingles", F.col("col.spot").alias("spot"), F.expr("alone + pos + 1").alias("place"))
@@ -209,21 +230,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, side:
     whole = ["lo", "hi", "n_shingles"]
     classes = full.groupBy(*whole).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("members"))
     leaders = staged(
-        full.join(classes.select(*whole, "doc_id"), [*whole, "doc_id"]).dropDuplicates([*whole, "doc_id"]).select("doc_id", "n_shingles", "a", "b"),
+        full.join(classes.select(*whole, "doc_id"), [*whole, "doc_id"]).dropDuplicates([*whole, "doc_id"]).select("doc_id", "n_shingles", "lo", "a", "b"),
         "minhash-classes",
     )
-    shared = staged(_shared(leaders, "a"), "minhash-half").join(staged(_shared(leaders, "b"), "minhash-half"), "doc_id")
-    entries = shared.select("doc_id", F.xxhash64("h_a", "h_b").alias("key"))
+    shared = staged(_shared(leaders, "a"), "minhash-half").join(staged(_shared(leaders, "b"), "minhash-half"), ["doc_id", "lo"])
+    entries = shared.select("doc_id", "lo", F.xxhash64("h_a", "h_b").alias("key"))
     often = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     entries = staged(entries.join(often, "key"), "minhash-shared")
-    met = entries.groupBy("doc_id").agg(F.sum("n").alias("met")).join(leaders.select("doc_id", "n_shingles"), "doc_id")
-    entries = staged(entries.drop("n").join(met, "doc_id"), "minhash-entries")
+    met = entries.groupBy("doc_id", "lo").agg(F.sum("n").alias("met")).join(leaders.select("doc_id", "lo", "n_shingles"), ["doc_id", "lo"])
+    entries = staged(entries.drop("n").join(met, ["doc_id", "lo"]).drop("lo"), "minhash-entries")
     first_in = [F.struct(-F.col("met"), F.col("doc_id")), F.col("doc_id"), F.xxhash64("doc_id")]
-    unique = docs.where("doc_id IS NOT NULL").join(leaders.select("doc_id"), "doc_id", "left_semi")
+    unique = docs.where("doc_id IS NOT NULL").join(leaders.select("doc_id"), "doc_id", "left_semi")  # whole ids, with all their texts
+
+    # Ids with several sets: a document of several texts, so its classes belong together.
+    sets = F.struct(*whole)
+    several = known.groupBy("doc_id").agg(F.min(sets).alias("low"), F.max(sets).alias("high")).where("low <> high").select("doc_id")
+    several = staged(known.join(several, "doc_id", "left_semi").select("doc_id", *whole).distinct(), "minhash-several")
+    belongs = several.join(classes.select(*whole, F.col("doc_id").alias("leader")), whole).select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
+    several = several.groupBy("doc_id").agg(F.count("*").alias("texts"))
 
-    # Texts of several rows with one id: their classes are one document each, told apart by the class leader only.
     tested = edges = None
-    labels = leaders.select("doc_id", F.col("doc_id").alias("component"))
+    nodes = leaders.select("doc_id").distinct()
+    labels = nodes.withColumn("component", F.col("doc_id"))
     for turn in range(ROUNDS + 1):
         marked = entries.join(labels, "doc_id")
         mixed = marked.groupBy("key").agg(
@@ -235,7 +263,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, side:
                 F.col("pivot.doc_id").alias("x"), F.col("pivot.n_shingles").alias("n_x"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("n_y")
             )
         else:
-            open_ = staged(marked.join(mixed.select("key"), "key").select("doc_id", "component", "n_shingles").distinct(), "minhash-open")
+            open_ = staged(marked.join(mixed.select("key"), "key").select("doc_id", "component").distinct(), "minhash-open")
             rare = staged(_rarest(unique.join(open_, "doc_id"), shingle, percent), "minhash-rarest")
             # The longer set of a pair probes; of the shorter one fewer shingles are needed. If this is the first shingle
             # in common, no more than those behind it in both sets can follow.
@@ -255,13 +283,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, side:
                 break
             continue
         tested = found if tested is None else tested.unionByName(found)
-        confirmed = staged(_confirmed(unique, found.select(F.col("p").alias("a"), F.col("q").alias("b")), shingle, percent), "minhash-links")
+        confirmed = staged(_confirmed(unique, found.select(F.col("p").alias("a"), F.col("q").alias("b")), several, shingle, percent), "minhash-links")
         edges = confirmed if edges is None else edges.unionByName(confirmed)
-        labels = staged(_labelled(leaders.select("doc_id"), edges), "minhash-labels")
+        labels = staged(_labelled(nodes, edges), "minhash-labels")
     # Rows of one id, and rows of one set, are one document.
+    if not belongs.isEmpty():
+        labels = staged(components(belongs if edges is None else edges.unionByName(belongs)), "minhash-belongs").withColumnRenamed("node", "doc_id")
     found = known.join(classes.select(*whole, F.col("doc_id").alias("leader")), whole, "left")
-    found = found.join(labels.select(F.col("doc_id").alias("leader"), "component"), "leader", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    found = found.withColumn("node", F.coalesce("leader", "doc_id")).drop("leader")
+    found = found.join(labels.select(F.col("doc_id").alias("node"), "component"), "node", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )
     lost = signed.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component_id"))
     found = found.unionByName(lost)

@@ -187,6 +187,38 @@ def test_near_duplicates(spark, corpus):
     assert any(not k[3] for k in want)
 
 
+@pytest.mark.parametrize("rounds,salt", [(1, 500), (0, 500), (1, 2)])
+def test_near_duplicates_of_shared_ids(spark, monkeypatch, rounds, salt):
+    """An id with several texts is one document: linked where one of its texts is, one component for all its rows."""
+    rng = random.Random(11)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    near = lambda t: f"{t} {text(2)}"
+    a, b, c, d, e, f = (text(60) for _ in range(6))
+    rows = [(1, a), (5, a), (5, b), (9, b), (12, near(b)), (13, near(near(b))), (20, c), (20, d), (20, c), (21, near(d)), (22, near(c))]
+    rows += [(30, e), (30, ""), (30, None), (29, near(e)), (40, ""), (41, None), (50, f), (51, f"{f} y"), (51, "")]
+    rows += [(60, text(30)) for _ in range(9)]
+    rows += [(61, near(rows[-1][1])), (62, near(rows[-4][1])), (63, text(30)), (62, text(30)), (64, near(rows[-1][1]))]
+    rows = [(*r, "s") for r in rows]
+    monkeypatch.setattr(minhash, "ROUNDS", rounds)
+    monkeypatch.setattr(minhash, "SALT_ROWS", salt)
+    got = Counter(map(tuple, minhash.near_duplicates(frame(spark, rows), 4, 80).select("doc_id", "n_shingles", "component_id").collect()))
+    sets = [next(iter(_sets([r], 4).values())) for r in rows]
+    parent = {r[0]: r[0] for r in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+            x, y = sorted((root(rows[i][0]), root(rows[j][0])))
+            parent[y] = x
+    assert got == Counter((r[0], len(s), root(r[0])) for r, s in zip(rows, sets))
+    assert root(13) == 1 and root(22) == root(21) == 20 and root(30) == 29 and root(64) == 60
+
+
 def test_links_past_the_compared_members(spark, monkeypatch):
     """Copies of a base that is not there: none is like the first, many are like each other."""
     rng = random.Random(3)
