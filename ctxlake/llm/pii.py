@@ -5,11 +5,13 @@ forms become ASCII, zero-width characters go, runs of spelled digits become digi
 ``@`` and ``.``. Each keeps, for every character it writes, the range of the source it stands for. The same
 detectors run on the rewritten text, and what they find is mapped back and added unless a plain span of its kind covers it.
 
-Offsets count code points, ends are exclusive. Null counts as the empty text.
+Offsets count code points, ends are exclusive. Null counts as the empty text, a null doc_id is a row like others. The time for a
+very long text grows with its length, also where it holds very many identifiers.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -43,20 +45,21 @@ DIGITS = {word: str(k) for words in SPELLED for k, word in enumerate(words.split
 FOLD_HINT = re.compile("[" + "".join(re.escape(chr(c)) for c in FOLD) + "]")
 UNSEEN = re.compile("[­​‌‍⁠﻿]+")
 WORD = "|".join(sorted(DIGITS, key=len, reverse=True))
-RUN = re.compile(rf"(?<!\w)(?:{WORD}|\+?[0-9]+|\+)(?:[\x20\-,.()]{{1,3}}(?:{WORD}|[0-9]+))+(?!\w)", re.I)
+RUN = re.compile(rf"(?<!\w)(?:{WORD}|\+?[0-9]+|\+)(?:[\x20\-,.()]++(?:{WORD}|[0-9]+))+(?!\w)", re.I)
 PIECE = re.compile(rf"({WORD})|[\x20\-,.()]+|[0-9+]+", re.I)
-OPEN, CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
-AT = rf"(?:{OPEN}(?:at|@){CLOSE}|\x20{{1,3}}at\x20{{1,3}}|\x20{{0,3}}@\x20{{0,3}})"
-DOT = rf"(?:{OPEN}(?:dot|\.){CLOSE}|\x20{{1,3}}dot\x20{{1,3}}|\.)"
+# Blanks between the pieces of a disguise may be any number; possessive runs keep the search linear.
+OPEN, CLOSE = r"\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
+AT = rf"(?:{OPEN}(?:at|@){CLOSE}|\x20++at\x20++|\x20*+@\x20*+)"
+DOT = rf"(?:{OPEN}(?:dot|\.){CLOSE}|\x20++dot\x20++|\.)"
 ADDRESS = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z0-9_%+-]{{1,64}}(?:{DOT}[A-Za-z0-9_%+-]{{1,64}}){{0,4}}({AT})[A-Za-z0-9-]{{1,63}}((?:{DOT}[A-Za-z0-9-]{{1,63}}){{1,5}})(?![A-Za-z0-9])", re.I)
-RUN_HINT = re.compile(rf"(?<!\w)(?:{WORD})(?:[\x20\-,.()]{{1,3}}|{DOT})(?:{WORD}|[0-9])|[0-9](?:[\x20\-,.()]{{1,3}}|{DOT})(?:{WORD})(?!\w)", re.I)
+RUN_HINT = re.compile(rf"(?<!\w)(?:{WORD})(?:[\x20\-,.()]++|{DOT})(?:{WORD}|[0-9])|[0-9](?:[\x20\-,.()]++|{DOT})(?:{WORD})(?!\w)", re.I)
 DIGIT = "|".join(w for w in sorted(DIGITS, key=len, reverse=True) if w != "plus")
-PART = rf"(?:{DIGIT}|[0-9]{{1,3}})(?:[\x20\-]{{1,2}}(?:{DIGIT}|[0-9]{{1,2}})){{0,2}}"
+PART = rf"(?:{DIGIT}|[0-9]{{1,3}})(?:[\x20\-]++(?:{DIGIT}|[0-9]{{1,2}})){{0,2}}"
 QUAD = re.compile(rf"(?<!\w){PART}(?:{DOT}{PART}){{3}}(?!\w)", re.I)
 QUAD_PIECE = re.compile(rf"({DIGIT})|({DOT})|[\x20\-]+", re.I)
 NUMBERS = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 SIGN = re.compile(rf"({OPEN}(?:at|@){CLOSE}|\x20+at\x20+|\x20+@\x20*|@\x20+)|({OPEN}(?:dot|\.){CLOSE}|\x20+dot\x20+)", re.I)
-SIGN_HINT = re.compile(rf"[(\[{{<]\s{{0,3}}(?:at|dot|@|\.)\s{{0,3}}[)\]}}>]|\x20dot\x20|\x20@|@\x20", re.I)
+SIGN_HINT = re.compile(rf"[(\[{{<]\s*+(?:at|dot|@|\.)\s*+[)\]}}>]|\x20dot\x20|\x20@|@\x20", re.I)
 
 
 def _luhn(digits: str) -> bool:
@@ -173,14 +176,25 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
         read.rewrite(_signs(read.text))
         if read.text != text:
             out += [(kind, read.starts[a], read.ends[b - 1]) for kind, a, b in plain(read.text)]
-    return [x for x in out if not any(x[0] == y[0] and y[1] <= x[1] and x[2] <= y[2] and x[1:] != y[1:] for y in out)]
+    # Ranges inside another one of their kind go: sorted by start, longest first, one is inside if an earlier one reaches as far.
+    kept, kind, reach = [], None, -1
+    for x in sorted(set(out), key=lambda x: (x[0], x[1], -x[2])):
+        if x[0] != kind or x[2] > reach:
+            kept.append(x)
+            kind, reach = x[0], x[2]
+    return kept
 
 
 def spans(text: str) -> tuple[list[tuple], list[tuple]]:
     """Plain spans, and all spans: added ones are those that no plain span of the kind covers."""
     base = plain(text)
-    held = {k: [(a, b) for kind, a, b in base if kind == k] for k in KINDS}
-    extra = {x for x in disguised(text) if not any(a <= x[1] and x[2] <= b for a, b in held[x[0]])}
+    held = {k: [(a, b) for kind, a, b in base if kind == k] for k in KINDS}  # ascending and apart
+
+    def covered(kind: str, start: int, end: int) -> bool:
+        at = bisect.bisect_right(held[kind], start, key=lambda x: x[0])
+        return at > 0 and end <= held[kind][at - 1][1]
+
+    extra = [x for x in disguised(text) if not covered(*x)]
     every = sorted([*base, *extra], key=lambda x: (KINDS.index(x[0]), x[1], x[2])) if extra else base
     return base, every
 

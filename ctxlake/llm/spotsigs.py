@@ -2,11 +2,13 @@
 
 A signature is an anchor (a common word) with the ``chain`` content words found at every ``distance``-th
 content word after it. A content word more than ``GAP`` words behind the last common word is an anchor too, so
-stretches without common words count as well; texts with fewer than ``FEW`` words also take their character trigrams. A signature found again counts as another one, so a passage that is said many times
-weighs as much as it takes up. A fingerprint is the sorted set of 32-bit signature hashes in hexadecimal; equal texts
+stretches without common words count as well. A signature found again counts as another one, so a passage that is said many times
+weighs as much as it takes up. Beside the chains, whose number grows with the text, every text has the ``LEAST`` least hashes of its
+distinct byte trigrams: they tell texts of a few words, which hold no chain, apart, and weigh little in long ones. A fingerprint is the sorted set of 32-bit signature hashes in hexadecimal; equal texts
 have equal fingerprints. Two empty sets have likeness 1, an empty and a full one 0.
 
-Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased in A-Z. Null counts as the empty text.
+Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased in A-Z. Null counts as the empty text. A very long
+text is read whole, in one task.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import staged
 from .common import Words, mix, texts
@@ -28,7 +30,7 @@ ANCHORS = (
     "con de del el en es la las lo los no para por que se su un una y "
     "au aux dans des du est et il le les pas pour que qui sur une"
 ).split()
-CHAIN, DISTANCE, GAP, FEW = 3, 1, 8, 12
+CHAIN, DISTANCE, GAP, LEAST = 3, 1, 8, 24
 ROWS_A_BUCKET = 2000
 
 
@@ -62,9 +64,9 @@ class Spots:
         place = np.arange(len(hashes))
         before = np.maximum.accumulate(np.where(common, place, -GAP - 1)) if len(hashes) else place
         found = [self._chains(hashes, np.flatnonzero(common | (place - before > GAP)), content)]
-        if len(hashes) < FEW:
-            padded = np.concatenate((data, np.zeros(2, np.uint8))).astype(np.uint64)
-            found.append(mix(padded[:-2] | padded[1:-1] << np.uint64(8) | padded[2:] << np.uint64(16) | np.uint64(1 << 24)))
+        padded = np.concatenate((data, np.zeros(2, np.uint8))).astype(np.uint32)
+        grams = np.unique(padded[:-2] | padded[1:-1] << np.uint32(8) | padded[2:] << np.uint32(16))
+        found.append(np.sort(mix(grams.astype(np.uint64) | np.uint64(1 << 24)))[:LEAST])
         every = np.sort(np.concatenate(found))
         if len(every):
             at = np.arange(len(every), dtype=np.uint64)
@@ -123,40 +125,51 @@ def similar(docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN, distanc
     return classes, both.where(f"likeness >= {threshold} - 1e-12")
 
 
-def _buckets(ids: DataFrame) -> list[int]:
-    """Lower bounds of ranges of ids with about ``ROWS_A_BUCKET`` rows each."""
-    count = ids.count()
-    parts = max(1, count // ROWS_A_BUCKET)
+def _bounds(docs: DataFrame) -> list[int]:
+    """Bounds of ranges of ``place`` with about equally many rows, at most as many as there are shuffle partitions."""
+    count = docs.count()
+    parts = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // ROWS_A_BUCKET))
     steps = [k / parts for k in range(1, parts)]
-    found = ids.agg(F.percentile_approx("doc_id", steps, 20 * parts)).first()[0] if steps and count else []
+    found = docs.agg(F.percentile_approx("place", steps, 20 * parts)).first()[0] if steps else []
     return sorted(set(found or []))
 
 
+def _literals(values: list) -> Column:
+    """A constant array, one literal in the plan however long it is."""
+    return F.expr(f"CAST(split('{','.join('' if v is None else str(v) for v in values)}', ',') AS ARRAY<BIGINT>)")
+
+
+def _at_most(bounds: list[int], value: str) -> Column:
+    """How many of the ascending bounds are at most the value, by halving."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(
+        F.array(*map(F.lit, steps)), F.lit(0),
+        lambda pos, step: F.when(F.coalesce(F.get(_literals(bounds), pos + step - 1) <= F.col(value), F.lit(False)), pos + step).otherwise(pos),
+    )
+
+
 def edited_likeness(docs: DataFrame, share: int = 3) -> DataFrame:
     """Fingerprints beside those of an edited text and of the next document, in descending order of doc_id.
 
     The edited text has its last ``1/share`` of code points replaced by as many from the start of the next document; after
-    the last document comes the first. Rows are dealt by ranges of ids, and each range also gets the first row of the
-    next one, so no task holds more than some thousand rows. Rows with one doc_id follow each other by text; a null doc_id
+    the last document comes the first. Rows are dealt by ranges of ids, as many as there are shuffle partitions, and each range also
+    gets the first row of the next one. A task reads its rows in order and holds one of them, so long texts, long ranges and
+    ids with very many rows need no more memory. Rows with one doc_id follow each other by text; a null doc_id
     counts as the smallest. A single row is its own next.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    low = -(1 << 63)
-    docs = docs.withColumn("place", F.coalesce("doc_id", F.lit(low)))
-    bounds = _buckets(docs.select("doc_id").where("doc_id IS NOT NULL"))
-    bucket = lambda place: F.lit(len(bounds)) - F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda x: x <= place)) if bounds else F.lit(0)
-    docs = docs.withColumn("bucket", bucket(F.col("place")).cast("int"))
-    tops = dict(docs.groupBy("bucket").agg(F.max("place")).collect())  # one row for each bucket
+    docs = docs.withColumn("place", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    bounds = _bounds(docs.select("place"))
+    docs = docs.withColumn("bucket", (F.lit(len(bounds)) - _at_most(bounds, "place")).cast("int"))
+    tops = dict(docs.groupBy("bucket").agg(F.max("place")).collect())  # one row for each range
     order = sorted(tops)
-    # The first rows of a bucket close the one before it; those of the first bucket close the last.
-    closes = {tops[b]: order[i - 1] for i, b in enumerate(order)}
-    if closes:
-        keys = sorted(closes)
-        at = F.array_position(F.array(*map(F.lit, keys)).cast("array<bigint>"), F.col("place"))
-        before = F.when(at > 0, F.get(F.array(*[F.lit(closes[k]) for k in keys]), (at - 1).cast("int")))
-        docs = docs.withColumn("before", before)
-    else:
-        docs = docs.withColumn("before", F.lit(None).cast("int"))
+    # The first rows of a range close the one before it; those of the first range close the last.
+    ahead = {b: order[i - 1] for i, b in enumerate(order)}
+    spots = range(len(bounds) + 1)
+    first = F.get(_literals([tops.get(b) for b in spots]), F.col("bucket")) == F.col("place")
+    docs = docs.withColumn("before", F.when(first, F.get(_literals([ahead.get(b) for b in spots]), F.col("bucket")).cast("int")))
     dealt = docs.select("doc_id", "text", "place", F.explode(F.array(F.struct("bucket", F.lit(0).alias("closing")), F.struct(F.col("before").alias("bucket"), F.lit(1).alias("closing")))).alias("to"))
     dealt = dealt.select("doc_id", "text", "place", "to.*").where("bucket IS NOT NULL")
     dealt = dealt.repartition(max(1, len(order)), "bucket").sortWithinPartitions("bucket", "closing", F.desc("place"), "text")

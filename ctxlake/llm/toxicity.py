@@ -6,9 +6,10 @@ word scores its heaviest pattern unless an exception phrase covers it. A documen
 logarithm of the sum, and the sum over the root of its length in words; a logistic curve turns it into a score.
 
 The lexicon is learned from labels: the patterns that toxic documents hold much more often than clean ones. It and the curve are fitted
-on at most about ``SAMPLE_ROWS`` labelled documents, the one bounded sample here (drawn by a hash of the id, the same for any
+on at most about ``sample_rows`` labelled documents, the one bounded sample here and a parameter of ``fit`` (drawn by a hash of the id, the same for any
 partitioning): one half gives the lexicon, the other the curve. Without labels a small fixed lexicon and curve apply. Scoring covers whole texts of all
 documents; a null or empty text has no evidence and gets the curve's lowest score.
+A null doc_id is scored like others. The time for a very long text grows with its length.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from .common import freed
 from .pii import FOLD
 
 SAMPLE_ROWS = 24_000
-LEXICON_ROWS = 5_000
 PREFIXES = range(4, 11)
 MIN_DOCS, MIN_WEIGHT = 4, 2.0
 
@@ -96,7 +96,16 @@ class Matcher:
                 spared.append((start, end))
             elif weight > best.get(start, -math.inf):
                 best[start] = weight
-        return [w for at, w in best.items() if not any(a <= at < b for a, b in spared)], words
+        # Words and phrases by start: a word is spared where a phrase before it reaches past it.
+        spared.sort()
+        found, k, reach = [], 0, -1
+        for at in sorted(best):
+            while k < len(spared) and spared[k][0] <= at:
+                reach = max(reach, spared[k][1])
+                k += 1
+            if at >= reach:
+                found.append(best[at])
+        return found, words
 
     def evidence(self, text: str) -> tuple[float, float, float]:
         found, words = self.hits(text)
@@ -111,7 +120,7 @@ def held_out(doc_id: Column) -> Column:
 def _features(text: str, table: dict) -> set[str]:
     out = set()
     for word in set(folded(text, table).split()):
-        out.add(f" {word[:40]} ")
+        out.add(f" {word} ")
         out.update(f" {word[:n]}" for n in PREFIXES if n < len(word))
     return out
 
@@ -152,7 +161,7 @@ def _lexicon(toxic: DataFrame, clean: DataFrame) -> dict[str, float]:
         shorter = [feature[:n] for n in range(2, len(feature)) if feature[:n] in kept]
         if not any(kept[s] >= weight[feature] - 0.2 for s in shorter):
             kept[feature] = weight[feature]
-    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_ROWS])
+    return kept
 
 
 def _curve(evidence: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -191,12 +200,12 @@ def _evidence(docs: DataFrame, lexicon: dict, exceptions: tuple) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(freed(run), "doc_id bigint, most double, total double, dense double")
 
 
-def fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn lexicon and curve from labelled documents that are not held out. Labels are 0 and 1; others, nulls and ids with
-    both labels are left out."""
-    rows = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id")))
+    both labels are left out. Of more than ``sample_rows`` labelled documents about as many are drawn; what they hold is not capped."""
+    rows = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id")))
     rows = rows.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").select("doc_id", "toxic")
-    share = min(1.0, SAMPLE_ROWS / max(1, rows.count()))
+    share = min(1.0, sample_rows / max(1, rows.count()))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20))
     rows = staged(rows.where(draw < int(share * (1 << 20))), "toxicity-labels")
     sample = staged(docs.select("doc_id", "text").join(rows, "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))), "toxicity-sample")

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -354,6 +355,66 @@ def test_spotsigs(spark, corpus):
     assert spotsigs.edited_likeness(frame(spark, corpus)).count() == len(corpus)
 
 
+def _spots(text):
+    """Chains and trigrams of a text as plain tuples, by the rule of the module."""
+    words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text))
+    content = [k for k, w in enumerate(words) if w not in spotsigs.ANCHORS]
+    out, last = Counter(), -spotsigs.GAP - 1
+    for k, w in enumerate(words):
+        if w in spotsigs.ANCHORS:
+            last = k
+        if k == last or k - last > spotsigs.GAP:
+            chain = [words[c] for c in content if c > k][: spotsigs.CHAIN]
+            if len(chain) == spotsigs.CHAIN:
+                out[(w, *chain)] += 1
+    return {(c, n) for c, many in out.items() for n in range(many)}
+
+
+def test_spotsigs_chains(spark):
+    """Fingerprints differ as sets of chains do; trigrams are the least hashes of all of them, so their share is told apart."""
+    rng = random.Random(8)
+    pool = [*spotsigs.ANCHORS[:12], *(f"c{i}" for i in range(60)), "é1", "Ω"]
+    texts = [" ".join(rng.choices(pool, k=rng.randint(1, 200))) + rng.choice(["", ". ", " -- x"]) for _ in range(60)]
+    spots = spotsigs.Spots()
+    for text in texts:
+        chains = _spots(text)
+        grams = {text.encode()[i : i + 3].ljust(3, b"\0") for i in range(len(text.encode()))}
+        assert len(spots.of(text.encode())) == len(chains) + min(len(grams), spotsigs.LEAST)
+    for x, y in itertools.combinations(texts[:25], 2):
+        a, b, p, q = spots.of(x.encode()), spots.of(y.encode()), _spots(x), _spots(y)
+        shared = len(p & q)
+        assert shared <= len(np.intersect1d(a, b)) <= shared + spotsigs.LEAST
+        both = len(np.intersect1d(a, b))
+        assert spotsigs.likeness(a, b) == both / (len(a) + len(b) - both)
+
+
+def test_spotsigs_short_texts(spark):
+    """No length at which one more word makes another text."""
+    words, spots = [f"word{i}" for i in range(30)], spotsigs.Spots()
+    near = [spotsigs.likeness(spots.of(" ".join(words[:n]).encode()), spots.of(" ".join(words[: n + 1]).encode())) for n in range(4, 29)]
+    assert min(near) > 0.4
+
+
+def test_spotsigs_likeness_of_rows(spark, corpus):
+    rows = list(dict((r[0], r) for r in corpus if r[0] is not None).values())
+    got = {r.doc_id: r for r in spotsigs.edited_likeness(frame(spark, rows)).collect()}
+    spots, order = spotsigs.Spots(), sorted(rows, key=lambda r: -r[0])
+    for k, (doc, text, _) in enumerate(order):
+        text, after = text or "", order[(k + 1) % len(order)][1] or ""
+        cut = len(text) // 3
+        own, edited, other = (spots.of(t.encode()) for t in (text, text[: len(text) - cut] + after[:cut], after))
+        assert got[doc].fingerprint == own.astype(">u4").tobytes().hex()
+        assert got[doc].edited_fingerprint == edited.astype(">u4").tobytes().hex()
+        assert (got[doc].near_edited, got[doc].near_next) == (spotsigs.likeness(own, edited), spotsigs.likeness(own, other))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 200])
+def test_bounds_by_halving(spark, n):
+    bounds = sorted(random.Random(n).sample(range(-500, 500), n))
+    frame_ = spark.range(-510, 510).select("id", spotsigs._at_most(bounds, "id").alias("k"))
+    assert all(r.k == sum(b <= r.id for b in bounds) for r in frame_.collect())
+
+
 def test_spotsigs_ranges(spark, corpus, monkeypatch):
     """Ranges of ids give what one range gives."""
     whole = by_id(spotsigs.edited_likeness(frame(spark, corpus)), "edited_sha256", "near_next")
@@ -397,9 +458,75 @@ def test_toxicity(spark):
     assert empty.curve == toxicity.CURVE
 
 
+def test_matching_equals_plain_search():
+    """Weights of matched words, and phrases that spare them, against looking at every place of the folded text."""
+    rng = random.Random(6)
+    lexicon = {" ab": 2.0, " abc": 3.0, " abc ": 5.0, " ca": 1.0, " b ": 4.0}
+    phrases = ("ab ca", "b abc ca", "ca")
+    matcher = toxicity.Matcher(lexicon, phrases)
+    for _ in range(300):
+        text = " ".join("".join(rng.choices("abc@48", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 30)))
+        plain = toxicity.folded(text)
+        spared = [(a, a + len(toxicity.folded(p)) - 1) for p in phrases for a in range(len(plain)) if plain.startswith(toxicity.folded(p), a)]
+        want = []
+        for at in range(len(plain)):
+            found = [w for pattern, w in lexicon.items() if plain.startswith(pattern, at)]
+            if found and not any(a <= at < b for a, b in spared):
+                want.append(max(found))
+        got, words = matcher.hits(text)
+        assert sorted(got) == sorted(want) and words == len(plain.split())
+
+
+def test_long_words_and_many_phrases(spark):
+    """A long word is learned whole; many phrases and many matches in one text take time that grows with its length."""
+    word = "x" * 30 + "y" * 30
+    assert f" {word} " in toxicity._features(f"a {word} b", toxicity._Fold())
+    matcher, start = toxicity.Matcher({" clown": 1.0}, ("clown fish",)), time.time()
+    assert len(matcher.hits("clown fish clown " * 60_000)[0]) == 60_000
+    assert time.time() - start < 5
+
+
 # --- personal data ---
 
 
+def _base(text):
+    """Base spans by the letter of the contract: leftmost matches of each pattern, failing ones dropped."""
+    out = []
+    for kind, pattern in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ):
+        for m in re.compile(pattern).finditer(text):
+            digits = [int(c) for c in m[0] if c.isdigit()]
+            twice = [sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits))]
+            good = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 16 <= len(digits) <= 19 and sum(twice) % 10 == 0,
+                "phone": 8 <= len(digits) <= 15,
+            }
+            if good[kind]:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_spans(spark):
+    rng = random.Random(9)
+    pieces = ["a.b@c.de", "x@y", "@", "10.0.0.255", "256.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (743) 555-3824", "+", "12", " ", ".", "-", "007.1.1.1", "é", "+49", "55555", "4111111111111111"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(3000)]
+    for text in texts:
+        assert pii.spans(text)[0] == _base(text)
+    found = {r.doc_id: r.base for r in pii.find(frame(spark, [(i, t, "s") for i, t in enumerate(texts[:300])])).collect()}
+    assert all([tuple(x) for x in found[i]] == _base(t) for i, t in enumerate(texts[:300]))
+
+
+def test_many_addresses_in_one_text():
+    text, start = "a.b@c.de bob [at] site [dot] org " * 20_000, time.time()
+    base, every = pii.spans(text)
+    assert len(base) == 20_000 and len(every) == 40_000
+    assert time.time() - start < 20
+
+
 @pytest.mark.parametrize(
     "text,found",
     [
@@ -427,6 +554,9 @@ def test_pii(text, found):
         ("host 10 dot 0 dot 0 dot seven, plus four nine 30 1234567", ["10 dot 0 dot 0 dot seven", "plus four nine 30 1234567"]),
         ("card 4111111111111 one one one", ["4111111111111 one one one"]),
         ("mail jane.seven-two at example dot com", ["jane.seven-two at example dot com"]),
+        ("bob    at    site    dot    org", ["bob    at    site    dot    org"]),
+        ("bob      [  at    ]     site      (dot)      org", ["bob      [  at    ]     site      (dot)      org"]),
+        ("plus     four      nine 30     1234567", ["plus     four      nine 30     1234567"]),
         ("one two plus three, three nine nine dot one dot one dot one", []),
     ],
 )
