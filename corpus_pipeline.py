@@ -31,15 +31,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents with five-word shingles at similarity 0.8 or more, the smallest doc_id stays.
 
-    Of rows that repeat a doc_id one stays as well: the one whose text comes first.
+    Rows that share a doc_id are one document with several texts: they stay or go together, and of rows that repeat
+    a text as well one stays, the least by a digest of its columns. Rows without doc_id, text or words stay.
     """
     found = minhash.near_duplicates(docs, shingle=5, percent=80)
     kept = _without(docs, found.where("NOT kept"))
     often = staged(kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "pipeline-repeated")
     if often.isEmpty():
         return kept
-    again = kept.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in kept.columns if c not in ("doc_id", "text")])).alias("row"))
-    return kept.join(often, "doc_id", "left_anti").unionByName(again.select("doc_id", "row.*").select(kept.columns))
+    row = F.struct(*kept.columns)
+    again = kept.join(often, "doc_id", "left_semi").select(*kept.columns)
+    again = again.groupBy("doc_id", "text").agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("row")).select("row.*")
+    return kept.join(often, "doc_id", "left_anti").select(kept.columns).unionByName(again)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
