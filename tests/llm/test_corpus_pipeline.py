@@ -56,6 +56,22 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in found} < {d for d, *_ in kept} and max(r["pass"] for r in found) > 1
 
 
+def test_near_duplicate_stage_on_odd_rows(spark):
+    """Unlike texts of one id stay together, repeated rows become one, odd rows stay, any column type goes through."""
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(1, a), (2, b), (2, c), (2, c), (3, c + " more"), (4, d), (4, d), (5, None), (6, ""), (7, ""), (None, a), (None, None)]
+    docs = spark.createDataFrame(
+        [(*r, "s", {"k": i % 2}) for i, r in enumerate(rows)], "doc_id bigint, text string, source string, extra map<string,int>"
+    )
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert found.columns == docs.columns
+    want = [(1, a), (2, b), (2, c), (4, d), (5, None), (6, ""), (7, ""), (None, a), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(want, key=str)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").isEmpty()
+
+
 def test_draws_fill_the_budget(spark):
     """Positions are unique, and in their order the part pass ends where the plan says."""
     rows = [(i, "w " * (1 + i % 5), f"s{i % 7 == 0}") for i in range(200)] + [(900, None, None)]
