@@ -4,8 +4,9 @@ Only text that can repeat is sorted. Every window of ``length`` bytes is keyed b
 its ``SEED``-byte grams, so equal windows have equal keys; keys that occur in one document only
 are set aside by an exact exchange (``seeds``). The windows of a remaining key are one run
 of bytes (a snippet). Each group of rows sends its distinct snippets, with the least and greatest document id that has
-them, so a passage is one entry a group however many rows hold it; all snippets of a key go to one shard. A shard sorts the
-suffixes of its distinct snippets by external induced sorting (``suffix``); neighbours whose common prefix reaches ``length``
+them, so a passage is one entry a group however many rows hold it; all snippets of a key go to one shard. A shard sets
+aside snippets that share no window with another one (``_akin``) and sorts the
+suffixes of the others by external induced sorting (``suffix``); neighbours whose common prefix reaches ``length``
 are equal strings, and the least document id of each goes back to the groups that sent them, which
 find their occurrences again. Whole copies of a text are found by digest first and sent nowhere.
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -170,6 +172,31 @@ def _snippets(docs: DataFrame, side: DataFrame, length: int, parts: int) -> Data
     return docs.groupBy("grp").cogroup(side.groupBy("grp")).applyInArrow(run, SNIPPETS)
 
 
+def _akin(data: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """Which of the joined distinct snippets can share a window with another one.
+
+    Equal windows have the same seed gram at the same place, and the gram leaves at least half of the rest of a window on one
+    side of it. So they also share the gram together with the bytes that far to its left, or to its right. A snippet none
+    of whose two-sided grams occurs again shares no window; equal hashes of unlike grams only bring one more into the sort.
+    """
+    windows = Windows(length)
+    reach = min(windows.seed, (length - windows.seed + 1) // 2)
+    grams, head = windows.grams(data), np.concatenate(([0], np.cumsum(size)))
+    own = size - windows.seed + 1
+    at, of = ranges(head[:-1], own), np.repeat(np.arange(len(size)), own)
+    least = np.minimum.reduceat(grams[at], np.cumsum(own) - own)
+    seed = grams[at] == least[of]
+    at, of = at[seed], of[seed]
+    left, right = at - reach >= head[of], at + reach + windows.seed <= head[of + 1]
+    join = lambda a, b, side: mix(mix(grams[a]) * np.uint64(0x9E3779B97F4A7C15) + grams[b] * np.uint64(side))
+    keys = np.concatenate((join(at[left] - reach, at[left], 3), join(at[right], at[right] + reach, 5)))
+    of = np.concatenate((of[left], of[right]))
+    _, kind, n = np.unique(keys, return_inverse=True, return_counts=True)
+    out = np.zeros(len(size), bool)
+    out[of[n[kind] > 1]] = True
+    return out
+
+
 def _covered(snippets: DataFrame, length: int, limit: int) -> DataFrame:
     """Runs of windows that also start in a smaller document than the greatest of a pack's snippet, and the least such document."""
 
@@ -182,23 +209,25 @@ def _covered(snippets: DataFrame, length: int, limit: int) -> DataFrame:
             body, edges = body.as_py(), np.concatenate(([0], np.cumsum(np.frombuffer(own.as_py(), np.int64)))).tolist()
             kinds += [known.setdefault(body[a:b], len(known)) for a, b in zip(edges[:-1], edges[1:])]
         kind = np.array(kinds, np.int64)
-        distinct = b"".join(known)
         size = np.fromiter(map(len, known), np.int64, len(known))
+        akin = _akin(np.frombuffer(b"".join(known), np.uint8), size, length)
+        distinct = b"".join(compress(known, akin.tolist()))
         del known, kinds, body
-        head = np.concatenate(([0], np.cumsum(size)))
         low, high = np.full(len(size), np.iinfo(np.int64).max), np.full(len(size), np.iinfo(np.int64).min)
         np.minimum.at(low, kind, least)
         np.maximum.at(high, kind, most)
-        # Window starts in the joined distinct snippets, and the least document of each. Only the last, still open group of
-        # equal strings is kept from one block of the order to the next.
+        # Window starts in the joined snippets that are sorted, and the least document of each. Only the last, still open group
+        # of equal strings is kept from one block of the order to the next.
+        put = np.flatnonzero(akin)
+        head = np.concatenate(([0], np.cumsum(size[put])))
         valid = np.zeros(len(distinct), bool)
-        valid[ranges(head[:-1], size - length + 1)] = True
+        valid[ranges(head[:-1], size[put] - length + 1)] = True
         first = np.zeros(len(distinct), np.int64)
 
         def settle(members, apart):
             if len(members):
                 at = np.flatnonzero(apart)
-                owner = np.minimum.reduceat(low[np.searchsorted(head, members, "right") - 1], at)
+                owner = np.minimum.reduceat(low[put[np.searchsorted(head, members, "right") - 1]], at)
                 first[members] = np.repeat(owner, np.diff(np.append(at, len(members))))
 
         held = [np.zeros(0, np.int64)]
@@ -219,13 +248,19 @@ def _covered(snippets: DataFrame, length: int, limit: int) -> DataFrame:
         whole = np.concatenate(held)
         settle(whole, np.arange(len(whole)) == 0)
         del valid, held
-        n = size - length + 1
+        n = size[put] - length + 1
         place, own = ranges(np.zeros(len(n), np.int64), n), np.repeat(np.arange(len(n)), n)
         owner = first[place + head[own]]
         del first
         new = (place == 0) | (np.diff(owner, prepend=0) != 0)
         a = np.flatnonzero(new)
-        own, begin, end, owner = own[a], place[a], place[np.append(a[1:], len(place)) - 1] + 1, owner[a]
+        own, begin, end, owner = put[own[a]], place[a], place[np.append(a[1:], len(place))[: len(a)] - 1] + 1, owner[a]
+        # All windows of a snippet that is not sorted belong to its own documents alone.
+        rest = np.flatnonzero(~akin)
+        own, owner = np.append(own, rest), np.append(owner, low[rest])
+        begin, end = np.append(begin, np.zeros(len(rest), np.int64)), np.append(end, size[rest] - length + 1)
+        by = np.argsort(own, kind="stable")
+        own, begin, end, owner = own[by], begin[by], end[by], owner[by]
         good = owner < high[own]
         own, begin, end, owner = own[good], begin[good], end[good], owner[good]
         edge = np.searchsorted(own, np.arange(len(size) + 1))

@@ -137,6 +137,28 @@ def test_suffix_dedup_hot_passage(spark, corpus, monkeypatch):
     assert 2 * bytes_sent < sum(len(t.encode()) for _, t, _ in rows)  # one entry an occurrence would be more than all text
 
 
+@pytest.mark.parametrize("length", (16, 17, 20, 50))
+def test_suffix_dedup_sorts_what_shares_a_window(length):
+    """A snippet left out of the sort shares no window with another; one alone is left out."""
+    rng, windows, cut, left_out = np.random.default_rng(length), suffix_dedup.Windows(length), {}, 0
+    common = rng.integers(97, 100, 60).astype(np.uint8)
+    for k in range(60):
+        own = rng.integers(97, 100, 40).astype(np.uint8)
+        data = np.concatenate((own, common[k % 7 : 30 + k % 30], own[::-1]))
+        _, least = windows.least(data, np.array([0, len(data)]))
+        edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1], [True])))
+        for a, b in zip(edge[:-1], edge[1:]):
+            cut[data[a : b + length - 1].tobytes()] = None
+    sizes = np.array([len(x) for x in cut])
+    akin = suffix_dedup._akin(np.frombuffer(b"".join(cut), np.uint8), sizes, length)
+    holders = Counter(w for x in cut for w in {x[i : i + length] for i in range(len(x) - length + 1)})
+    for x, put in zip(cut, akin):
+        assert put or all(holders[x[i : i + length]] == 1 for i in range(len(x) - length + 1))
+        left_out += not put
+    assert left_out > 0
+    assert (left_out < len(cut)) == (length > windows.seed)  # snippets of one window each are all unlike
+
+
 # --- substring ---
 
 
