@@ -13,6 +13,7 @@ import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -361,14 +362,17 @@ def evaluate(
 ) -> DataFrame:
     """Metrics by name, optionally grouped by ``dataset.field``, one column each.
 
-    All metrics share one pass over one star. The formula is applied to the joined
-    rows as it stands, so a sum over a "one" side counts a row once per matching
-    fact; ``grain_safe`` counts it once.
+    The formula means the joined rows as they stand, so a sum over a "one" side counts a row once per
+    matching fact; ``grain_safe`` counts it once. Where all aggregates combine, facts are reduced before they
+    are joined (one scan of them for each relationship that aggregates lead to); else all metrics share
+    one pass over one star. A "one" side is taken to be unique in the columns of its relationship.
     """
     formulas = {m: model.metrics[m] for m in metrics}
     needed = _datasets_in(model, *formulas.values(), *group_by, *([where] if where else []))
-    if not grain_safe:
-        early = _aggregated_before_join(model, formulas, needed, read, group_by, where)
+    conditioned = _datasets_in(model, where) if where else []
+    if not grain_safe and len(conditioned) < 2:
+        filters = [((conditioned or [base_dataset(model, needed)])[0], F.expr(where))] if where else []
+        early = _aggregated_before_join(model, formulas, needed, read, group_by, filters)
         if early is not None:
             return early
     joined = star(model, needed, read)
@@ -416,6 +420,52 @@ def _aggregate_terms(formulas: Mapping[str, str]) -> tuple[list[tuple[str, str,
 
 # How partial results of an aggregate are combined.
 _MERGE = {"SUM": "SUM({0})", "COUNT": "COALESCE(SUM({0}), 0)", "MIN": "MIN({0})", "MAX": "MAX({0})"}
+# The same from rows of a "one" side, each standing for ``_n`` facts.
+_WEIGHTED = {
+    "SUM": "SUM(({0}) * `_n`)",
+    "COUNT": "COALESCE(SUM(CASE WHEN ({0}) IS NOT NULL THEN `_n` END), 0)",
+    "MIN": "MIN({0})",
+    "MAX": "MAX({0})",
+}
+
+
+@dataclass(frozen=True)
+class _Term:
+    """One aggregate call over the columns of one dataset."""
+
+    alias: str
+    function: str
+    sql: str
+    home: str
+    distinct: bool
+    kind: str
+
+    def over(self, base: str) -> Column:
+        """The aggregate over reduced rows that hold the columns of its dataset."""
+        if self.home == base or self.distinct:
+            return F.expr(self.sql)
+        return F.expr(_WEIGHTED[self.function].format(self.sql[self.sql.index("(") + 1 : -1]))
+
+    def merged(self) -> Column:
+        return F.expr(_MERGE[self.function].format(f"`{self.alias}`"))
+
+
+def _terms_by_dataset(model, terms, base, joined) -> list[_Term] | None:
+    """None where a call cannot be combined from partial results."""
+    if not terms:
+        return None
+    kinds = joined.agg(*[F.expr(sql).alias(alias) for alias, _, sql in terms]).schema
+    found = []
+    for alias, function, sql in terms:
+        owners = _datasets_in(model, sql)
+        inside = sql[sql.index("(") + 1 : -1]
+        distinct = bool(re.match(r"\s*DISTINCT\b", inside, re.I))
+        home = owners[0] if owners else base
+        several = function == "COUNT" and "," in inside and home != base
+        if len(owners) > 1 or function not in _MERGE or (distinct and (home == base or function != "COUNT")) or (several and not distinct):
+            return None
+        found.append(_Term(alias, function, sql, home, distinct, kinds[alias].dataType.simpleString()))
+    return found
 
 
 def _aggregated_before_join(
@@ -424,41 +474,82 @@ def _aggregated_before_join(
     needed: Sequence[str],
     read: Reader,
     group_by: Sequence[str],
-    where: str | None,
+    filters: Sequence[tuple[str, Column]],
 ) -> DataFrame | None:
-    """Aggregate the base dataset per foreign key first, then join and combine.
-
-    Possible when every aggregate is over base columns and can be combined, and
-    one relationship leads out of the base. Facts are then reduced before the
-    shuffle and a key that holds a large share of them is a single row in the join.
+    """Reduce rows to their foreign keys before each join, and combine what was aggregated.
+
+    Facts are aggregated per foreign key with their number ``_n``; the reduced rows are joined, reduced to the
+    next foreign key, and so on. A key that holds a large share of the facts is a single row in the join. A sum or count
+    over a "one" side weighs its rows by ``_n``; least, greatest and distinct values need no weight. Aggregates over
+    different relationships of the base are reduced apart, each together with the relationships of groups and
+    filters, and meet as groups. ``filters`` are conditions on one dataset each. None where some aggregate mixes
+    datasets, counts distinct facts, or cannot be combined.
     """
     base = base_dataset(model, needed)
     routes = _routes(model, base)
-    links = {routes[n][0] for n in needed if n != base}
     terms, pieces = _aggregate_terms(formulas)
-    simple = all(
-        function in _MERGE
-        and not re.match(r"\w+\s*\(\s*DISTINCT\b", sql, re.I)
-        and set(_datasets_in(model, sql)) <= {base}
-        for _, function, sql in terms
-    )
-    outside = "".join(p for parts in pieces.values() for p in parts[::2])
-    filterable = where is None or set(_datasets_in(model, where)) <= {base}
-    if len(links) != 1 or not simple or not filterable or not terms or _datasets_in(model, outside):
+    outside = " ".join(p for parts in pieces.values() for p in parts[::2])
+    if set(needed) == {base} or _datasets_in(model, outside) or re.search(r"\b(FILTER|OVER)\b", outside, re.I):
         return None
-    (_, _, foreign_key, _), = links
-    rows = _dataset(model, base, read)
-    if where:
-        rows = rows.filter(F.expr(where))
-    own = [g.split(".", 1)[1] for g in group_by if g.split(".", 1)[0] == base]
-    kept = [F.col(f"{base}.{c}").alias(c) for c in dict.fromkeys([*foreign_key, *own])]
-    partial = rows.groupBy(*kept).agg(*[F.expr(sql).alias(alias) for alias, _, sql in terms])
-    merge = {alias: _MERGE[function].format(f"`{alias}`") for alias, function, _ in terms}
-    finals = [
-        F.expr("".join(merge.get(p, p) if i % 2 else p for i, p in enumerate(parts))).alias(name)
-        for name, parts in pieces.items()
-    ]
-    return _grouped(star(model, needed, read, partial), group_by, finals)
+    found = _terms_by_dataset(model, terms, base, star(model, needed, read))
+    if found is None:
+        return None
+    branch = lambda dataset: {routes[dataset][0]} if dataset != base else set()
+    fixed = set().union(*[branch(d) for d in _datasets_in(model, *group_by)], *[branch(d) for d, _ in filters])
+    by_branch: dict[frozenset, list[_Term]] = {}
+    for term in sorted(found, key=lambda t: t.home == base):
+        own = frozenset(fixed | branch(term.home))
+        if term.home == base and by_branch:
+            own = min(by_branch, key=len)  # any scan of the facts serves
+        by_branch.setdefault(own, []).append(term)
+    frames = [_reduced(model, base, own, read, group_by, filters) for own in by_branch.values()]
+    groups = [g.split(".", 1)[1] for g in group_by]
+    texts = {n: "".join(f"`{p}`" if i % 2 else p for i, p in enumerate(parts)) for n, parts in pieces.items()}
+    return _side_by_side(frames, groups).select(*groups, *[F.expr(text).alias(n) for n, text in texts.items()])
+
+
+def _equal(link: tuple) -> Column:
+    source, to, left, right = link
+    pairs = [F.col(f"{source}.{a}") == F.col(f"{to}.{b}") for a, b in zip(left, right, strict=True)]
+    return reduce(lambda x, y: x & y, pairs)
+
+
+def _reduced(model, base, terms, read, group_by, filters) -> DataFrame:
+    """Group columns and the values of ``terms`` by alias; rows are reduced before each join."""
+    routes = _routes(model, base)
+    named = dict.fromkeys([*(t.home for t in terms), *_datasets_in(model, *group_by), *(d for d, _ in filters)])
+    waiting = list(dict.fromkeys(link for dataset in named for link in routes[dataset]))
+
+    def filtered(rows: DataFrame, dataset: str) -> DataFrame:
+        return reduce(DataFrame.filter, [condition for d, condition in filters if d == dataset], rows)
+
+    def attach(rows: DataFrame, link: tuple) -> DataFrame:
+        return filtered(rows.join(_dataset(model, link[1], read), _equal(link), "left"), link[1])
+
+    rows, here = filtered(_dataset(model, base, read), base), base
+    partial: set[str] = set()
+    carried: dict[str, str] = {}
+    while waiting:
+        onward = [link for link in waiting if link[0] == here]
+        own = {g: f"_g{i}" for i, g in enumerate(group_by) if g.split(".", 1)[0] == here}
+        keys = [F.col(f"{here}.{c}").alias(c) for c in dict.fromkeys(c for link in onward for c in link[2])]
+        keys += [*(F.col(n) for n in carried.values()), *(F.col(g).alias(n) for g, n in own.items())]
+        number = F.count(F.lit(1)) if here == base else F.sum("_n")
+        ready = [t for t in terms if t.alias in partial or t.home == here]
+        sums = [(t.merged() if t.alias in partial else t.over(base)).alias(t.alias) for t in ready]
+        rows = rows.groupBy(*keys).agg(number.alias("_n"), *sums).alias(here)
+        partial |= {t.alias for t in ready}
+        carried |= own
+        # One side is reduced again; beyond a fork, or from the side of a distinct count, all others are joined as they are.
+        last = len(onward) > 1 or any(t.distinct and t.home == onward[0][1] for t in terms)
+        for link in waiting if last else onward:
+            rows = attach(rows, link)
+        waiting = [] if last else [link for link in waiting if link not in onward]
+        here = onward[0][1]
+    groups = [F.col(carried.get(g, g)).alias(g.split(".", 1)[1]) for g in group_by]
+    finals = [t.merged() if t.alias in partial else t.over(base) for t in terms]
+    finals = [(c.cast(t.kind) if t.function == "SUM" else c).alias(t.alias) for c, t in zip(finals, terms)]
+    return rows.groupBy(*groups).agg(*finals) if groups else rows.agg(*finals)
 
 
 def _grain_safe(model, formulas, joined, base, group_by) -> DataFrame:
@@ -487,7 +578,12 @@ def _grain_safe(model, formulas, joined, base, group_by) -> DataFrame:
         ]
         return rows.groupBy(*groups).agg(*local) if groups else rows.agg(*local)
 
-    frames = [total(owner, items) for owner, items in parts.items()]
+    result = _side_by_side([total(owner, items) for owner, items in parts.items()], groups)
+    return result.select(*groups, *[F.expr(text).alias(n) for n, text in outer.items()])
+
+
+def _side_by_side(frames: Sequence[DataFrame], groups: Sequence[str]) -> DataFrame:
+    """Frames with one row for each of the same groups, as one."""
     result = frames[0]
     for frame in frames[1:]:
         values = [c for c in frame.columns if c not in groups]
@@ -501,7 +597,7 @@ def _grain_safe(model, formulas, joined, base, group_by) -> DataFrame:
             pair = F.col(g).eqNullSafe(F.col(f"_g_{g}"))
             same = pair if same is None else same & pair
         result = result.join(other, same, "left").drop(*[f"_g_{g}" for g in groups])
-    return result.select(*groups, *[F.expr(text).alias(n) for n, text in outer.items()])
+    return result
 
 
 def evaluate_all(model: Model, read: Reader) -> DataFrame:
@@ -567,14 +663,14 @@ def _in_period(model, metric, read, time, start, grain, group_by) -> DataFrame:
     high = bounds.select(F.col("stop").cast(kind)).scalar()
     sql = model.metrics[metric]
     needed = _datasets_in(model, sql, time, *group_by)
-    rows = star(model, needed, read).filter((F.col(time) >= low) & (F.col(time) < high))
-    aggregates = [
-        F.expr(sql).alias(metric),
-        F.min(F.col(time)).alias("from_time"),
-        F.max(F.col(time)).alias("to_time"),
-    ]
+    inside = (F.col(time) >= low) & (F.col(time) < high)
+    formulas = {metric: sql, "from_time": f"MIN({time})", "to_time": f"MAX({time})"}
+    result = _aggregated_before_join(model, formulas, needed, read, group_by, [(time.split(".", 1)[0], inside)])
+    if result is None:
+        rows = star(model, needed, read).filter(inside)
+        result = _grouped(rows, group_by, [F.expr(text).alias(name) for name, text in formulas.items()])
     period = F.year("from_time") if grain == "year" else F.date_trunc(grain, "from_time")
-    return _grouped(rows, group_by, aggregates).withColumn(grain, period)
+    return result.withColumn(grain, period)
 
 
 def evaluate_measures(rows: DataFrame, measures: Mapping[str, str], group_by: Sequence[str] = ()) -> DataFrame:

@@ -1,5 +1,6 @@
 """Graphs, search, matching across sources and metric evaluation."""
 
+import dataclasses
 import random
 
 import pytest
@@ -259,6 +260,43 @@ def test_facts_are_reduced_before_the_join(model, read, spark):
     assert plan.count("Aggregate [") == 2 and plan.index("Join") < plan.rindex("Aggregate [")
 
 
+@pytest.mark.parametrize(
+    "group_by,where",
+    (([], "store.staff < 10"), (["store.label"], None), (["owner.name"], "sales.price > 5"), (["sales.region", "owner.name"], "owner.name = 'ann'")),
+)
+def test_reduced_facts_give_what_the_joined_rows_give(model, read, group_by, where):
+    formulas = {
+        "a": "SUM(sales.price) / COUNT(*)", "b": "COUNT(DISTINCT store.id)", "c": "SUM(store.staff) - MIN(store.staff)",
+        "d": "COUNT(owner.name)", "e": "MAX(owner.name)", "f": "COUNT(DISTINCT owner.id) + MAX(sales.price)", "g": "SUM(CAST(store.staff AS DECIMAL(9,2)))",
+    }
+    wide = dataclasses.replace(model, metrics=formulas)
+    names = [*formulas] if not group_by else ["a", "c", "d", "e", "g"]
+    for chosen in (names, ["b", "a"], ["f", "g"]):
+        found = metrics.evaluate(wide, chosen, read, group_by=group_by, where=where)
+        joined = metrics.star(wide, ["sales", "store", "owner"], read)
+        joined = joined.filter(where) if where else joined
+        plain = metrics._grouped(joined, group_by, [F.expr(formulas[n]).alias(n) for n in chosen])
+        assert rows(found) == rows(plain) and found.dtypes == plain.dtypes
+
+
+def test_sides_are_reduced_apart(spark, model, read):
+    """A fork: each relationship of the base is reduced alone, and groups meet."""
+    links = [*model.relationships, ("sales", "seller", ("n",), ("id",))]
+    wide = dataclasses.replace(
+        model, sources={**model.sources, "seller": "db.seller"}, keys={**model.keys, "seller": ("id",)}, fields={**model.fields, "seller": {}},
+        relationships=links, metrics={"x": "SUM(sales.price)", "y": "SUM(seller.pay)", "z": "COUNT(DISTINCT owner.name)"},
+    )
+    seller = spark.createDataFrame([(1, 1.5), (2, 2.0)], "id int, pay double")
+    both = lambda name: seller if name == "db.seller" else read(name)
+    for group_by in ([], ["store.label"], ["seller.id"]):
+        found = metrics.evaluate(wide, ["x", "y", "z"], both, group_by=group_by)
+        joined = metrics.star(wide, ["sales", "seller", "store", "owner"], both)
+        plain = metrics._grouped(joined, group_by, [F.expr(sql).alias(n) for n, sql in wide.metrics.items()])
+        assert rows(found) == rows(plain)
+    plan = metrics.evaluate(wide, ["x", "y", "z"], both)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") >= 4
+
+
 def test_fan_out_and_grain(model, read):
     plain = metrics.evaluate(model, ["per_head"], read).first()[0]
     safe = metrics.evaluate(model, ["per_head"], read, grain_safe=True).first()[0]
