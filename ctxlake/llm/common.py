@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources import arrow as _ships_code_by_value  # noqa: F401
+from ..sources.arrow import freed as freed  # this module also ships the code by value
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CHUNK_BYTES = 1 << 18
@@ -30,21 +29,6 @@ def parts_for(df: DataFrame, text: str, part_bytes: int) -> int:
     return 1 + int(size) // part_bytes
 
 
-def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """A task function that gives memory back to the system when it ends; Python workers stay for later tasks and would keep it."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from run(batches)
-        finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
-
-    return task
-
-
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the offsets of its rows in them; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

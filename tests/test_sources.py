@@ -1,17 +1,21 @@
 """File scans, YAML and LookML parsing, manifests."""
 
 import json
+import time
 
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+import yaml
+from pyspark.sql import functions as F, types as T
 
 from ctxlake.operators import lookml, manifest, omni, publish
 from ctxlake.operators.store import Catalog
 from ctxlake.sources import manifest as manifest_source
+from ctxlake.sources.arrow import flat_map_documents
 from ctxlake.sources.lookml import lookml_rows, parse_lookml
 from ctxlake.sources.manifest import load_manifests, manifests_from_text, read_manifests
 from ctxlake.sources.scan import text_documents
-from ctxlake.sources.yamldoc import parse_yaml, rejects
+from ctxlake.sources.yamldoc import parse_yaml, read_json, rejects
 
 
 def write(base, files):
@@ -223,3 +227,56 @@ def test_corrupt_manifest_is_a_reject(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path / "catalog"))
     with pytest.raises(ValueError, match="target/manifest.json"):
         publish.refresh_manifests(catalog, str(tmp_path))
+
+
+class _Frame:
+    """Stands for a DataFrame and hands out the task function."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_tasks_hold_one_document_and_send_small_batches():
+    schema = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("content", T.StringType())])
+    seen, packed = [], []
+
+    def parse(path, content):
+        seen.append(path)
+        yield path, content
+
+    docs = pa.RecordBatch.from_pydict({"file_path": [f"f{i}" for i in range(40)], "content": ["x" * 300_000] * 40})
+    for batch in flat_map_documents(_Frame(), parse, schema)(iter([docs, docs.slice(0, 3)])):
+        packed.append((len(seen), batch.num_rows, batch.nbytes))
+    assert sum(rows for _, rows, _ in packed) == len(seen) == 43
+    assert max(size for _, _, size in packed) < 2_000_000
+    assert packed[0][0] == 4  # the first batch leaves before the fifth document is read
+
+
+def test_json_is_read_as_yaml_reads_it():
+    same = ['{"a": 1.0E10, "b": [1.5e-3, 2e5, -0], "": null}', '{"2024-01-01": "2024-01-01", "<<": {"n": "yes"}}',
+            '{\n "a" : "x: # y",\n "a": {}}\n', '{"q": "\\u00e9\\t\\"", "é😀": true}']
+    for text in same:
+        assert json.dumps(read_json(text)) == json.dumps(yaml.safe_load(text)), text
+    apart = ["a: 1", '{"a": "x y"}', '{"a": "\x7f"}', '{"a": "\\ud83d\\ude00"}', '{"a"\n: 1}', '{"a":\t1}', '{"a": NaN}',
+             '{"%s": 1}' % ("k" * 1100), '{a: 1}', '{"a": 1']
+    for text in apart:
+        with pytest.raises(ValueError):
+            read_json(text)
+
+
+def test_json_documents_keep_their_rows_and_faults(spark, docs):
+    found = parse_yaml(docs({"a": '{"d": 2024-01-02, "j": {"k": {}}}', "b": '{"j": {"k": {"l": ""}}}', "c": '{"j": "\x07"}'}), tree="j")
+    read = {r["file_path"]: r for r in found.collect()}
+    assert json.loads(read["a"]["json"]) == {"d": "2024-01-02", "j": {"k": {}}}
+    assert read["b"]["key_paths"] == [["k"], ["k", "l"]]
+    assert read["c"]["json"] is None and "control characters" in read["c"]["error"]
+
+
+def test_blank_stretches_of_lookml_cost_no_square():
+    start = time.process_time()
+    rows = lookml_rows("f", "view: a {" + " " * 60_000 + "label: x }")
+    assert rows == [("f", "view", None, "a", {"label": "x"}, None)]
+    assert time.process_time() - start < 2
