@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import search_text
+from ..runtime import spread, staged
 
 # Searched text columns per table.
 SEARCH_COLUMNS = {
@@ -48,6 +49,7 @@ def keyword_outcome(rows: DataFrame, table: str, keywords: Sequence[str], **opti
 
 
 NEAR = 3
+GRAMS = (3, 6)
 
 
 def _near_key(before: Column, after: Column, literal: bool) -> tuple[Column, Column, Column]:
@@ -58,6 +60,44 @@ def _near_key(before: Column, after: Column, literal: bool) -> tuple[Column, Col
     return F.concat(left, F.lit("."), right), F.length(left), F.length(right)
 
 
+def _pieces(text: Column, size: int) -> Column:
+    """All substrings of ``size`` characters; a shorter text is one."""
+    last = F.greatest(F.length(text) - (size - 1), F.lit(1))
+    return F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(text, i, F.lit(size)))
+
+
+def _starred_matches(candidates: DataFrame, starred: DataFrame) -> DataFrame:
+    """References and patterns with ``%`` that share the part around the dot and the rarest gram of the pattern's other parts.
+
+    Every fixed run of a pattern occurs in a reference it matches. Of the grams of these runs (of the longest size of ``GRAMS`` that fits)
+    the one that the fewest references hold is an equi-join key, so patterns that begin alike do not meet every reference that
+    does. A pattern without a run of that length has the empty gram, which all references hold.
+    """
+    rest = F.concat(
+        F.expr("left(_s, length(_s) - _before)"), F.lit("%"), F.expr("substr(_n, _after + 1)")
+    )
+    short, long = GRAMS
+    runs = F.filter(F.split(rest, "[%_]"), lambda r: F.length(r) >= short)
+    of_run = lambda r: F.when(F.length(r) >= long, _pieces(r, long)).otherwise(_pieces(r, short))
+    grams = F.array_distinct(F.flatten(F.transform(runs, of_run)))
+    grams = F.when(F.size(grams) > 0, grams).otherwise(F.array(F.lit("")))
+    wanted = starred.select("_s", "_n", "_before", "_after").distinct().select("_s", "_n", F.explode(grams).alias("_gram"))
+    wanted = staged(wanted, "pattern-grams")
+    held = F.array_distinct(F.concat(F.array(F.lit("")), *[_pieces(F.col("_ref"), size) for size in GRAMS]))
+    pieces = staged(starred.select("_mask", "_piece").distinct(), "starred-pieces")
+    open_ = staged(candidates.join(pieces, ["_mask", "_piece"], "left_semi"), "starred-candidates")
+    exploded = spread(open_.select("_ref").distinct()).select(F.explode(held).alias("_gram"))
+    known = staged(wanted.select("_gram").distinct(), "grams")
+    uses = exploded.join(known, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    rarest = wanted.join(uses, "_gram", "left").groupBy("_s", "_n").agg(
+        F.min_by("_gram", F.struct(F.coalesce("_uses", F.lit(0)), "_gram")).alias("_gram")
+    )
+    rarest = staged(rarest, "rarest-grams")
+    chosen = staged(rarest.select("_gram").distinct(), "chosen-grams")
+    near = spread(open_).select("*", F.explode(held).alias("_gram")).join(chosen, "_gram", "left_semi")
+    return near.join(starred.join(rarest, ["_s", "_n"]), ["_mask", "_piece", "_gram"]).drop("_gram")
+
+
 def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool = False) -> DataFrame:
     """Left join of view references with models named inside them.
 
@@ -74,7 +114,7 @@ def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool
     blanked at these positions is the pattern itself. Many models sharing a prefix
     therefore cost a reference one row per length, not one per model, and a hot name
     costs its true matches. Patterns with ``%`` are joined on the part around the
-    dot and checked with LIKE.
+    dot and a rare gram of the rest, and checked with LIKE.
     """
     patterns = models.filter("schema_name IS NOT NULL AND name IS NOT NULL").select(
         F.col("unique_id").alias("dbt_model_id"),
@@ -103,12 +143,14 @@ def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool
         F.length(tail).alias("_tail_size"),
         F.contains(F.concat("_s", F.lit("."), "_n"), F.lit("%")).alias("_percent"),
     )
+    # Written, so that joins choose by real sizes: what they are made of may be far smaller than what they expand to.
+    patterns = staged(patterns, "patterns")
     at_dot = ["_near", "_near_left", "_near_right"]
     at_end = [*at_dot, "_before", "_after", "_tail_size"]
-    lengths = patterns.select(*at_end).distinct()
-    shapes = patterns.select(*at_end, "_tail", "_mask").distinct()
+    shapes = staged(patterns.select(*at_end, "_tail", "_mask").distinct(), "shapes")
+    lengths = staged(shapes.select(*at_end).distinct(), "lengths")
 
-    refs = views.select(F.lower("sql_table_name").alias("_ref")).filter("_ref IS NOT NULL").distinct()
+    refs = spread(views.select(F.lower("sql_table_name").alias("_ref")).filter("_ref IS NOT NULL").distinct())
     size = F.length("_ref")
     dots = F.filter(
         F.sequence(F.lit(1), F.greatest(size, F.lit(1))),
@@ -155,10 +197,14 @@ def match_views_to_models(views: DataFrame, models: DataFrame, *, literal: bool
         .select("_ref", "_mask", F.when(has_wildcard, blanked).otherwise(around).alias("_piece"))
         .distinct()
     )
-    matches = candidates.join(patterns, ["_mask", "_piece"])
-    if not literal:
+    if literal:
+        matches = candidates.join(patterns, ["_mask", "_piece"])
+    else:
+        candidates = staged(candidates, "candidates")
         full = "concat('%', replace(_s, '!', '!!'), '.', replace(_n, '!', '!!'), '%')"
-        matches = matches.filter(f"NOT _percent OR _ref LIKE {full} ESCAPE '!'")
+        starred = _starred_matches(candidates, patterns.filter("_percent"))
+        starred = starred.filter(f"_ref LIKE {full} ESCAPE '!'")
+        matches = candidates.join(patterns.filter("NOT _percent"), ["_mask", "_piece"]).unionByName(starred)
     matches = matches.select("_ref", "dbt_model_id", "dbt_model", "schema_name", "dbt_description")
     return (
         views.select(F.col("name").alias("lookml_view"), "sql_table_name", F.lower("sql_table_name").alias("_ref"))

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ctxlake.operators import checks, context, contract, notes, osi, registry, search, skills
 from ctxlake.sources.yamldoc import parse_yaml
@@ -257,3 +258,28 @@ def test_moved_value_is_an_update(spark):
 
     a, b = LOOKML_VIEW.value_columns[:2]
     assert [r["change"] for r in change_counts(rows(**{a: "x"}), rows(**{b: "x"}), LOOKML_VIEW).collect()] == ["updated"]
+
+
+def test_patterns_that_begin_alike_meet_few_references(spark):
+    """300 references and 300 patterns share all text around the dot; the rest tells them apart."""
+    views = spark.range(300).selectExpr("concat('v', id) AS name", "concat('m.large_', 1000 + id, '_x') AS sql_table_name")
+    odd = spark.createDataFrame([("short", "m", "large%"), ("none", "m", "large%ring"), ("tail", "m", "large%_x")], "unique_id string, schema_name string, name string")
+    models = spark.range(300).selectExpr("concat('p', id) AS unique_id", "'m' AS schema_name", "concat('large%', 1000 + id, '%x') AS name")
+    models = models.unionByName(odd).withColumn("description", F.lit(None).cast("string"))
+    met = []
+    plain = search._starred_matches
+
+    def counted(candidates, starred):
+        frame = plain(candidates, starred)
+        met.append(frame.count())
+        return frame
+
+    search._starred_matches = counted
+    try:
+        found = search.match_views_to_models(views, models).groupBy("dbt_model_id").count().collect()
+    finally:
+        search._starred_matches = plain
+    counts = {r[0]: r[1] for r in found}
+    assert counts.pop("short") == counts.pop("tail") == 300 and "none" not in counts
+    assert counts == {f"p{i}": 1 for i in range(300)}
+    assert met[0] < 5_000  # 90,900 before
