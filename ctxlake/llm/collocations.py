@@ -4,10 +4,11 @@ Each word of a piece leads one window of itself and the words after it, padded w
 counted; Spark's ROLLUP over the columns of a window sums them to the counts of all its prefixes, so a phrase of any shorter
 length is counted without windows of its own. Windows that repeat within a chunk of text are combined in the task.
 
-A frequent phrase holds frequent grams only, so windows end where the next pair or triple is not frequent. Earlier passes
-count hashes of pairs, then of triples of frequent pairs, and leave a bitmap of ``2 ** gram_bits`` bits with a bit for each frequent one. Equal
-hashes and a full bitmap keep more windows, never fewer: words, frequent phrases and totals are counted exactly at every size. The
-bitmaps are all that tasks are sent.
+A frequent phrase holds frequent grams only, so windows end where the next word, pair or triple is not frequent; windows that start with a
+rare word only add to the total of their language. Earlier passes count hashes of words and pairs, then of triples of frequent pairs, and leave
+a bitmap with a bit for each frequent one, of about 32 times as many bits as there are, ``2 ** gram_bits`` at most. Equal hashes and a full
+bitmap keep more windows, never fewer: frequent words, frequent phrases and totals are counted exactly at every size. The bitmaps are all that
+tasks are sent. Hashes travel as sorted packs of gaps, two to three bytes each.
 
 Words are compared as text, never as hashes. Null and empty texts have no words; a null language counts as ``und``. Rows count as often as
 they occur, whatever their doc_id. Texts of any length are cut into chunks that overlap by a window. Extra columns take no
@@ -23,14 +24,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..runtime import staged
+from ..runtime import scratch, staged
 from .common import Powers, chunks, mix, texts
 
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 SPACES = b" \t"
 CHUNK = 1 << 19
-HASH_BITS = 40
-GRAM_BITS = 24
+HASH_BITS = 35
+GRAM_BITS = 27
+# Hashes are counted in ranges of their first bits. A task gathers so many before it sends them.
+RANGE_BITS = 12
+PACKED = 1 << 21
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(SPACES)], _KIND[list(BREAKS)] = 1, 2
@@ -98,8 +102,8 @@ def _runs(texts_: pa.Array, langs: np.ndarray, margin: int) -> Iterator[_Run]:
                 size *= 2
 
 
-def _grams(run: _Run, powers: Powers, known: list[np.ndarray], bits: int, length: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For 2 to ``length`` words: may the gram from each word on be frequent? And hashes of the longest ones.
+def _grams(run: _Run, powers: Powers, known: list[np.ndarray], bits: int, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For 1 to ``length`` words: may the gram from each word on be frequent? And the hashes of the grams.
 
     A gram may be if it lies in one piece, its bit is set where there is a bitmap of its length, and both grams of one word
     less may be.
@@ -107,30 +111,85 @@ def _grams(run: _Run, powers: Powers, known: list[np.ndarray], bits: int, length
     n = len(run.codes)
     body, at = texts(run.words)
     one = powers.spans(body.astype(np.uint64) + np.uint64(1), at[:-1], at[1:])[run.codes]
-    hashes, before, out = one, np.ones(n, bool), []
-    for size in range(2, length + 1):
-        hashes = mix(hashes[: max(0, n - size + 1)] * np.uint64(0x9E3779B97F4A7C15) + one[size - 1 :])
-        may = np.zeros(n, bool)
-        may[: len(hashes)] = before[: len(hashes)] & before[1 : len(hashes) + 1]
+    hashes, may, mays, every = one, np.ones(n, bool), [], []
+    for size in range(1, length + 1):
+        if size > 1:
+            hashes, before = mix(hashes[: max(0, n - size + 1)] * np.uint64(0x9E3779B97F4A7C15) + one[size - 1 :]), may
+            may = np.zeros(n, bool)
+            may[: len(hashes)] = before[: len(hashes)] & before[1 : len(hashes) + 1]
         if size == 2:
             may &= run.linked
-        if size - 2 < len(known):
+        if size <= len(known):
             bit = hashes >> np.uint64(64 - bits)
-            may[: len(hashes)] &= (known[size - 2][bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        before = may
-        out.append(may)
-    return out, hashes
+            may[: len(hashes)] &= (known[size - 1][bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        mays.append(may.copy())
+        every.append(hashes)
+    return mays, every
 
 
-def _gram_counts(length: int, bitmaps: list[bytes], bits: int, margin: int):
+def _packs(hashes: np.ndarray, least: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Range, hashes and counts of each range that has some. Three bytes of a gap lie apart, for most of the last are zero.
+
+    Counts go up to ``least``: a sum that reaches it does so with these as well.
+    """
+    grams, counts = np.unique(hashes, return_counts=True)
+    low = HASH_BITS - RANGE_BITS
+    at = np.searchsorted(grams >> np.uint64(low), np.arange((1 << RANGE_BITS) + 1, dtype=np.uint64))
+    within = (grams & np.uint64((1 << low) - 1)).astype(np.int64)
+    gaps = np.diff(within, prepend=0)
+    heads = at[:-1][at[:-1] < at[1:]]
+    gaps[heads] = within[heads]
+    planes = gaps.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    counts = np.minimum(counts, least)
+    for k in np.flatnonzero(at[:-1] < at[1:]).tolist():
+        rows = slice(at[k], at[k + 1])
+        yield k, planes[rows].T.tobytes(), counts[rows].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(pack: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes within their range, and their counts."""
+    planes = np.frombuffer(pack, np.uint8).reshape(3, -1).astype(np.int64)
+    sums = np.frombuffer(counts, np.uint8).reshape(4, -1).astype(np.int64)
+    return np.cumsum(planes[0] | planes[1] << 8 | planes[2] << 16), sums[0] | sums[1] << 8 | sums[2] << 16 | sums[3] << 24
+
+
+def _gram_packs(lengths: list[int], bitmaps: list[bytes], bits: int, least: int):
+    """Hashes of the grams of ``lengths`` words that may be frequent, gathered over the texts of a task."""
+
+    def sent(length: int, hashes: list[np.ndarray]) -> pa.RecordBatch:
+        ranges, packs, counts = zip(*_packs(np.concatenate(hashes), least))
+        columns = [pa.array([length] * len(ranges), pa.int32()), pa.array(ranges, pa.int32()), pa.array(packs, pa.binary()), pa.array(counts, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["length", "range", "pack", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, known = Powers(0x5851F42D4C957F2D), [np.frombuffer(b, np.uint8) for b in bitmaps]
+        held: dict[int, list[np.ndarray]] = {length: [] for length in lengths}
         for batch in batches:
-            for part in _runs(batch.column(0), np.zeros(batch.num_rows, np.int64), margin):
-                may, hashes = _grams(part, powers, known, bits, length)
-                grams = hashes[: part.done][may[-1][: len(hashes)][: part.done]] >> np.uint64(64 - HASH_BITS)
-                grams, counts = np.unique(grams, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(counts, pa.int64())], ["gram", "c"])
+            for part in _runs(batch.column(0), np.zeros(batch.num_rows, np.int64), max(lengths)):
+                may, every = _grams(part, powers, known, bits, max(lengths))
+                for length in lengths:
+                    hashes = every[length - 1][: part.done]
+                    hashes = hashes[may[length - 1][: len(hashes)]] >> np.uint64(64 - HASH_BITS)
+                    if len(hashes):
+                        held[length].append(hashes)
+                    if sum(map(len, held[length])) >= PACKED:
+                        yield sent(length, held[length])
+                        held[length] = []
+        for length, hashes in held.items():
+            if hashes:
+                yield sent(length, hashes)
+
+    return run
+
+
+def _frequent(least: int):
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        found = [_unpacked(*row) for row in zip(group["pack"].to_pylist(), group["counts"].to_pylist())]
+        grams, where = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        sums = np.zeros(len(grams), np.int64)
+        np.add.at(sums, where, np.concatenate([f[1] for f in found]))
+        grams = grams[sums >= least] + (key[1].as_py() << HASH_BITS - RANGE_BITS)
+        return pa.table({"length": pa.array(np.full(len(grams), key[0].as_py()), pa.int32()), "gram": pa.array(grams, pa.int64())})
 
     return run
 
@@ -141,17 +200,17 @@ def _windows(order: int, bitmaps: list[bytes], bits: int):
 
     def of(run: _Run, powers: Powers, known: list[np.ndarray]) -> tuple[np.ndarray, list[pa.Array], np.ndarray]:
         n, done, pad = len(run.codes), run.done, len(run.words)
-        may, _ = _grams(run, powers, known, bits, max(2, min(order, len(known) + 1)))
-        codes = run.codes
-        columns, going = [codes[:done]], np.ones(done, bool)
+        may, _ = _grams(run, powers, known, bits, max(2, min(order, len(known))))
+        codes, going = run.codes, may[0][:done]
+        columns = [np.where(going, codes[:done], pad)]
         for k in range(1, order):
             # The longest gram looked at that ends with this word of the window.
-            size = min(k + 1, len(may) + 1)
+            size = min(k + 1, len(may))
             first = k + 1 - size
             step = np.zeros(done, bool)
             reach = max(0, min(done, n - k))
-            step[:reach] = may[size - 2][first : first + reach]
-            going &= step
+            step[:reach] = may[size - 1][first : first + reach]
+            going = going & step
             column = np.full(done, pad, np.int64)
             column[going] = codes[np.flatnonzero(going) + k]
             columns.append(column)
@@ -177,7 +236,7 @@ def _windows(order: int, bitmaps: list[bytes], bits: int):
 def marginals(docs: DataFrame, order: int, bitmaps: list[bytes] | None = None, bits: int = GRAM_BITS) -> DataFrame:
     """Counts of all prefixes of all windows of ``docs(text, lang)``: ``lang, w1.., f, length``.
 
-    ``length`` is the number of words; 0 stands for the language as a whole. With bitmaps (of grams of 2, 3, ... words), phrases
+    ``length`` is the number of words; 0 stands for the language as a whole. With bitmaps (of grams of 1, 2, ... words), phrases
     that hold a gram without its bit are left out.
     """
     names = [f"w{k + 1}" for k in range(order)]
@@ -190,21 +249,26 @@ def marginals(docs: DataFrame, order: int, bitmaps: list[bytes] | None = None, b
     return summed.withColumn("length", F.lit(order) - F.bit_count("level").cast("int")).drop("level")
 
 
-def frequent_grams(docs: DataFrame, length: int, least: int, shorter: list[bytes], bits: int = GRAM_BITS) -> bytes:
-    """A bit for the hash of each gram of ``length`` words that occurs ``least`` times or more (in any language), ``2 ** bits / 8`` bytes.
+def frequent_grams(docs: DataFrame, lengths: list[int], least: int, shorter: list[bytes], bits: int = GRAM_BITS, fit: bool = True) -> tuple[list[bytes], int]:
+    """For each of ``lengths`` a bit for the hash of each gram of so many words that occurs ``least`` times or more (in any language).
 
-    Grams that the bitmaps of ``shorter`` ones rule out are not counted. Grams with equal hashes are counted as one, which sets
+    The bitmaps have ``2 ** bits`` bits, with ``fit`` about 32 for each frequent gram if that is less; the second result is this power. Grams that the
+    bitmaps of ``shorter`` ones (of ``2 ** bits`` bits) rule out are not counted. Grams with equal hashes are counted as one, which sets
     bits of rare grams but leaves out none of a frequent one.
     """
-    counted = docs.select("text").mapInArrow(_gram_counts(length, shorter, bits, length), "gram bigint, c bigint")
-    counted = counted.groupBy("gram").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-    bit = F.shiftright("gram", HASH_BITS - bits) + 1
-    found = counted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-    out = bytearray(max((1 << bits) // 8, 1 << 12))
-    for row in found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")).collect():  # bounded by bits
-        at = (row["bucket"] - 1) * len(row["bitmap"])
-        out[at : at + len(row["bitmap"])] = row["bitmap"]
-    return bytes(out)
+    packs = docs.select("text").mapInArrow(_gram_packs(lengths, shorter, bits, least), "length int, range int, pack binary, counts binary")
+    frequent = packs.groupBy("length", "range").applyInArrow(_frequent(least), "length int, gram bigint")
+    with scratch(frequent, "collocations-grams") as counted:
+        if fit:
+            most = max([1, *(row["count"] for row in counted.groupBy("length").count().collect())])  # a row for each length
+            bits = min(bits, max(15, (32 * most).bit_length()))
+        bit = F.shiftright("gram", HASH_BITS - bits) + 1
+        found = counted.select("length", bit.alias("bit")).groupBy("length", F.bitmap_bucket_number("bit").alias("bucket"))
+        out = {length: bytearray(max((1 << bits) // 8, 1 << 12)) for length in lengths}
+        for row in found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")).collect():  # bounded by bits
+            at = (row["bucket"] - 1) * len(row["bitmap"])
+            out[row["length"]][at : at + len(row["bitmap"])] = row["bitmap"]
+    return [bytes(out[length]) for length in lengths], bits
 
 
 def _wide(name: str) -> Column:
@@ -219,11 +283,11 @@ def collocations(docs: DataFrame, most: int = 4, least: int = 30, best: int = 20
     occur ``l`` and ``r`` times (ties: the shortest first part). Candidates inside a longer candidate that has ``share`` percent of their
     occurrences or more are dropped. Returns ``lang, rank, phrase, a, l, r, n, score, cut``.
     """
-    bitmaps: list[bytes] = []
-    for length in range(2, most):
-        bitmaps.append(frequent_grams(docs, length, least, bitmaps, gram_bits))
+    bitmaps, bits = frequent_grams(docs, [1, 2], least, [], gram_bits)
+    for length in range(3, most):
+        bitmaps += frequent_grams(docs, [length], least, bitmaps, bits, fit=False)[0]
     names = [f"w{k + 1}" for k in range(most)]
-    counted = marginals(docs, most, bitmaps, gram_bits).where(f"f >= {least} OR length = 0")
+    counted = marginals(docs, most, bitmaps, bits).where(f"f >= {least} OR length = 0")
     words = F.expr(f"slice(array({', '.join(names)}), 1, length)")
     counted = staged(counted.select("lang", words.alias("words"), "f").withColumn("phrase", F.array_join("words", " ")), "collocations-phrases")
     phrases = counted.where("size(words) > 0")

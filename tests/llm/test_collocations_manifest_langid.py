@@ -100,6 +100,34 @@ def test_window_counts_of_one_long_piece(monkeypatch, chunk):
     assert got == Counter(zip(words, words[1:], words[2:]))
 
 
+@pytest.mark.parametrize("size", [1, 20, 100000])
+def test_packs_of_hashes_are_small_and_counted_exactly(size):
+    rng, least = np.random.default_rng(4), 300
+    low = collocations.HASH_BITS - collocations.RANGE_BITS
+    tasks = [np.concatenate((rng.integers(0, 1 << collocations.HASH_BITS, size), rng.integers(0, 9, 8 * least), [(1 << collocations.HASH_BITS) - 1] * 200)).astype(np.uint64) for _ in range(3)]
+    sent = [pack for hashes in tasks for pack in collocations._packs(hashes, least)]
+    got = set()
+    for part in {p[0] for p in sent}:
+        group = pa.table({"pack": [p[1] for p in sent if p[0] == part], "counts": [p[2] for p in sent if p[0] == part]})
+        found = collocations._frequent(least)((pa.scalar(2), pa.scalar(part)), group)
+        got |= set(found["gram"].to_pylist())
+        assert all(g >> low == part for g in found["gram"].to_pylist())
+    counts = Counter(h for hashes in tasks for h in hashes.tolist())
+    assert got == {h for h, c in counts.items() if c >= least} and len(got) >= 9
+    assert sum(len(p[1]) for p in sent) == 3 * sum(len(np.unique(hashes)) for hashes in tasks)
+
+
+def test_rare_words_lead_no_windows(spark):
+    """They only add to the total of their language: a row for each language instead of a row for each word."""
+    text = "a b " * 40 + " ".join(f"r{k}" for k in range(5000))
+    bitmaps, bits = collocations.frequent_grams(spark.createDataFrame([(1, text)], "doc_id int, text string"), [1, 2], 30, [])
+    assert bits == 15 and [len(b) for b in bitmaps] == [1 << 12] * 2
+    rows = list(collocations._windows(4, bitmaps, bits)([pa.RecordBatch.from_arrays([pa.array([text, "r1 r2"]), pa.array(["en", "de"])], ["text", "lang"])]))
+    got = {tuple(key): c for batch in rows for *key, c in zip(*(column.to_pylist() for column in batch.columns))}
+    assert sum(got.values()) == 5082 and got["de", "", "", "", ""] == 2
+    assert len(got) < 12
+
+
 # --- manifest ---
 
 
