@@ -4,11 +4,11 @@ Each word of a piece leads one window of itself and the words after it, padded w
 counted; Spark's ROLLUP over the columns of a window sums them to the counts of all its prefixes, so a phrase of any shorter
 length is counted without windows of its own. Windows that repeat within a chunk of text are combined in the task.
 
-A frequent phrase holds frequent grams only, so windows end where the next word, pair or triple is not frequent; windows that start with a
-rare word only add to the total of their language. Earlier passes count hashes of words and pairs, then of triples of frequent pairs, and leave
-a bitmap with a bit for each frequent one, of about 32 times as many bits as there are, ``2 ** gram_bits`` at most. Equal hashes and a full
-bitmap keep more windows, never fewer: frequent words, frequent phrases and totals are counted exactly at every size. The bitmaps are all that
-tasks are sent. Hashes travel as sorted packs of gaps, two to three bytes each.
+A frequent phrase holds frequent grams only, so windows end where the next pair or triple is not frequent; windows that start with a
+word of no frequent pair only add to the total of their language. Earlier passes count hashes of pairs, then of triples and words of frequent
+pairs, and leave a bitmap with a bit for each frequent one, of about 32 times as many bits as there are frequent pairs, ``2 ** gram_bits`` at most. Equal hashes and
+a full bitmap keep more windows, never fewer: frequent phrases, their words and totals are counted exactly at every size. The bitmaps are all
+that tasks are sent. Hashes travel as sorted packs of gaps, two to three bytes each.
 
 Words are compared as text, never as hashes. Null and empty texts have no words; a null language counts as ``und``. Rows count as often as
 they occur, whatever their doc_id. Texts of any length are cut into chunks that overlap by a window. Extra columns take no
@@ -102,7 +102,7 @@ def _runs(texts_: pa.Array, langs: np.ndarray, margin: int) -> Iterator[_Run]:
                 size *= 2
 
 
-def _grams(run: _Run, powers: Powers, known: list[np.ndarray], bits: int, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _grams(run: _Run, powers: Powers, known: dict[int, np.ndarray], bits: int, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For 1 to ``length`` words: may the gram from each word on be frequent? And the hashes of the grams.
 
     A gram may be if it lies in one piece, its bit is set where there is a bitmap of its length, and both grams of one word
@@ -119,9 +119,9 @@ def _grams(run: _Run, powers: Powers, known: list[np.ndarray], bits: int, length
             may[: len(hashes)] = before[: len(hashes)] & before[1 : len(hashes) + 1]
         if size == 2:
             may &= run.linked
-        if size <= len(known):
+        if size in known:
             bit = hashes >> np.uint64(64 - bits)
-            may[: len(hashes)] &= (known[size - 1][bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            may[: len(hashes)] &= (known[size][bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
         mays.append(may.copy())
         every.append(hashes)
     return mays, every
@@ -153,8 +153,12 @@ def _unpacked(pack: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(planes[0] | planes[1] << 8 | planes[2] << 16), sums[0] | sums[1] << 8 | sums[2] << 16 | sums[3] << 24
 
 
-def _gram_packs(lengths: list[int], bitmaps: list[bytes], bits: int, least: int):
-    """Hashes of the grams of ``lengths`` words that may be frequent, gathered over the texts of a task."""
+def _gram_packs(lengths: list[int], bitmaps: dict[int, bytes], bits: int, least: int):
+    """Hashes of the grams of ``lengths`` words that may be frequent, gathered over the texts of a task.
+
+    Words are those of pairs that may be, once for each such pair that they start or end: as often as a pair, at least.
+    """
+    longest = max(2, *lengths)
 
     def sent(length: int, hashes: list[np.ndarray]) -> pa.RecordBatch:
         ranges, packs, counts = zip(*_packs(np.concatenate(hashes), least))
@@ -162,16 +166,16 @@ def _gram_packs(lengths: list[int], bitmaps: list[bytes], bits: int, least: int)
         return pa.RecordBatch.from_arrays(columns, ["length", "range", "pack", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, known = Powers(0x5851F42D4C957F2D), [np.frombuffer(b, np.uint8) for b in bitmaps]
+        powers, known = Powers(0x5851F42D4C957F2D), {k: np.frombuffer(b, np.uint8) for k, b in bitmaps.items()}
         held: dict[int, list[np.ndarray]] = {length: [] for length in lengths}
         for batch in batches:
-            for part in _runs(batch.column(0), np.zeros(batch.num_rows, np.int64), max(lengths)):
-                may, every = _grams(part, powers, known, bits, max(lengths))
+            for part in _runs(batch.column(0), np.zeros(batch.num_rows, np.int64), longest):
+                may, every = _grams(part, powers, known, bits, longest)
                 for length in lengths:
-                    hashes = every[length - 1][: part.done]
-                    hashes = hashes[may[length - 1][: len(hashes)]] >> np.uint64(64 - HASH_BITS)
+                    at = np.flatnonzero(may[max(2, length) - 1][: part.done])
+                    hashes = every[length - 1][np.concatenate((at, at + 1)) if length == 1 else at]
                     if len(hashes):
-                        held[length].append(hashes)
+                        held[length].append(hashes >> np.uint64(64 - HASH_BITS))
                     if sum(map(len, held[length])) >= PACKED:
                         yield sent(length, held[length])
                         held[length] = []
@@ -194,13 +198,13 @@ def _frequent(least: int):
     return run
 
 
-def _windows(order: int, bitmaps: list[bytes], bits: int):
+def _windows(order: int, bitmaps: dict[int, bytes], bits: int):
     """Windows of ``order`` words with their counts, chunk by chunk; they end where a gram cannot be frequent."""
     names = ["lang", *(f"w{k + 1}" for k in range(order)), "c"]
 
-    def of(run: _Run, powers: Powers, known: list[np.ndarray]) -> tuple[np.ndarray, list[pa.Array], np.ndarray]:
+    def of(run: _Run, powers: Powers, known: dict[int, np.ndarray]) -> tuple[np.ndarray, list[pa.Array], np.ndarray]:
         n, done, pad = len(run.codes), run.done, len(run.words)
-        may, _ = _grams(run, powers, known, bits, max(2, min(order, len(known))))
+        may, _ = _grams(run, powers, known, bits, max(2, min(order, max(known, default=2))))
         codes, going = run.codes, may[0][:done]
         columns = [np.where(going, codes[:done], pad)]
         for k in range(1, order):
@@ -222,7 +226,7 @@ def _windows(order: int, bitmaps: list[bytes], bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(0x5851F42D4C957F2D)
-        known = [np.frombuffer(b, np.uint8) for b in bitmaps]
+        known = {k: np.frombuffer(b, np.uint8) for k, b in dict(bitmaps).items()}
         for batch in batches:
             coded = batch.column(1).dictionary_encode()
             for part in _runs(batch.column(0), coded.indices.to_numpy().astype(np.int64), order):
@@ -233,15 +237,15 @@ def _windows(order: int, bitmaps: list[bytes], bits: int):
     return run
 
 
-def marginals(docs: DataFrame, order: int, bitmaps: list[bytes] | None = None, bits: int = GRAM_BITS) -> DataFrame:
+def marginals(docs: DataFrame, order: int, bitmaps: dict[int, bytes] | None = None, bits: int = GRAM_BITS) -> DataFrame:
     """Counts of all prefixes of all windows of ``docs(text, lang)``: ``lang, w1.., f, length``.
 
-    ``length`` is the number of words; 0 stands for the language as a whole. With bitmaps (of grams of 1, 2, ... words), phrases
+    ``length`` is the number of words; 0 stands for the language as a whole. With bitmaps (by number of words), phrases
     that hold a gram without its bit are left out.
     """
     names = [f"w{k + 1}" for k in range(order)]
     schema = f"lang string, {', '.join(f'{n} string' for n in names)}, c bigint"
-    rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(_windows(order, bitmaps or [], bits), schema)
+    rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(_windows(order, bitmaps or {}, bits), schema)
     summed = rows.rollup("lang", *names).agg(F.sum("c").alias("f"), F.grouping_id().alias("level"))
     # A level of k rolled-up columns has the number with k bits set. Conditions on a level go below the aggregation.
     padded = reduce(lambda a, b: a | b, ((F.col("level") == (1 << (order - 1 - k)) - 1) & (F.col(n) == "") for k, n in enumerate(names)))
@@ -249,17 +253,17 @@ def marginals(docs: DataFrame, order: int, bitmaps: list[bytes] | None = None, b
     return summed.withColumn("length", F.lit(order) - F.bit_count("level").cast("int")).drop("level")
 
 
-def frequent_grams(docs: DataFrame, lengths: list[int], least: int, shorter: list[bytes], bits: int = GRAM_BITS, fit: bool = True) -> tuple[list[bytes], int]:
+def frequent_grams(docs: DataFrame, lengths: list[int], least: int, known: dict[int, bytes], bits: int = GRAM_BITS) -> tuple[dict[int, bytes], int]:
     """For each of ``lengths`` a bit for the hash of each gram of so many words that occurs ``least`` times or more (in any language).
 
-    The bitmaps have ``2 ** bits`` bits, with ``fit`` about 32 for each frequent gram if that is less; the second result is this power. Grams that the
-    bitmaps of ``shorter`` ones (of ``2 ** bits`` bits) rule out are not counted. Grams with equal hashes are counted as one, which sets
-    bits of rare grams but leaves out none of a frequent one.
+    Grams that the bitmaps ``known`` by their length rule out are not counted; words are those of pairs that are not ruled out. All bitmaps have ``2 ** bits`` bits;
+    the first ones have about 32 for each frequent gram if that is less, and the second result is this power. Grams with equal hashes are counted as one,
+    which sets bits of rare grams but leaves out none of a frequent one.
     """
-    packs = docs.select("text").mapInArrow(_gram_packs(lengths, shorter, bits, least), "length int, range int, pack binary, counts binary")
+    packs = docs.select("text").mapInArrow(_gram_packs(lengths, known, bits, least), "length int, range int, pack binary, counts binary")
     frequent = packs.groupBy("length", "range").applyInArrow(_frequent(least), "length int, gram bigint")
     with scratch(frequent, "collocations-grams") as counted:
-        if fit:
+        if not known:
             most = max([1, *(row["count"] for row in counted.groupBy("length").count().collect())])  # a row for each length
             bits = min(bits, max(15, (32 * most).bit_length()))
         bit = F.shiftright("gram", HASH_BITS - bits) + 1
@@ -268,7 +272,7 @@ def frequent_grams(docs: DataFrame, lengths: list[int], least: int, shorter: lis
         for row in found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")).collect():  # bounded by bits
             at = (row["bucket"] - 1) * len(row["bitmap"])
             out[row["length"]][at : at + len(row["bitmap"])] = row["bitmap"]
-    return [bytes(out[length]) for length in lengths], bits
+    return {length: bytes(bitmap) for length, bitmap in out.items()}, bits
 
 
 def _wide(name: str) -> Column:
@@ -283,9 +287,9 @@ def collocations(docs: DataFrame, most: int = 4, least: int = 30, best: int = 20
     occur ``l`` and ``r`` times (ties: the shortest first part). Candidates inside a longer candidate that has ``share`` percent of their
     occurrences or more are dropped. Returns ``lang, rank, phrase, a, l, r, n, score, cut``.
     """
-    bitmaps, bits = frequent_grams(docs, [1, 2], least, [], gram_bits)
-    for length in range(3, most):
-        bitmaps += frequent_grams(docs, [length], least, bitmaps, bits, fit=False)[0]
+    bitmaps, bits = frequent_grams(docs, [2], least, {}, gram_bits)
+    for lengths in [1, 3] if most > 3 else [1], *([k] for k in range(4, most)):
+        bitmaps |= frequent_grams(docs, lengths, least, bitmaps, bits)[0]
     names = [f"w{k + 1}" for k in range(most)]
     counted = marginals(docs, most, bitmaps, bits).where(f"f >= {least} OR length = 0")
     words = F.expr(f"slice(array({', '.join(names)}), 1, length)")

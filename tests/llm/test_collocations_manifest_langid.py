@@ -117,14 +117,16 @@ def test_packs_of_hashes_are_small_and_counted_exactly(size):
     assert sum(len(p[1]) for p in sent) == 3 * sum(len(np.unique(hashes)) for hashes in tasks)
 
 
-def test_rare_words_lead_no_windows(spark):
+def test_words_of_no_frequent_pair_lead_no_windows(spark):
     """They only add to the total of their language: a row for each language instead of a row for each word."""
-    text = "a b " * 40 + " ".join(f"r{k}" for k in range(5000))
-    bitmaps, bits = collocations.frequent_grams(spark.createDataFrame([(1, text)], "doc_id int, text string"), [1, 2], 30, [])
-    assert bits == 15 and [len(b) for b in bitmaps] == [1 << 12] * 2
+    text = "a b " * 40 + " ".join(f"r{k} often{k % 50}" for k in range(5000))
+    frame = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    bitmaps, bits = collocations.frequent_grams(frame, [2], 30, {})
+    bitmaps |= collocations.frequent_grams(frame, [1, 3], 30, bitmaps, bits)[0]
+    assert bits == 15 and {k: len(b) for k, b in bitmaps.items()} == {1: 1 << 12, 2: 1 << 12, 3: 1 << 12}
     rows = list(collocations._windows(4, bitmaps, bits)([pa.RecordBatch.from_arrays([pa.array([text, "r1 r2"]), pa.array(["en", "de"])], ["text", "lang"])]))
     got = {tuple(key): c for batch in rows for *key, c in zip(*(column.to_pylist() for column in batch.columns))}
-    assert sum(got.values()) == 5082 and got["de", "", "", "", ""] == 2
+    assert sum(got.values()) == 10082 and got["de", "", "", "", ""] == 2
     assert len(got) < 12
 
 
